@@ -18,8 +18,7 @@ MISSING_CATEGORY = "NA"
 
 def known(col: Column) -> Column:
     """A number with NaN turned into null, so aggregates skip it as pandas does."""
-    value = col.cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(col.cast("double"), F.lit(None).cast("double"))
 
 
 def filled(col: Column, value: float = MISSING_NUMBER) -> Column:

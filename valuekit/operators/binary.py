@@ -99,7 +99,7 @@ def score_bins(df: DataFrame, keys: Sequence[str], score: str, n_edges: int = 20
     """
     edges = quantiles(df, keys, score, [i / (n_edges - 1) for i in range(n_edges)], name="edges")
     edges = edges.select(*keys, unique_edges(F.col("edges")).alias("_edges"))
-    number = bin_of(F.col(score), F.col("_edges"), n_edges)
+    number = bin_of(f"`{score}`", "_edges", n_edges)
     with_edges = df.join(pinned(edges), [*keys]) if keys else df.withColumn("_edges", edges.select("_edges").scalar())
     return with_edges.withColumn("bin", F.coalesce(number, F.lit(unbinned)) if unbinned is not None else number).drop("_edges")
 

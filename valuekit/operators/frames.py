@@ -5,9 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from valuekit.functions.columns import known
 from valuekit.roles import require_columns
 
 
@@ -17,12 +15,12 @@ def long_numeric(df: DataFrame, ids: Sequence[str], features: Sequence[str]) ->
     Turns a loop over columns into one grouped job.
     """
     require_columns(df, [*ids, *features])
-    narrow = df.select(*ids, *[known(F.col(c)).alias(c) for c in features])
+    narrow = df.selectExpr(*[f"`{c}`" for c in ids], *[f"nanvl(CAST(`{c}` AS DOUBLE), NULL) AS `{c}`" for c in features])
     return narrow.unpivot([*ids], [*features], "feature", "value")
 
 
 def long_text(df: DataFrame, ids: Sequence[str], features: Sequence[str]) -> DataFrame:
     """(ids, feature, value): one row per categorical feature, values as strings."""
     require_columns(df, [*ids, *features])
-    narrow = df.select(*ids, *[F.col(c).cast("string").alias(c) for c in features])
+    narrow = df.selectExpr(*[f"`{c}`" for c in ids], *[f"CAST(`{c}` AS STRING) AS `{c}`" for c in features])
     return narrow.unpivot([*ids], [*features], "feature", "value")

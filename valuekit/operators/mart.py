@@ -15,6 +15,10 @@ from valuekit.roles import require_columns
 HORIZONS = (3, 6, 12)
 
 
+def _literals(months: Sequence[date]) -> str:
+    return ", ".join(f"DATE '{m}'" for m in months)
+
+
 def mart_slice(
     mart: DataFrame,
     slice_date: date,
@@ -44,7 +48,7 @@ def mart_slice(
     if not averaged:
         return current
     means = rows.groupBy(key).agg(*[
-        F.avg(F.when(F.col(month).isin(*months), F.col(c))).alias(f"{c}_{k}a") for k, months in windows.items() for c in averaged
+        F.expr(f"avg(IF(`{month}` IN ({_literals(months)}), `{c}`, NULL)) AS `{c}_{k}a`") for k, months in windows.items() for c in averaged
     ])
     return current.join(means, key)
 

@@ -83,7 +83,7 @@ def numeric_psi(
     known_expected = values.where((F.col(sample) == expected) & F.col("value").isNotNull())
     edges = broadcast_within(_edges(known_expected, n_bins, bin_type), rows=len(features))
     binned = values.withColumn("value", F.coalesce("value", F.lit(MISSING_NUMBER))).join(edges, "feature", "left")
-    bins = bin_of(F.col("value"), F.col("edges"), n_bins + 1, closed="left")
+    bins = bin_of("value", "edges", n_bins + 1, closed="left")
     return _index(binned.groupBy("feature", bins.alias("bin")).agg(*_two_counts(expected, actual, sample)), floor)
 
 
@@ -164,7 +164,7 @@ def detailed_psi(
         edges = quantiles(known, groups, "value", [i / 10 for i in range(11)], kind="lower", name="edges")
         edges = edges.select(*groups, unique_edges(F.col("edges")).alias("edges"))
         binned = values.join(broadcast_within(edges, rows=n_parts * len(numeric)), groups, "left")
-        number = bin_of(F.col("value"), F.col("edges"), 11, lowest=True)
+        number = bin_of("value", "edges", 11, lowest=True)
         bucket = F.when(F.col("value").isNull(), "MISSING").otherwise(number.cast("string"))
         counts = binned.select(*groups, sample, bucket.alias("bucket"), F.col("value").alias("_number"))
     if categorical:

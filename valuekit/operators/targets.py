@@ -23,16 +23,16 @@ def period_columns(columns: Sequence[str], step: int = 3) -> dict[str, list[str]
     return out
 
 
-def _outcome(months: Sequence[str]) -> Column:
+def _outcome(name: str, months: Sequence[str]) -> Column:
     """1 if the months add up above 0, 0 if to 0, null if any month is null."""
-    total = sum((F.col(m) for m in months[1:]), F.col(months[0]))
-    return F.max(F.when(total > 0, 1).when(total == 0, 0))
+    total = " + ".join(f"`{m}`" for m in months)
+    return F.expr(f"max(CASE WHEN {total} > 0 THEN 1 WHEN {total} = 0 THEN 0 END) AS `{name}`")
 
 
 def collapse_periods(wide: DataFrame, keys: Sequence[str], step: int = 3) -> DataFrame:
     """One row per key with period columns; duplicates of a key combine by maximum."""
     groups = period_columns([c for c in wide.columns if c not in set(keys)], step)
-    return wide.groupBy(*keys).agg(*[_outcome(months).alias(name) for name, months in groups.items()])
+    return wide.groupBy(*keys).agg(*[_outcome(name, months) for name, months in groups.items()])
 
 
 def unpivot_periods(periods: DataFrame, keys: Sequence[str], target: str = "TRG") -> DataFrame:

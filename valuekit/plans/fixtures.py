@@ -32,7 +32,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round floating columns so that two engines can be compared; a negative zero becomes zero."""
-    return df.withColumns({c: F.round(F.col(c), digits) + F.lit(0.0) for c, t in df.dtypes if t in ("double", "float")})
+    floating = {c for c, t in df.dtypes if t in ("double", "float")}
+    return df.selectExpr(*[f"round(`{c}`, {digits}) + 0.0D AS `{c}`" if c in floating else f"`{c}`" for c in df.columns])
 
 
 def _year_sample(year: Column) -> Column:
@@ -98,7 +99,7 @@ def mart_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
         "seg_cd",
         F.nullif("ord_qty", F.lit(1)).alias("ord_qty"),
         F.when(F.col("qty_amt") >= 100, F.col("qty_amt")).alias("qty_amt"),
-        F.when(F.col("disc_avg") <= 0.05, F.col("disc_avg")).otherwise(F.lit(float("nan"))).alias("disc_avg"),
+        F.when(F.col("disc_avg") <= 0.0512345, F.col("disc_avg")).otherwise(F.lit(float("nan"))).alias("disc_avg"),
         F.lit(7).alias("one_value"),
         F.when(F.col("bal_amt") > 0, 1).alias("one_or_null"),
     )
@@ -131,8 +132,8 @@ def targets_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     clients = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("client_dk"), F.col("c_mktsegment").alias("dc_new"))
     wide = counts.join(last, "client_dk").join(reported, "client_dk").join(clients, "client_dk")
-    kept = [F.when(F.col("last_day") >= int(n.rsplit("_t", 1)[1]), F.coalesce(n, F.lit(0))).alias(n) for n in names]
-    return wide.select("client_dk", "report_dt", F.lit("old").alias("dc"), "dc_new", F.lit(1).alias("gld_flag"), F.lit(0).alias("sale_month"), *kept)
+    kept = [f"IF(last_day >= {n.rsplit('_t', 1)[1]}, coalesce({n}, 0), NULL) AS {n}" for n in names]
+    return wide.selectExpr("client_dk", "report_dt", "'old' AS dc", "dc_new", "1 AS gld_flag", "0 AS sale_month", *kept)
 
 
 def binary_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,7 +274,7 @@ SQL: dict[str, str] = {
     "gaps": """gaps AS (
   SELECT epk_id, report_dt, prio_cd, seg_cd, nullif(ord_qty, 1) AS ord_qty,
          CASE WHEN qty_amt >= 100 THEN qty_amt END AS qty_amt,
-         CASE WHEN disc_avg <= 0.05 THEN disc_avg END AS disc_avg,
+         CASE WHEN disc_avg <= 0.0512345 THEN disc_avg END AS disc_avg,
          7 AS one_value, CASE WHEN bal_amt > 0 THEN 1 END AS one_or_null
   FROM mart)""",
     "client_features": """client_features AS (

@@ -320,8 +320,9 @@ ORACLE = {
         CAST(report_dt AS VARCHAR) AS month_text FROM mart""", "avg_qty"),
     "constant_columns": _levels_sql("d + CAST(nulls > 0 AS INT) < 2 AS is_constant"),
     "null_share_columns": rounded_sql(_levels_sql("nulls / CAST(n AS DOUBLE) AS null_share, nulls / CAST(n AS DOUBLE) > 0.5 AS dropped"), "null_share"),
-    "role_columns": f"""{with_sql('binary')} SELECT 'numeric' AS role, unnest(['l_quantity','l_extendedprice','l_discount','l_tax','p_retailprice','T','score']) AS "column",
-        count(*) AS n_filled FROM bin_sample GROUP BY ALL UNION ALL SELECT 'categorical', unnest(['p_brand','p_size']), count(*) FROM bin_sample GROUP BY ALL""",
+    "role_columns": f"""{with_sql('binary')} SELECT role, "column", n_filled FROM (SELECT count(*) AS n_filled FROM bin_sample) CROSS JOIN (
+        SELECT 'numeric' AS role, unnest(['l_quantity','l_extendedprice','l_discount','l_tax','p_retailprice','T','score']) AS "column"
+        UNION ALL SELECT 'categorical', unnest(['p_brand','p_size']))""",
     "align_columns": rounded_sql(
         f"{with_sql('gappy')} SELECT sample, y, count(*) AS n, avg(l_discount) AS disc, avg(p_size) AS size FROM gappy WHERE sample = 'OOT' GROUP BY ALL", "disc", "size"),
     "outlier_trim": rounded_sql(

@@ -19,6 +19,8 @@ def local_session(cores: int | str = "*", app: str = "valuekit", partitions: int
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Call-site capture costs milliseconds per column expression while a query is built.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
