@@ -70,7 +70,8 @@ def fit_gbt(df: DataFrame, features: Sequence[str], label: str, *, sample: str =
     data = _labelled(df, features, label, sample)
     booster = GBTClassifier(featuresCol=VECTOR, labelCol="_y", seed=seed, **params)
     if early_stop:
-        booster.setValidationIndicatorCol("_is_valid")
+        # Stop when the valid error rises, not merely when it falls slowly.
+        booster.setValidationIndicatorCol("_is_valid").setParams(validationTol=0.0)
     else:
         data = data.where(~F.col("_is_valid"))
     return Fitted(booster.fit(data), tuple(features), "binary")
@@ -84,7 +85,8 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, *, sample: st
 
 def fit_gbt_regression(df: DataFrame, features: Sequence[str], label: str, *, loss: str = "squared", sample: str = "sample", seed: int = 1, **params) -> Fitted:
     """Boosted-tree regression with squared or absolute loss."""
-    booster = GBTRegressor(featuresCol=VECTOR, labelCol="_y", lossType=loss, validationIndicatorCol="_is_valid", seed=seed, **params)
+    booster = GBTRegressor(featuresCol=VECTOR, labelCol="_y", lossType=loss, seed=seed, **params)
+    booster.setValidationIndicatorCol("_is_valid").setParams(validationTol=0.0)
     return Fitted(booster.fit(_labelled(df, features, label, sample)), tuple(features), "regression")
 
 
