@@ -8,7 +8,8 @@ put a hot group (a third of the rows, say) into one task. Here it is done in thr
 2. the value axis is cut into ranges of similar row counts and the window runs per (group, range);
 3. per-range totals, one row per group and range, give the offset that is joined back on.
 
-The cut points are plain literals in the plan, so a recomputed task always lands in the same range.
+A frame that fits one range skips 2 and 3. The cut points are plain literals in the plan, so a
+recomputed task always lands in the same range.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_RANGE = 1_000_000
+# A task sorts this many rows of one group without trouble.
+ROWS_PER_RANGE = 5_000_000
 MAX_RANGES = 4096
 _RANGE = "_range"
 
@@ -118,30 +120,35 @@ def running_totals(
         # Collapse before the Python hop, so that it sees each value once per group.
         present = present.groupBy(*keys, value).agg(*[c.alias(n) for n, c in measures.items()])
         measures = {n: F.sum(n) for n in names}
-    per_value = _with_range(present, value, cuts).groupBy(*keys, _RANGE, value).agg(
-        *[c.alias(n) for n, c in measures.items()]
+    if not cuts:
+        per_value = present.groupBy(*keys, value).agg(*[c.alias(n) for n, c in measures.items()])
+        earlier = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        below = [F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_below") for n in names]
+        whole = [F.sum(n).over(Window.partitionBy(*keys)).alias(f"{n}_all") for n in names] if totals else []
+        return per_value.select("*", *below, *whole)
+
+    ranged = _with_range(present, value, cuts)
+    sums = [c.alias(n) for n, c in measures.items()]
+    previous = Window.partitionBy(*keys).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per group and range: summed before the shuffle, evaluated once, then broadcast.
+    offsets = pinned(
+        ranged.groupBy(*keys, _RANGE).agg(*sums).select(
+            *keys,
+            _RANGE,
+            *[F.coalesce(F.sum(n).over(previous), F.lit(0)).alias(f"_{n}_before") for n in names],
+            *[F.sum(n).over(Window.partitionBy(*keys)).alias(f"{n}_all") for n in names],
+        )
     )
     earlier = Window.partitionBy(*keys, _RANGE).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    inside = per_value.select("*", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_below") for n in names])
-    if not cuts and not totals:
-        return inside.drop(_RANGE)
-
-    per_range = per_value.groupBy(*keys, _RANGE).agg(*[F.sum(n).alias(n) for n in names])
-    previous = Window.partitionBy(*keys).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    group = Window.partitionBy(*keys)
-    offsets = per_range.select(
-        *keys,
-        _RANGE,
-        *[F.coalesce(F.sum(n).over(previous), F.lit(0)).alias(f"_{n}_before") for n in names],
-        *[F.sum(n).over(group).alias(f"{n}_all") for n in names],
+    inside = ranged.groupBy(*keys, _RANGE, value).agg(*sums).select(
+        "*", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_below") for n in names]
     )
-    extra = [F.col(f"{n}_all") for n in names] if totals else []
     return inside.join(offsets, [*keys, _RANGE]).select(
         *keys,
         value,
         *names,
         *[(F.col(f"{n}_below") + F.col(f"_{n}_before")).alias(f"{n}_below") for n in names],
-        *extra,
+        *[F.col(f"{n}_all") for n in names if totals],
     )
 
 
