@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -65,6 +66,15 @@ def _labelled(df: DataFrame, features: Sequence[str], label: str, sample: str) -
     return with_vector(keep, features).select(VECTOR, "_y", "_is_valid")
 
 
+def _fit_on(estimator: Any, data: DataFrame) -> Any:
+    """Fit with the rows held: boosting reads the validation rows once per iteration."""
+    held = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(held)
+    finally:
+        held.unpersist()
+
+
 def fit_gbt(df: DataFrame, features: Sequence[str], label: str, *, sample: str = "sample", early_stop: bool = True, seed: int = 1, **params) -> Fitted:
     """Boosted-tree classifier; with `early_stop` the valid rows decide when boosting ends."""
     data = _labelled(df, features, label, sample)
@@ -74,20 +84,20 @@ def fit_gbt(df: DataFrame, features: Sequence[str], label: str, *, sample: str =
         booster.setValidationIndicatorCol("_is_valid").setParams(validationTol=0.0)
     else:
         data = data.where(~F.col("_is_valid"))
-    return Fitted(booster.fit(data), tuple(features), "binary")
+    return Fitted(_fit_on(booster, data), tuple(features), "binary")
 
 
 def fit_forest(df: DataFrame, features: Sequence[str], label: str, *, sample: str = "sample", seed: int = 1, **params) -> Fitted:
     data = _labelled(df, features, label, sample).where(~F.col("_is_valid"))
     forest = RandomForestClassifier(featuresCol=VECTOR, labelCol="_y", seed=seed, **params)
-    return Fitted(forest.fit(data), tuple(features), "binary")
+    return Fitted(_fit_on(forest, data), tuple(features), "binary")
 
 
 def fit_gbt_regression(df: DataFrame, features: Sequence[str], label: str, *, loss: str = "squared", sample: str = "sample", seed: int = 1, **params) -> Fitted:
     """Boosted-tree regression with squared or absolute loss."""
     booster = GBTRegressor(featuresCol=VECTOR, labelCol="_y", lossType=loss, seed=seed, **params)
     booster.setValidationIndicatorCol("_is_valid").setParams(validationTol=0.0)
-    return Fitted(booster.fit(_labelled(df, features, label, sample)), tuple(features), "regression")
+    return Fitted(_fit_on(booster, _labelled(df, features, label, sample)), tuple(features), "regression")
 
 
 def fit_by_size(df: DataFrame, features: Sequence[str], label: str, *, sample: str = "sample", limit: int = LARGE_TRAIN, **params) -> Fitted:
