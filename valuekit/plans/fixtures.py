@@ -180,7 +180,10 @@ def document_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def regression_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with total price as target and the net line total as prediction."""
+    """Orders with total price as target and the net line total as prediction.
+
+    Net totals have four exact decimals; the small shift keeps halves from rounding either way.
+    """
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("y_pred"),
         F.sum("l_quantity").alias("qty"),
@@ -190,7 +193,7 @@ def regression_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(lines, orders.o_orderkey == lines.l_orderkey).select(
         "o_orderkey",
         F.col("o_totalprice").alias("y"),
-        F.round("y_pred", 4).alias("y_pred"),
+        F.round(F.col("y_pred") + 0.000013, 2).alias("y_pred"),
         "qty",
         "n_lines",
         _year_sample(F.year("o_orderdate")).alias("sample"),
@@ -324,7 +327,7 @@ targets_month AS (
   SELECT doc_id, lang, source, n_chars, quality, toxic, CASE WHEN doc_id % 4 = 3 THEN 'OOT' ELSE 'train' END AS sample
   FROM labels JOIN documents USING (doc_id))""",
     "regression": f"""reg_sample AS (
-  SELECT o_orderkey, o_totalprice AS y, round(y_pred, 4) AS y_pred, qty, n_lines, {_YEAR_SAMPLE.format(d="o_orderdate")} AS sample
+  SELECT o_orderkey, o_totalprice AS y, round(y_pred + 0.000013::DOUBLE, 2) AS y_pred, qty, n_lines, {_YEAR_SAMPLE.format(d="o_orderdate")} AS sample
   FROM orders JOIN (SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount)) AS y_pred, sum(l_quantity) AS qty,
                            CAST(count(*) AS DOUBLE) AS n_lines FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey)""",
     "calibration": """calib AS (

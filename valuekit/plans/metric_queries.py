@@ -130,7 +130,7 @@ def regression_eval_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def regression_bins(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(regression.regression_bins(fx.regression_sample(spark, sf), ["sample"], "y", "y_pred"), 5)
+    return tidy(regression.regression_bins(fx.regression_sample(spark, sf), ["sample"], "y", "y_pred"))
 
 
 def regression_delta(spark: SparkSession, sf: str) -> DataFrame:
@@ -562,7 +562,7 @@ ORACLE = {
         m AS ({_named_regression('b', 'sample, bin', factor=100)}), q AS (SELECT sample, bin, {_SPREAD} FROM b GROUP BY ALL),
         tm AS ({_named_regression('reg_sample', 'sample', factor=100)}), tq AS (SELECT sample, {_SPREAD} FROM reg_sample GROUP BY ALL)
         SELECT m.* REPLACE (CAST(row_number() OVER (PARTITION BY sample ORDER BY bin) AS VARCHAR) AS bin), q.* EXCLUDE (sample, bin) FROM m JOIN q USING (sample, bin)
-        UNION ALL BY NAME SELECT tm.*, tq.* EXCLUDE (sample), 'Total' AS bin FROM tm JOIN tq USING (sample)""", *_REG_COLUMNS, *_SPREAD_COLUMNS, digits=5),
+        UNION ALL BY NAME SELECT tm.*, tq.* EXCLUDE (sample), 'Total' AS bin FROM tm JOIN tq USING (sample)""", *_REG_COLUMNS, *_SPREAD_COLUMNS),
     "regression_delta": rounded_sql(
         f"""{with_sql('regression')}, m AS ({_named_regression('reg_sample', 'sample', mape='abs(y)')}),
         l AS (UNPIVOT (SELECT * EXCLUDE (n_rows) FROM m) ON mae, mape, rmse, r2, pearson, spearman INTO NAME metric VALUE v),
