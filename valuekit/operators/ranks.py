@@ -160,33 +160,45 @@ def quantiles(
     *,
     kind: str = "linear",
     name: str = "quantiles",
+    counts: Mapping[str, Column] | None = None,
     cuts: Sequence | None = None,
 ) -> DataFrame:
     """Exact quantiles per group as an array in `probs` order, one row per group.
 
     `kind="linear"` interpolates between neighbours, `kind="lower"` takes the lower neighbour.
+    `counts` gives several populations of the same rows at once (name to counting aggregate), each
+    with its own array column; by default all rows count and the array is called `name`.
     """
     if kind not in ("linear", "lower"):
         raise ValueError(f"kind must be 'linear' or 'lower', not {kind!r}")
-    rows = running_totals(df, keys, value, {"n": F.count(F.lit(1))}, totals=True, cuts=cuts)
+    counts = dict(counts or {name: F.count(F.lit(1))})
+    measures = {f"n{i}": c for i, c in enumerate(counts.values())}
+    rows = running_totals(df, keys, value, measures, totals=True, cuts=cuts)
+    sides = ("floor",) if kind == "lower" else ("floor", "ceil")
 
-    spots = [f"({float(p)!r}D * (n_all - 1))" for p in probs]
-
-    def at(rank: str, alias: str) -> Column:
-        return F.expr(f"max(CASE WHEN {rank} >= n_below AND {rank} < n_below + n THEN `{value}` END) AS {alias}")
+    def spot(m: str, p: float) -> str:
+        return f"({float(p)!r}D * ({m}_all - 1))"
 
     # One conditional aggregate per wanted rank: compiled, and combined before the shuffle.
     found = rows.groupBy(*keys).agg(
-        F.max("n_all").alias("n_all"),
-        *[at(f"floor({x})", f"_low{i}") for i, x in enumerate(spots)],
-        *([at(f"ceil({x})", f"_high{i}") for i, x in enumerate(spots)] if kind == "linear" else []),
+        *[F.max(f"{m}_all").alias(f"{m}_all") for m in measures],
+        *[
+            F.expr(
+                f"max(CASE WHEN {side}({spot(m, p)}) >= {m}_below AND {side}({spot(m, p)}) < {m}_below + {m} "
+                f"THEN `{value}` END) AS _{m}_{side}_{i}"
+            )
+            for m in measures
+            for i, p in enumerate(probs)
+            for side in sides
+        ],
     )
 
-    def one(i: int, x: str) -> str:
-        return f"_low{i}" if kind == "lower" else f"_low{i} + (_high{i} - _low{i}) * ({x} - floor({x}))"
+    def one(m: str, i: int, p: float) -> str:
+        low, x = f"_{m}_floor_{i}", spot(m, p)
+        return low if kind == "lower" else f"{low} + (_{m}_ceil_{i} - {low}) * ({x} - floor({x}))"
 
-    values = ", ".join(one(i, x) for i, x in enumerate(spots))
-    return found.select(*keys, F.col("n_all").alias("n_rows"), F.expr(f"array({values})").alias(name))
+    arrays = [F.expr(f"array({', '.join(one(m, i, p) for i, p in enumerate(probs))}) AS `{n}`") for n, m in zip(counts, measures, strict=True)]
+    return found.select(*keys, F.col("n0_all").alias("n_rows"), *arrays)
 
 
 def bin_of(value: str, edges: str, n_edges: int, *, closed: str = "right", lowest: bool = False) -> Column:

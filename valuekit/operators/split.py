@@ -7,7 +7,7 @@ themselves are only filtered, never shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,19 +27,23 @@ def _bounds(shares: Mapping[str, float | int]) -> dict[str, float | int]:
     return out
 
 
-def _label(bounds: Mapping[str, float | int], last: str) -> Column:
+def _label(bounds: Mapping[str, float | int], last: str, cut: Callable[[str], Column]) -> Column:
     label = F.lit(last)
     for name in reversed(list(bounds)):
-        label = F.when(F.col(_HASH) <= F.col(f"_cut_{name}"), name).otherwise(label)
+        label = F.when(F.col(_HASH) <= cut(name), name).otherwise(label)
     return label
 
 
 def _split(df: DataFrame, ranked: DataFrame, strata: Sequence[str], shares: Mapping[str, float | int], sample: str) -> DataFrame:
+    """Cut values are one row per stratum; without strata they are literals of the plan."""
     bounds = _bounds(shares)
-    keys = [*strata] or ["_all"]
-    cuts = rank_cuts(ranked.withColumn("_all", F.lit(0)), keys, _HASH, {f"_cut_{n}": b for n, b in bounds.items()})
-    joined = df.withColumn("_all", F.lit(0)).join(pinned(cuts), keys)
-    return joined.select(*[c for c in df.columns if c != _HASH], _label(bounds, list(shares)[-1]).alias(sample))
+    cuts = rank_cuts(ranked, [*strata], _HASH, {f"_cut_{n}": b for n, b in bounds.items()})
+    columns, last = [c for c in df.columns if c != _HASH], list(shares)[-1]
+    if strata:
+        joined = df.join(pinned(cuts), [*strata])
+        return joined.select(*columns, _label(bounds, last, lambda n: F.col(f"_cut_{n}")).alias(sample))
+    row = cuts.first()
+    return df.select(*columns, _label(bounds, last, lambda n: F.lit(row[f"_cut_{n}"])).alias(sample))
 
 
 def split_rows(df: DataFrame, key: Sequence[str], shares: Mapping[str, float | int], *, strata: Sequence[str] = (), seed: int = 0, sample: str = "sample") -> DataFrame:
@@ -119,9 +123,9 @@ def psi_sample(df: DataFrame, choice: str = "OOT", key: Sequence[str] = ("id",),
 
 def cap_rows(df: DataFrame, key: Sequence[str], limit: int, seed: int = 0) -> DataFrame:
     """Exactly `limit` rows (or all) with the smallest hash, rows of one key kept together."""
-    hashed = df.withColumn(_HASH, hash_fraction(*[F.col(k) for k in key], seed=seed)).withColumn("_all", F.lit(0))
-    cut = rank_cuts(hashed, ["_all"], _HASH, {"cut": limit}).select("cut").scalar()
-    return hashed.where(F.col(_HASH) <= cut).drop(_HASH, "_all")
+    hashed = df.withColumn(_HASH, hash_fraction(*[F.col(k) for k in key], seed=seed))
+    cut = rank_cuts(hashed, [], _HASH, {"cut": limit}).select("cut").scalar()
+    return hashed.where(F.col(_HASH) <= cut).drop(_HASH)
 
 
 def hash_batches(df: DataFrame, key: Sequence[str], batches: int, seed: int = 0) -> DataFrame:

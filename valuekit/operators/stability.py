@@ -126,14 +126,33 @@ def comparison_samples(present: Sequence[str]) -> list[str]:
     return first + [s for s in ("OOT", "OOT_psi", "test2") if s in present]
 
 
-def _parts(label: str | None) -> Column:
-    """Each row belongs to `all` and, with a binary label, to `events` or `nevents`."""
-    if label is None:
-        return F.array(F.lit("all"))
-    y = F.col(label)
-    return F.when(y == 1, F.array(F.lit("all"), F.lit("events"))).when(
-        y == 0, F.array(F.lit("all"), F.lit("nevents"))
-    ).otherwise(F.array(F.lit("all")))
+def _cells(values: DataFrame, sample: str, label: str | None, edges: DataFrame | None, n_edges: int) -> DataFrame:
+    """(feature, data_part, bucket, sample, n, low, high) from long values.
+
+    A row lies in a bucket of all rows and in one of its class. Rows are counted by that pair of
+    buckets first, and only those few cells are taken apart into the data parts.
+    """
+    if edges is None:
+        own = F.coalesce(F.col("value"), F.lit("MISSING"))
+        placed = values.withColumns({"_all": own, "_class": own, "_number": F.lit(None).cast("double")})
+    else:
+        def bucket(name: str):
+            return F.when(F.col("value").isNull(), "MISSING").otherwise(bin_of("value", name, n_edges, lowest=True).cast("string"))
+
+        joined = values.join(edges, "feature", "left")
+        if label is not None:
+            joined = joined.withColumn("_edges", F.expr(f"IF({label} = 1, events, nevents)"))
+        placed = joined.withColumns({
+            "_all": bucket("all"), "_class": bucket("_edges") if label is not None else F.lit(None).cast("string"), "_number": F.col("value")
+        })
+    y = F.lit(None).cast("int") if label is None else F.col(label).cast("int")
+    counted = placed.groupBy("feature", sample, y.alias("_y"), "_all", "_class").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_number").alias("low"), F.max("_number").alias("high")
+    )
+    part = F.when(F.col("_y") == 1, "events").when(F.col("_y") == 0, "nevents")
+    both = F.array(F.struct(F.lit("all").alias("data_part"), F.col("_all").alias("bucket")), F.struct(part.alias("data_part"), F.col("_class").alias("bucket")))
+    rows = counted.select("feature", sample, "n", "low", "high", F.explode(both).alias("p")).select("feature", sample, "p.*", "n", "low", "high")
+    return rows.where(F.col("data_part").isNotNull() & F.col("bucket").isNotNull())
 
 
 def detailed_psi(
@@ -152,35 +171,31 @@ def detailed_psi(
     them are not counted, missing values form their own bucket. Categories are their own buckets.
     """
     present = [base, *against]
-    wanted = df.where(F.col(sample).isin(*present)).withColumn("data_part", F.explode(_parts(label)))
-    ids = [sample, "data_part"]
+    ids = [sample] if label is None else [sample, label]
+    wanted = df.where(F.col(sample).isin(*present))
     n_parts = 1 if label is None else 3
     groups = ["data_part", "feature"]
 
-    counts = None
+    cells = None
     if numeric:
         values = long_numeric(wanted, ids, numeric)
+        populations = {"all": F.count(F.lit(1))}
+        if label is not None:
+            populations |= {"events": F.count_if(F.col(label) == 1), "nevents": F.count_if(F.col(label) == 0)}
         known = values.where((F.col(sample) == base) & F.col("value").isNotNull())
-        edges = quantiles(known, groups, "value", [i / 10 for i in range(11)], kind="lower", name="edges")
-        edges = edges.select(*groups, unique_edges(F.col("edges")).alias("edges"))
-        binned = values.join(broadcast_within(edges, rows=n_parts * len(numeric)), groups, "left")
-        number = bin_of("value", "edges", 11, lowest=True)
-        bucket = F.when(F.col("value").isNull(), "MISSING").otherwise(number.cast("string"))
-        counts = binned.select(*groups, sample, bucket.alias("bucket"), F.col("value").alias("_number"))
+        edges = quantiles(known, ["feature"], "value", [i / 10 for i in range(11)], kind="lower", counts=populations)
+        edges = edges.select("feature", *[unique_edges(F.col(p)).alias(p) for p in populations])
+        cells = _cells(values, sample, label, broadcast_within(edges, rows=len(numeric)), 11)
     if categorical:
-        texts = long_text(wanted, ids, categorical)
-        rows = texts.select(
-            *groups, sample, F.coalesce("value", F.lit("MISSING")).alias("bucket"), F.lit(None).cast("double").alias("_number")
-        )
-        counts = rows if counts is None else counts.unionByName(rows)
-    if counts is None:
+        texts = _cells(long_text(wanted, ids, categorical), sample, label, None, 0)
+        cells = texts if cells is None else cells.unionByName(texts)
+    if cells is None:
         raise ValueError("detailed_psi needs at least one feature")
 
-    in_base = F.col(sample) == base
-    wide = counts.where(F.col("bucket").isNotNull()).groupBy(*groups, "bucket").agg(
-        F.min(F.when(in_base, F.col("_number"))).alias("min_value"),
-        F.max(F.when(in_base, F.col("_number"))).alias("max_value"),
-        *[F.count_if(F.col(sample) == s).alias(f"n_{s}") for s in present],
+    wide = cells.groupBy(*groups, "bucket").agg(
+        F.min(F.when(F.col(sample) == base, F.col("low"))).alias("min_value"),
+        F.max(F.when(F.col(sample) == base, F.col("high"))).alias("max_value"),
+        *[F.coalesce(F.sum(F.when(F.col(sample) == s, F.col("n"))), F.lit(0)).alias(f"n_{s}") for s in present],
     )
     totals = wide.groupBy(*groups).agg(*[F.sum(f"n_{s}").alias(f"all_{s}") for s in present])
     totals = broadcast_within(totals, rows=n_parts * (len(numeric) + len(categorical)))
