@@ -54,7 +54,7 @@ def mart_slice(
 
 
 def latest_month(mart: DataFrame, month: str = "report_dt_part") -> DataFrame:
-    """The newest month, one row; for a partition column Spark answers it from the file listing."""
+    """The newest month, one row. For a partition column no data column is read."""
     return mart.agg(F.max(month).alias("latest_month"))
 
 

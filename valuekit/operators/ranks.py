@@ -47,6 +47,13 @@ def pinned(df: DataFrame, limit: int = 100_000) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(table, schema=df.schema))
 
 
+def _present(df: DataFrame, value: str) -> DataFrame:
+    """Rows with a value; NaN is missing, as null is."""
+    kind = df.schema[value].dataType
+    floating = isinstance(kind, (T.DoubleType, T.FloatType))
+    return df.where(F.expr(f"`{value}` IS NOT NULL AND NOT isnan(`{value}`)" if floating else f"`{value}` IS NOT NULL"))
+
+
 def cut_points(df: DataFrame, value: str, rows_per_range: int = ROWS_PER_RANGE) -> list:
     """Split points that cut the value axis into ranges of about `rows_per_range` rows.
 
@@ -55,7 +62,7 @@ def cut_points(df: DataFrame, value: str, rows_per_range: int = ROWS_PER_RANGE)
     """
     if isinstance(df.schema[value].dataType, T.StringType):
         return _text_cut_points(df, value, rows_per_range)
-    present = df.where(F.col(value).isNotNull())
+    present = _present(df, value)
     ranges = min(MAX_RANGES, math.ceil(present.count() / rows_per_range))
     if ranges < 2:
         return []
@@ -111,9 +118,9 @@ def running_totals(
     """One row per (keys, value): each measure, and `<measure>_below` over smaller values.
 
     `measures` are aggregate columns that add up (sums, counts). With `totals` every row also has
-    `<measure>_all`, the sum over its group. Keys must not be null; null values are left out.
+    `<measure>_all`, the sum over its group. Keys must not be null; missing values are left out.
     """
-    present = df.where(F.col(value).isNotNull())
+    present = _present(df, value)
     cuts = cut_points(present, value) if cuts is None else list(cuts)
     names = list(measures)
     if isinstance(df.schema[value].dataType, T.StringType) and cuts:
