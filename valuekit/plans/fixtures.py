@@ -175,7 +175,7 @@ def gappy_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     return table(spark, sf_dir, "labels").join(docs, "doc_id").select(
-        "doc_id", "lang", "source", "n_chars", "quality", "toxic", F.when(F.col("doc_id") % 4 == 3, "OOT").otherwise("train").alias("sample")
+        "doc_id", "lang", "source", "n_chars", "quality", "toxic", F.when(F.col("n_chars") >= 3000, "OOT").otherwise("train").alias("sample")
     )
 
 
@@ -324,7 +324,7 @@ targets_month AS (
   SELECT * REPLACE (nullif(l_discount, 0.0) AS l_discount, nullif(p_size, 50) AS p_size, nullif(p_brand, 'Brand#3') AS p_brand)
   FROM bin_sample)""",
     "document": """doc_sample AS (
-  SELECT doc_id, lang, source, n_chars, quality, toxic, CASE WHEN doc_id % 4 = 3 THEN 'OOT' ELSE 'train' END AS sample
+  SELECT doc_id, lang, source, n_chars, quality, toxic, CASE WHEN n_chars >= 3000 THEN 'OOT' ELSE 'train' END AS sample
   FROM labels JOIN documents USING (doc_id))""",
     "regression": f"""reg_sample AS (
   SELECT o_orderkey, o_totalprice AS y, round(y_pred + 0.000013::DOUBLE, 2) AS y_pred, qty, n_lines, {_YEAR_SAMPLE.format(d="o_orderdate")} AS sample
