@@ -141,7 +141,7 @@ def _cells(values: DataFrame, sample: str, label: str | None, edges: DataFrame |
 
         joined = values.join(edges, "feature", "left")
         if label is not None:
-            joined = joined.withColumn("_edges", F.expr(f"IF({label} = 1, events, nevents)"))
+            joined = joined.withColumn("_edges", F.expr(f"IF(`{label}` = 1, events, nevents)"))
         placed = joined.withColumns({
             "_all": bucket("all"), "_class": bucket("_edges") if label is not None else F.lit(None).cast("string"), "_number": F.col("value")
         })
