@@ -1,7 +1,7 @@
 """All queries of this package and their SQL twins."""
 
-from valuekit.llm import bpe_trees
+from valuekit.llm import bpe_trees, id_planes, piece_counts
 
-_MODULES = (bpe_trees,)
+_MODULES = (bpe_trees, id_planes, piece_counts)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
