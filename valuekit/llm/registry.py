@@ -1,7 +1,7 @@
 """All queries of this package and their SQL twins."""
 
-from valuekit.llm import bpe_trees, html_blocks, id_planes, kernel_quality, line_join, ngram_join, piece_counts
+from valuekit.llm import bench_simhash, bpe_trees, html_blocks, id_planes, kernel_quality, line_join, ngram_join, piece_counts
 
-_MODULES = (bpe_trees, html_blocks, id_planes, kernel_quality, line_join, ngram_join, piece_counts)
+_MODULES = (bench_simhash, bpe_trees, html_blocks, id_planes, kernel_quality, line_join, ngram_join, piece_counts)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
