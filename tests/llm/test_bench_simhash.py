@@ -16,11 +16,14 @@ def brute(docs, items):
     out = set()
     for key, text in docs:
         w = (text or "").lower().split()
+        there = counts(w).keys()
         for item, passage in items:
             p = (passage or "").lower().split()
             if key is None or len(p) < 5:
                 continue
             own = counts(p)
+            if own.keys().isdisjoint(there):
+                continue
             for i in range(max(len(w) - len(p), 0) + 1):
                 c = counts(w[i : i + len(p)])
                 if 5 * (c & own).total() >= 4 * (c | own).total() > 0:

@@ -188,7 +188,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("
     Fits on the labels (doc_id, quality) outside the held-out fold. Statistics are computed once and kept in
     the shared folder, from where both the fit and the scores are read.
     """
-    features = settled(document_statistics(docs, keep=keep), "quality-features")
+    features = settled(document_statistics(docs, keep=(*keep, "doc_id") if "doc_id" not in keep else keep), "quality-features")
     known = labels.where(~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").alias("label"))
     model = fit_quality(features.select("doc_id", "features").join(known, "doc_id").select("features", "label"))
     schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep) + "score double"
