@@ -22,7 +22,9 @@ def test_parquet_round_trip_and_completion(spark, frame, tmp_path):
     assert writers.output_complete(spark, path) and writers.folder_bytes(spark, path) > 0
     assert sorted(spark.read.parquet(path).collect()) == sorted(frame.collect())
     assert len(list((tmp_path / "t").glob("*.parquet"))) == 2
-    assert writers.files_for_size(frame, str(tmp_path / "probe")) == 1
+    writers.write_sized(frame, str(tmp_path / "sized"), target_mb=16)
+    assert len(list((tmp_path / "sized").glob("*.parquet"))) == 1
+    assert sorted(spark.read.parquet(str(tmp_path / "sized")).collect()) == sorted(frame.collect())
 
 
 def test_read_mart_prunes_partitions(spark, tmp_path):
@@ -34,7 +36,7 @@ def test_read_mart_prunes_partitions(spark, tmp_path):
 
 
 def test_partitioned_table(spark, frame):
-    writers.write_partitioned_table(frame, "vk_targets", "Product", key="id")
+    writers.write_partitioned_table(frame, "vk_targets", "Product")
     assert writers.table_exists(spark, "vk_targets")
     assert sorted(readers.read_table(spark, "vk_targets").select("id", "Product").collect()) == sorted(frame.select("id", "Product").collect())
     assert "Product=" in str(writers.table_location(spark, "vk_targets")) or readers.read_table(spark, "vk_targets").where("Product = 'p1'").count() == 15
@@ -63,9 +65,10 @@ def test_staging_load(spark, frame):
 def test_snapshots_by_shape(spark, frame, tmp_path):
     folder = str(tmp_path)
     assert writers.save_snapshot(frame, folder, "snap") == 1
-    assert writers.save_snapshot(frame.withColumn("x", F.col("x") + 1), folder, "snap") is None
-    assert writers.save_snapshot(frame.withColumn("z", F.lit(1)), folder, "snap") == 2
-    assert writers.save_snapshot(frame.where("id > 3"), folder, "snap") == 3
+    assert writers.save_snapshot(frame.orderBy(F.desc("id")), folder, "snap") is None
+    assert writers.save_snapshot(frame.withColumn("x", F.col("x") + 1), folder, "snap") == 2
+    assert writers.save_snapshot(frame.withColumn("z", F.lit(1)), folder, "snap") == 3
+    assert writers.save_snapshot(frame.where("id > 3"), folder, "snap") == 4
 
 
 def test_eval_sets(spark, frame, tmp_path):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
 from functools import reduce
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 MISSING_NUMBER = -9999.0
 # Fixed value: stands for "missing" in categories.
 MISSING_CATEGORY = "NA"
+# Degrees of freedom up to which Student quantiles come from the exact series.
+EXACT_FREEDOM = 200
 
 
 def known(col: Column) -> Column:
@@ -106,11 +109,33 @@ def unlog_target(z: Column, low: Column | float, bias: float = 0.0) -> Column:
     return F.exp(z) + low - 1 - bias
 
 
+def _student_inside(angle: float, freedom: int) -> float:
+    """Probability of |T| below tan(angle) * sqrt(freedom), by the finite series for whole degrees."""
+    cosine, term, total = math.cos(angle), 1.0, 1.0
+    if freedom == 1:
+        return 2 * angle / math.pi
+    for k in range(1 + freedom % 2, freedom - 2 + freedom % 2, 2):
+        term *= cosine**2 * k / (k + 1)
+        total += term
+    if freedom % 2:
+        return 2 / math.pi * (angle + math.sin(angle) * cosine * total)
+    return math.sin(angle) * total
+
+
+def exact_student_quantile(prob: float, freedom: int) -> float:
+    """Student quantile for whole degrees of freedom and prob above one half, by bisection of the exact series."""
+    low, high = 0.0, math.pi / 2
+    for _ in range(80):
+        middle = (low + high) / 2
+        low, high = (middle, high) if _student_inside(middle, freedom) < 2 * prob - 1 else (low, middle)
+    return math.tan(low) * math.sqrt(freedom)
+
+
 def student_quantile(prob: float, freedom: Column) -> Column:
-    """Student quantile as an expression of the degrees of freedom.
+    """Student quantile (prob above one half) as an expression of the whole degrees of freedom.
 
-    Normal quantile with the usual expansion in 1/freedom up to the fourth order; exact to about
-    1e-7 from 30 degrees on, which is where report samples live.
+    Exact values up to `EXACT_FREEDOM`, from there the normal quantile with the usual expansion in
+    1/freedom up to the fourth order, which is then exact to 1e-10. Null for no degrees.
     """
     z = NormalDist().inv_cdf(prob)
     # Polynomial coefficients of the expansion, by power of 1/freedom.
@@ -121,7 +146,15 @@ def student_quantile(prob: float, freedom: Column) -> Column:
         (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160,
     )
     n = freedom.cast("double")
-    return reduce(lambda acc, kt: acc + F.try_divide(F.lit(kt[1]), F.pow(n, F.lit(kt[0]))), enumerate(terms, 1), F.lit(z))
+    series = reduce(lambda acc, kt: acc + F.try_divide(F.lit(kt[1]), F.pow(n, F.lit(kt[0]))), enumerate(terms, 1), F.lit(z))
+    exact = F.lit([exact_student_quantile(prob, k) for k in range(1, EXACT_FREEDOM + 1)])
+    return F.when(freedom > EXACT_FREEDOM, series).when(freedom >= 1, F.get(exact, (freedom - 1).cast("int")))
+
+
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation as an aggregate; null where one side is constant, which `corr` takes as an error."""
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), spread)
 
 
 def status_two_sided(value: Column, lower: float, upper: float, order: str = "straight") -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valuekit.functions.columns import MISSING_NUMBER, status_boundary, status_two_sided
-from valuekit.operators.frames import long_numeric
+from valuekit.operators.frames import join_on, long_numeric
 from valuekit.operators.ranks import bin_of, pinned, quantiles, running_totals, unique_edges
 
 # Allowed relative Gini change against train (yellow from, red from), by sample kind.
@@ -100,7 +100,7 @@ def score_bins(df: DataFrame, keys: Sequence[str], score: str, n_edges: int = 20
     edges = quantiles(df, keys, score, [i / (n_edges - 1) for i in range(n_edges)], name="edges")
     edges = edges.select(*keys, unique_edges(F.col("edges")).alias("_edges"))
     number = bin_of(f"`{score}`", "_edges", n_edges)
-    with_edges = df.join(pinned(edges), [*keys]) if keys else df.withColumn("_edges", edges.select("_edges").scalar())
+    with_edges = join_on(df, pinned(edges), [*keys], "left") if keys else df.withColumn("_edges", edges.select("_edges").scalar())
     return with_edges.withColumn("bin", F.coalesce(number, F.lit(unbinned)) if unbinned is not None else number).drop("_edges")
 
 
@@ -170,7 +170,7 @@ def bin_means(df: DataFrame, keys: Sequence[str], score: str, target: str, n_edg
     quarter = quantiles(binned, [*keys, "bin"], target, [0.25, 0.5, 0.75], name="q").select(
         *keys, "bin", *[F.col("q")[i].alias(n) for i, n in enumerate(("target_p25", "target_p50", "target_p75"))]
     )
-    return means.join(quarter, [*keys, "bin"])
+    return join_on(means, quarter, [*keys, "bin"], "left")
 
 
 def confusion(df: DataFrame, actual: str, predicted: str, log: bool = False) -> DataFrame:

@@ -12,9 +12,6 @@ from valuekit.functions.columns import MISSING_CATEGORY, blank_free_lower
 from valuekit.operators.frames import long_text
 from valuekit.operators.ranks import dense_codes
 
-# Dictionaries up to this many entries become map literals; larger ones are joined.
-LITERAL_ENTRIES = 10_000
-
 
 def fit_dictionary(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """(feature, value, code): sorted distinct values numbered from 0, null as "NA"."""
@@ -48,38 +45,21 @@ def encode(df: DataFrame, dictionary: DataFrame, features: Sequence[str], normal
     """Replace categories by codes.
 
     Null counts as "NA"; an unseen value gets the code of "NA" when the dictionary has it, else 0.
-    With `normalise` values are stripped of blanks and lower-cased first. A dictionary within
-    `LITERAL_ENTRIES` is read once and becomes map literals (no join, no Python); beyond that each
-    feature is joined and Spark picks the join by size.
+    With `normalise` values are stripped of blanks and lower-cased first. Each feature is joined with
+    its part of the dictionary, whatever its size: Spark broadcasts a part it has measured as small, and
+    adaptive execution splits a hot value where it does not.
     """
     wanted = dictionary.where(F.col("feature").isin(*features)).select("feature", "value", "code")
-    entries = wanted.limit(LITERAL_ENTRIES + 1).collect()
-
-    def text(name: str) -> Column:
-        value = F.col(name).cast("string")
-        return F.coalesce(blank_free_lower(value) if normalise else value, F.lit(MISSING_CATEGORY))
-
-    if len(entries) <= LITERAL_ENTRIES:
-        codes: dict[str, dict[str, int]] = {f: {} for f in features}
-        for r in entries:
-            codes[r["feature"]][r["value"]] = r["code"]
-
-        def look_up(name: str) -> Column:
-            known = codes[name]
-            fallback = F.lit(known.get(MISSING_CATEGORY, 0)).cast("bigint")
-            if not known:
-                return fallback
-            literal = F.map_from_arrays(F.lit(list(known)), F.lit([int(c) for c in known.values()]))
-            return F.coalesce(F.try_element_at(literal, text(name)).cast("bigint"), fallback)
-
-        return df.withColumns({f: look_up(f) for f in features})
-
+    missing = wanted.where(F.col("value") == MISSING_CATEGORY).groupBy("feature").agg(F.max("code").alias("code"))
+    # One row a feature: the codes of "NA".
+    fallback = {r["feature"]: r["code"] for r in missing.collect()}
     out = df
     for name in features:
-        one = wanted.where(F.col("feature") == name).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
-        fallback = F.coalesce(one.where(F.col("_value") == MISSING_CATEGORY).agg(F.max("_code").alias("c")).scalar(), F.lit(0))
-        joined = out.withColumn("_value", text(name)).join(one, "_value", "left").drop("_value")
-        out = joined.withColumn(name, F.coalesce("_code", fallback)).drop("_code")
+        value = F.col(f"`{name}`").cast("string")
+        text = F.coalesce(blank_free_lower(value) if normalise else value, F.lit(MISSING_CATEGORY))
+        one = wanted.where(F.col("feature") == name).select(F.col("value").alias("_value"), F.col("code").cast("bigint").alias("_code"))
+        joined = out.withColumn("_text", text).join(one, F.col("_text") == F.col("_value"), "left")
+        out = joined.withColumn(name, F.coalesce("_code", F.lit(fallback.get(name, 0)).cast("bigint"))).drop("_code", "_value", "_text")
     return out.select(*df.columns)
 
 

@@ -8,23 +8,23 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuekit.functions.columns import filled, hash_fraction, status_boundary
+from valuekit.functions.columns import correlation, filled, hash_fraction, status_boundary
 from valuekit.operators.binary import auc
 from valuekit.operators.ranks import running_totals
 from valuekit.operators.regression import select_metric
 from valuekit.operators.training import Fitted, with_vector
 from valuekit.session import settle
 
-# Row share for a permutation run and for the report; a feature is relevant above
-# this share of the best one.
-IMPORTANCE_SHARE, REPORT_SHARE, RELEVANT_SHARE = 0.15, 0.95, 0.2
+# Fixed value: a feature is relevant above this share of the best one.
+RELEVANT_SHARE = 0.2
 
 
-def permuted_rows(df: DataFrame, key: Sequence[str], features: Sequence[str], keep: Sequence[str], *, sample: str = "sample", share: float = IMPORTANCE_SHARE, seed: int = 0) -> DataFrame:
+def permuted_rows(df: DataFrame, key: Sequence[str], features: Sequence[str], keep: Sequence[str], *, sample: str = "sample", share: float = 1.0, seed: int = 0) -> DataFrame:
     """Rows as they are (`permuted` = '') and once per feature with that feature shuffled.
 
     Within each sample, rows get their rank in hash order; the value of a shuffled feature comes
-    from the row half a turn further. One self-join on (sample, rank) serves all features. The
+    from the row half a turn further, for all features alike. A `share` below 1 works on a hash
+    sample of the rows, if the caller asks for it. One self-join on (sample, rank) serves all features. The
     key must identify a row.
     """
     if share < 1:
@@ -43,7 +43,7 @@ def permuted_rows(df: DataFrame, key: Sequence[str], features: Sequence[str], ke
     return both.select(*rest, F.explode(structs).alias("_v")).select(*rest, "_v.*")
 
 
-def permutation_importance(df: DataFrame, fitted: Fitted, label: str, key: Sequence[str], *, sample: str = "sample", metric: str = "gini", share: float = IMPORTANCE_SHARE, relative: bool = False, seed: int = 0) -> DataFrame:
+def permutation_importance(df: DataFrame, fitted: Fitted, label: str, key: Sequence[str], *, sample: str = "sample", metric: str = "gini", share: float = 1.0, relative: bool = False, seed: int = 0) -> DataFrame:
     """(sample, feature, importance): how much the metric worsens when a feature is shuffled.
 
     Gini and r2 are maximised (drop times 100), error metrics minimised (increase). `relative`
@@ -107,7 +107,7 @@ def tree_correlation(df: DataFrame, features: Sequence[str], target: str, keys:
             tree = DecisionTreeRegressor(featuresCol=f"_x_{f}", labelCol="_y", predictionCol=f"_p_{f}", maxDepth=3, maxBins=max_bins, seed=1)
             model = tree.fit(with_vector(part, [f], f"_x_{f}").select(f"_x_{f}", "_y"))
             scored = model.transform(vectors).drop(f"_x_{f}")
-        wide = scored.agg(*[F.corr(f"_p_{f}", "_y").alias(f) for f in features])
+        wide = scored.agg(*[correlation(F.col(f"_p_{f}"), F.col("_y")).alias(f) for f in features])
         rows = wide.unpivot([], list(features), "feature", "correlation").select(F.lit(name).alias(sample), "feature", (100 * F.col("correlation")).alias("correlation"))
         table = rows if table is None else table.unionByName(rows)
     return table

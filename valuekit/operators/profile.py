@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuekit.operators.frames import long_numeric, long_text
+from valuekit.operators.frames import join_on, long_numeric, long_text
 from valuekit.operators.ranks import quantiles, running_totals
 
 # Fixed value: a category with more values than this is reported as suspicious.
@@ -21,7 +21,10 @@ def sample_stats(df: DataFrame, label: str, sample: str = "sample") -> DataFrame
 
 
 def target_stats(df: DataFrame, target: str, keys: Sequence[str] = ("sample",)) -> DataFrame:
-    """Count, mean, both standard deviations, minimum, quartiles and maximum of the target."""
+    """Count, mean, both standard deviations, minimum, quartiles and maximum of the target.
+
+    A group without any target is listed with 0 observations.
+    """
     y = F.col(target)
     moments = df.groupBy(*keys).agg(
         F.count(y).alias("n_obs"),
@@ -32,7 +35,7 @@ def target_stats(df: DataFrame, target: str, keys: Sequence[str] = ("sample",))
         F.max(y).alias("max"),
     )
     quarters = quantiles(df, keys, target, [0.25, 0.5, 0.75], name="q")
-    return moments.join(quarters, [*keys]).select(
+    return join_on(moments, quarters, [*keys], "left").select(
         *keys, "n_obs", "mean", "std_pop", "std_samp", "min", *[F.col("q")[i].alias(f"p{p}") for i, p in enumerate((25, 50, 75))], "max"
     )
 
@@ -40,7 +43,8 @@ def target_stats(df: DataFrame, target: str, keys: Sequence[str] = ("sample",))
 def variable_profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()) -> DataFrame:
     """Filled count and share, distinct values (null is one), and moments per variable.
 
-    Values are counted once per (feature, value); every statistic follows from those counts.
+    Values are counted once per (feature, value); every statistic follows from those counts. A
+    variable without any value is listed with 0 filled rows.
     """
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     shape = ["feature", "n_filled", "share_filled", "n_unique", "mean", "std", "min", "p25", "p50", "p75", "max"]
@@ -52,6 +56,13 @@ def variable_profile(df: DataFrame, numeric: Sequence[str], categorical: Sequenc
             "n_unique", F.col("n_levels") + missing
         )
 
+    def all_listed(stats: DataFrame, features: Sequence[str]) -> DataFrame:
+        """Every feature, also those without a value; the names are the caller's own list."""
+        names = df.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+        full = names.join(stats, "feature", "left").withColumn("n_filled", F.coalesce("n_filled", F.lit(0).cast("bigint")))
+        share = F.coalesce("share_filled", F.try_divide(F.lit(0.0), total))
+        return full.withColumns({"share_filled": share, "n_unique": F.coalesce("n_unique", (F.lit(0) < total).cast("bigint"))})
+
     out = None
     if numeric:
         values = long_numeric(df, [], numeric).where(F.col("value").isNotNull())
@@ -71,13 +82,13 @@ def variable_profile(df: DataFrame, numeric: Sequence[str], categorical: Sequenc
             spot = F.lit(p) * (F.col("n_filled") - 1)
             low, high = F.col(f"_{name}_floor"), F.col(f"_{name}_ceil")
             stats = stats.withColumn(name, low + (high - low) * (spot - F.floor(spot)))
-        out = stats.select(*shape)
+        out = all_listed(stats.select(*shape), numeric)
     if categorical:
         texts = long_text(df, [], categorical).where(F.col("value").isNotNull())
         counts = texts.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
         stats = filled(counts)
         blank = {c: F.lit(None).cast("double") for c in shape if c not in stats.columns}
-        stats = stats.withColumns(blank).select(*shape)
+        stats = all_listed(stats.withColumns(blank).select(*shape), categorical)
         out = stats if out is None else out.unionByName(stats)
     return out
 

@@ -24,9 +24,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A task sorts this many rows of one group without trouble.
+from valuekit.operators.frames import join_on
+
+# A task sorts this many rows of one group without trouble. The number of ranges follows the rows.
 ROWS_PER_RANGE = 5_000_000
-MAX_RANGES = 4096
 _RANGE = "_range"
 
 
@@ -63,7 +64,7 @@ def cut_points(df: DataFrame, value: str, rows_per_range: int = ROWS_PER_RANGE)
     if isinstance(df.schema[value].dataType, T.StringType):
         return _text_cut_points(df, value, rows_per_range)
     present = _present(df, value)
-    ranges = min(MAX_RANGES, math.ceil(present.count() / rows_per_range))
+    ranges = math.ceil(present.count() / rows_per_range)
     if ranges < 2:
         return []
     shares = [i / ranges for i in range(1, ranges)]
@@ -75,7 +76,7 @@ def _text_cut_points(df: DataFrame, value: str, rows_per_range: int) -> list:
     """Split points for strings: a hash sample of the distinct values, at most 32 per range."""
     distinct = df.select(value).where(F.col(value).isNotNull()).distinct()
     total = distinct.count()
-    ranges = min(MAX_RANGES, math.ceil(total / rows_per_range))
+    ranges = math.ceil(total / rows_per_range)
     if ranges < 2:
         return []
     every = max(1, total // (ranges * 32))
@@ -118,7 +119,7 @@ def running_totals(
     """One row per (keys, value): each measure, and `<measure>_below` over smaller values.
 
     `measures` are aggregate columns that add up (sums, counts). With `totals` every row also has
-    `<measure>_all`, the sum over its group. Keys must not be null; missing values are left out.
+    `<measure>_all`, the sum over its group. A null key is a group; missing values are left out.
     """
     present = _present(df, value)
     cuts = cut_points(present, value) if cuts is None else list(cuts)
@@ -150,7 +151,7 @@ def running_totals(
     inside = ranged.groupBy(*keys, _RANGE, value).agg(*sums).select(
         "*", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_below") for n in names]
     )
-    return inside.join(offsets, [*keys, _RANGE]).select(
+    return join_on(inside, offsets, [*keys, _RANGE]).select(
         *keys,
         value,
         *names,

@@ -7,8 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from valuekit.functions.columns import status_two_sided, student_quantile
+from valuekit.functions.columns import correlation, status_two_sided, student_quantile
 from valuekit.operators.binary import score_bins
+from valuekit.operators.frames import join_on
 from valuekit.operators.ranks import average_ranks, pinned, quantiles, running_totals
 
 # Metrics where larger is better, and the relative change against train at which the
@@ -103,7 +104,7 @@ def regression_metrics(df: DataFrame, keys: Sequence[str], target: str, predicti
         mape(y, p).alias("mape"),
         rmse(y, p).alias("rmse"),
         r2(y, p).alias("r2"),
-        F.corr(y, p).alias("pearson"),
+        correlation(y, p).alias("pearson"),
     )
     return table.join(spearman(df, keys, target, prediction), [*keys], "left")
 
@@ -153,7 +154,7 @@ def _bin_table(df: DataFrame, keys: Sequence[str], target: str, prediction: str)
     scores = regression_metrics(df, keys, target, prediction)
     for name in ("mape", "r2", "pearson", "spearman"):
         scores = scores.withColumn(name, 100 * F.col(name))
-    return spread.join(quarters, [*keys]).join(scores, [*keys])
+    return join_on(join_on(spread, quarters, [*keys], "left"), scores, [*keys], "left")
 
 
 def mean_interval(df: DataFrame, keys: Sequence[str], value: str, alpha: float = 0.05) -> DataFrame:

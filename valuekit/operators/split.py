@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valuekit.functions.columns import hash_fraction
+from valuekit.operators.frames import join_on
 from valuekit.operators.ranks import pinned, rank_cuts
 
 _HASH = "_hash"
@@ -40,7 +41,7 @@ def _split(df: DataFrame, ranked: DataFrame, strata: Sequence[str], shares: Mapp
     cuts = rank_cuts(ranked, [*strata], _HASH, {f"_cut_{n}": b for n, b in bounds.items()})
     columns, last = [c for c in df.columns if c != _HASH], list(shares)[-1]
     if strata:
-        joined = df.join(pinned(cuts), [*strata])
+        joined = join_on(df, pinned(cuts), [*strata])
         return joined.select(*columns, _label(bounds, last, lambda n: F.col(f"_cut_{n}")).alias(sample))
     row = cuts.first()
     return df.select(*columns, _label(bounds, last, lambda n: F.lit(row[f"_cut_{n}"])).alias(sample))
@@ -49,6 +50,8 @@ def _split(df: DataFrame, ranked: DataFrame, strata: Sequence[str], shares: Mapp
 def split_rows(df: DataFrame, key: Sequence[str], shares: Mapping[str, float | int], *, strata: Sequence[str] = (), seed: int = 0, sample: str = "sample") -> DataFrame:
     """Label rows with a sample name; with `strata` each class is split in the same shares.
 
+    Rows without a stratum (null) are a class of their own.
+
     Shares are fractions or row counts in order; the last part takes what is left.
     """
     hashed = df.withColumn(_HASH, hash_fraction(*[F.col(k) for k in key], seed=seed))
@@ -116,13 +119,16 @@ def psi_sample(df: DataFrame, choice: str = "OOT", key: Sequence[str] = ("id",),
     if choice in ("valid", "test"):
         return df
     if choice != "OOT":
-        raise ValueError(f"Unknown psi-sample name {choice!r}! Please choose: valid, test or OOT")
+        raise ValueError(f"choice must be 'valid', 'test' or 'OOT', not {choice!r}")
     second = hash_fraction(*[F.col(k) for k in key], seed=seed) >= 0.5
     return df.withColumn(sample, F.when((F.col(sample) == "OOT") & second, "OOT_psi").otherwise(F.col(sample)))
 
 
 def cap_rows(df: DataFrame, key: Sequence[str], limit: int, seed: int = 0) -> DataFrame:
-    """Exactly `limit` rows (or all) with the smallest hash, rows of one key kept together."""
+    """About `limit` rows (or all) with the smallest hash, an opt-in cap.
+
+    Rows of one key have one hash and stay together, so with repeated keys it may be a few more.
+    """
     hashed = df.withColumn(_HASH, hash_fraction(*[F.col(k) for k in key], seed=seed))
     cut = rank_cuts(hashed, [], _HASH, {"cut": limit}).select("cut").scalar()
     return hashed.where(F.col(_HASH) <= cut).drop(_HASH)

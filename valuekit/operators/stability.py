@@ -39,14 +39,17 @@ def _edges(values: DataFrame, n_bins: int, bin_type: str) -> DataFrame:
         cut = quantiles(values, ["feature"], "value", [i / n_bins for i in range(n_bins + 1)], name="edges")
         return cut.select("feature", unique_edges(F.col("edges")).alias("edges"))
     if bin_type != "bins":
-        raise ValueError(f"Incorrect bin_type value. Expected 'quantiles' or 'bins', but {bin_type} is transferred.")
+        raise ValueError(f"bin_type must be 'quantiles' or 'bins', not {bin_type!r}")
     span = values.groupBy("feature").agg(F.min("value").alias("low"), F.max("value").alias("high"))
     points = ", ".join(f"low + {i}D * ((high - low) / {n_bins}D)" for i in range(n_bins))
     return span.select("feature", unique_edges(F.expr(f"array({points}, high)")).alias("edges"))
 
 
 def _index(counts: DataFrame, floor: float) -> DataFrame:
-    """PSI per feature from (feature, bin, expected, actual); a null bin only feeds the totals."""
+    """PSI per feature from (feature, bin, expected, actual); a null bin only feeds the totals.
+
+    A feature without any bin, because the expected sample has no value, has no PSI (null).
+    """
     feature = Window.partitionBy("feature")
     shares = counts.select(
         "feature",
@@ -55,7 +58,7 @@ def _index(counts: DataFrame, floor: float) -> DataFrame:
         (F.col("actual") / F.sum("actual").over(feature)).alias("a"),
     )
     term = _term(_floored(F.col("e"), floor), _floored(F.col("a"), floor))
-    return shares.groupBy("feature").agg(F.coalesce(F.sum(F.when(F.col("bin").isNotNull(), term)), F.lit(0.0)).alias("psi"))
+    return shares.groupBy("feature").agg(F.sum(F.when(F.col("bin").isNotNull(), term)).alias("psi"))
 
 
 def _two_counts(expected: str, actual: str, sample: str) -> list[Column]:
@@ -116,8 +119,9 @@ def categorical_psi(
 
 
 def psi_selection(scores: DataFrame, threshold: float) -> DataFrame:
-    """Mark features below the threshold with 1, most stable first."""
-    return scores.select("feature", "psi", (F.col("psi") < threshold).cast("int").alias("selected")).orderBy("psi", "feature")
+    """Mark features below the threshold with 1, most stable first; one without a PSI is never chosen."""
+    chosen = F.coalesce((F.col("psi") < threshold).cast("int"), F.lit(0))
+    return scores.select("feature", "psi", chosen.alias("selected")).orderBy(F.col("psi").asc_nulls_last(), "feature")
 
 
 def comparison_samples(present: Sequence[str]) -> list[str]:

@@ -25,8 +25,6 @@ from valuekit.operators.regression import select_metric
 VECTOR = "_features"
 # Largest accepted train-valid gap of Gini points, absolute and relative (percent).
 GINI_GAP, GINI_GAP_PERCENT = 5.0, 10.0
-# Fixed value: train rows above which the leaner model family is used.
-LARGE_TRAIN = 500_000
 
 
 def with_vector(df: DataFrame, features: Sequence[str], name: str = VECTOR) -> DataFrame:
@@ -100,12 +98,6 @@ def fit_gbt_regression(df: DataFrame, features: Sequence[str], label: str, *, lo
     return Fitted(_fit_on(booster, _labelled(df, features, label, sample)), tuple(features), "regression")
 
 
-def fit_by_size(df: DataFrame, features: Sequence[str], label: str, *, sample: str = "sample", limit: int = LARGE_TRAIN, **params) -> Fitted:
-    """Above `limit` train rows boosting grows shallow trees, below deeper ones."""
-    large = df.where(F.col(sample) == "train").count() > limit
-    return fit_gbt(df, features, label, sample=sample, **({"maxDepth": 3 if large else 5} | params))
-
-
 def tree_path_gini(fitted: Fitted, df: DataFrame, label: str, *, sample: str = "sample") -> DataFrame:
     """(n_trees, gini_train, gini_valid, absolute_diff, relative_diff) for every prefix of trees.
 

@@ -26,7 +26,7 @@ def validation_suite(df: DataFrame, roles: Roles, model_type: str, *, score: str
         raise ValueError(f"model_type must be one of {sorted(BIN_EDGES)}, not {model_type!r}")
     sample, label = roles.sample, roles.target
     rows = settle(df.select(*dict.fromkeys([*roles.id, sample, label, score, *roles.features])))
-    present = {r[0] for r in rows.select(sample).distinct().limit(len(SAMPLES) + 1).collect()}
+    present = {r[0] for r in rows.where(F.col(sample).isin(*SAMPLES)).select(sample).distinct().collect()}
     samples = [s for s in SAMPLES if s in present]
     against = stability.comparison_samples(samples)
     numeric = [*roles.numeric]
@@ -62,7 +62,7 @@ def validation_suite(df: DataFrame, roles: Roles, model_type: str, *, score: str
         }
         metric = "mae"
     if fitted is not None:
-        scored_again = importance.permutation_importance(rows, fitted, label, roles.id, sample=sample, metric=metric, share=importance.REPORT_SHARE)
+        scored_again = importance.permutation_importance(rows, fitted, label, roles.id, sample=sample, metric=metric)
         out["permutation_importance"] = settle(scored_again)
         out["factor_relevancy"] = importance.factor_relevancy(out["permutation_importance"], sample)
     return out

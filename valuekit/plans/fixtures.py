@@ -26,19 +26,9 @@ PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 MODELS = ("dc1_dc", "cc2_cc", "pl_mb", "EL11_pl", "sf_ph")
 
 
-JOIN_KEY = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "user_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. A single-file table is one task; the big ones are then spread by join key.
-
-    Files of a real mart give more splits than cores and are read as they are.
-    """
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in JOIN_KEY and len(rows.inputFiles()) < cores:
-        return rows.repartition(cores, JOIN_KEY[name])
-    return rows
+    """A test table, read as it is."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -150,11 +150,6 @@ def random_search(spark: SparkSession, sf: str) -> DataFrame:
     return table.withColumn("best_trial_gini", F.lit(round(max(t["gini_valid"] for t in trials), 6)))
 
 
-def size_rule(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _signal(fx.binary_sample(spark, sf)).drop("score")
-    return _gini_table(training.fit_by_size(rows, MODEL_FEATURES, "y", maxIter=4).score(rows))
-
-
 def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     """Several fitted models over one frame, one row per model and sample."""
     rows = _signal(fx.binary_sample(spark, sf)).drop("score")
@@ -181,26 +176,25 @@ def tree_correlation_delta(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(importance.correlation_delta(found, ["train", "OOT"]))
 
 
-def _line_importance(spark: SparkSession, sf: str, share: float) -> DataFrame:
+def _line_importance(spark: SparkSession, sf: str) -> DataFrame:
     rows = _signal(fx.binary_sample(spark, sf)).drop("score")
     tested = rows.where(F.col("sample").isin("test", "OOT"))
-    return importance.permutation_importance(tested, _fit_line_model(rows), "y", KEY, share=share)
+    return importance.permutation_importance(tested, _fit_line_model(rows), "y", KEY)
 
 
 def permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(_line_importance(spark, sf, importance.REPORT_SHARE))
+    return tidy(_line_importance(spark, sf))
 
 
 def regressor_importance(spark: SparkSession, sf: str) -> DataFrame:
     """Relative increase of the mean absolute error."""
     rows = fx.regression_sample(spark, sf).withColumnRenamed("y", "total").withColumnRenamed("y_pred", "y")
     fitted = training.fit_gbt_regression(rows, VALUE_FEATURES, "y", maxIter=6, maxDepth=3)
-    tested = rows.where(F.col("sample") == "valid")
-    return tidy(importance.permutation_importance(tested, fitted, "y", ["o_orderkey"], metric="mae", share=1.0, relative=True))
+    return tidy(importance.permutation_importance(rows, fitted, "y", ["o_orderkey"], metric="mae", relative=True))
 
 
 def factor_relevancy(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(importance.factor_relevancy(_line_importance(spark, sf, importance.REPORT_SHARE)))
+    return tidy(importance.factor_relevancy(_line_importance(spark, sf)))
 
 
 def top_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -328,7 +322,6 @@ QUERIES = {
     "regression_path": regression_path,
     "woe_logistic": woe_logistic,
     "random_search": random_search,
-    "size_rule": size_rule,
     "model_comparison": model_comparison,
     "tree_correlation": tree_correlation,
     "tree_correlation_delta": tree_correlation_delta,

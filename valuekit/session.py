@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,11 +50,12 @@ def use_shared_checkpoints(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder and continue from the files.
+    """Write `df` as parquet below the shared checkpoint folder and continue from the files.
 
     Used where a frame is read by many later jobs (model predictions, permutation frames), so that
-    a lost executor re-reads files instead of re-running the model, and every reader sees the same
-    floating-point values.
+    a lost executor re-reads files instead of re-running the model, every reader sees the same
+    floating-point values, and each job reads the columns it needs only.
     """
-    use_shared_checkpoints(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{use_shared_checkpoints(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

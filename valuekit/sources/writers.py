@@ -40,14 +40,13 @@ def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite", compress
     (writer.option("maxRecordsPerFile", rows_per_file) if rows_per_file else writer).parquet(path)
 
 
-def write_partitioned_table(df: DataFrame, name: str, by: str = "Product", *, compression: str = "gzip", mode: str = "overwrite", tasks_per_value: int = 8, key: str | None = None) -> None:
+def write_partitioned_table(df: DataFrame, name: str, by: str = "Product", *, compression: str = "gzip", mode: str = "overwrite") -> None:
     """Catalog table partitioned by a column.
 
-    Rows of one value go to a few tasks instead of one, chosen by a hash of `key`, so that a value
-    with a third of all rows does not end up in a single writer.
+    The rebalance hint brings rows of one value together and lets adaptive execution split a value
+    that is larger than the advisory size over as many writers as it needs.
     """
-    spread = F.floor(hash_fraction(F.col(key)) * tasks_per_value) if key else F.floor(hash_fraction(*[F.col(c) for c in df.columns if c != by]) * tasks_per_value)
-    df.repartition(F.col(by), spread).write.mode(mode).option("compression", compression).partitionBy(by).saveAsTable(name)
+    df.hint("rebalance", by).write.mode(mode).option("compression", compression).partitionBy(by).saveAsTable(name)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -92,15 +91,15 @@ def save_and_register(df: DataFrame, name: str, path: str, *, overwrite: bool =
     return "kept"
 
 
-def files_for_size(df: DataFrame, scratch: str, *, target_mb: int = TARGET_FILE_MB, probe_rows: int = 10_000) -> int:
-    """Number of files of about `target_mb`: bytes per row of a written probe times the rows."""
-    write_parquet(df.limit(probe_rows), scratch, files=1)
-    spark = df.sparkSession
-    probe = spark.read.parquet(scratch).count()
-    if probe == 0:
-        return 1
-    size = folder_bytes(spark, scratch) / probe * df.count()
-    return max(1, math.ceil(size / (target_mb * 1024 * 1024)))
+def write_sized(df: DataFrame, path: str, *, target_mb: int = TARGET_FILE_MB, mode: str = "overwrite") -> None:
+    """Parquet files of about `target_mb`: adaptive execution deals the rows out by their measured size."""
+    spark, key = df.sparkSession, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, f"{target_mb}m")
+    try:
+        write_parquet(df.hint("rebalance"), path, mode=mode)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def write_warehouse(df: DataFrame, url: str, table: str, *, batch: int = BATCH_ROWS, writers: int | None = None, **options: str) -> None:
@@ -127,16 +126,19 @@ def load_through_staging(df: DataFrame, table: str, staging: str) -> None:
 
 
 def save_snapshot(df: DataFrame, folder: str, name: str) -> int | None:
-    """Write version n + 1 when no version has the same row and column count, else nothing.
+    """Write version n + 1 when no version has the same shape and content, else nothing.
 
-    The shapes live in a small manifest next to the data; returns the new version.
+    The manifest next to the data holds shapes and a content sum over row hashes, which does not
+    depend on the order of rows; returns the new version.
     """
     spark = df.sparkSession
     manifest, data = f"{folder}/{name}_manifest", f"{folder}/{name}"
-    shape = (df.count(), len(df.columns))
-    schema = "version int, n_rows bigint, n_columns int"
+    content = F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")), F.lit(0)).cast("string")
+    n_rows, total = df.agg(F.count(F.lit(1)), content).first()
+    shape = (n_rows, len(df.columns), total)
+    schema = "version int, n_rows bigint, n_columns int, content string"
     seen = spark.read.schema(schema).parquet(manifest) if output_complete(spark, manifest) else spark.createDataFrame([], schema)
-    if seen.where((F.col("n_rows") == shape[0]) & (F.col("n_columns") == shape[1])).limit(1).count():
+    if not seen.where((F.col("n_rows") == shape[0]) & (F.col("n_columns") == shape[1]) & (F.col("content") == total)).isEmpty():
         return None
     version = (seen.agg(F.max("version")).first()[0] or 0) + 1
     write_parquet(df, f"{data}/version={version}")
