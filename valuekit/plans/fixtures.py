@@ -169,6 +169,12 @@ def document_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def document_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, labelled or not, as short (train) or long (OOT)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    return docs.withColumn("sample", F.when(F.col("n_chars") >= 3000, "OOT").otherwise("train"))
+
+
 def regression_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with total price as target and the net line total as prediction.
 
@@ -313,6 +319,7 @@ targets_month AS (
     "gappy": """gappy AS (
   SELECT * REPLACE (nullif(l_discount, 0.0) AS l_discount, nullif(p_size, 50) AS p_size, nullif(p_brand, 'Brand#3') AS p_brand)
   FROM bin_sample)""",
+    "document_parts": "doc_parts AS (SELECT doc_id, lang, source, n_chars, CASE WHEN n_chars >= 3000 THEN 'OOT' ELSE 'train' END AS sample FROM documents)",
     "document": """doc_sample AS (
   SELECT doc_id, lang, source, n_chars, quality, toxic, CASE WHEN n_chars >= 3000 THEN 'OOT' ELSE 'train' END AS sample
   FROM labels JOIN documents USING (doc_id))""",

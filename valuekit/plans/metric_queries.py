@@ -43,7 +43,7 @@ def psi_categorical(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def psi_categorical_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(stability.categorical_psi(fx.document_sample(spark, sf), ["lang", "source"]))
+    return tidy(stability.categorical_psi(fx.document_parts(spark, sf), ["lang", "source"]))
 
 
 def psi_array(spark: SparkSession, sf: str) -> DataFrame:
@@ -515,7 +515,7 @@ ORACLE = {
         ("gappy", "gappy"), fx.NUMERIC,
         "list_append([min(value) + i * ((max(value) - min(value)) / 20::DOUBLE) FOR i IN range(20)], max(value))", "OOT", 0.005),
     "psi_categorical": _psi_text_sql(("gappy", "gappy"), ("p_brand", "l_returnflag")),
-    "psi_categorical_documents": _psi_text_sql(("document", "doc_sample"), ("lang", "source")),
+    "psi_categorical_documents": _psi_text_sql(("document_parts", "doc_parts"), ("lang", "source")),
     "psi_array": _psi_sql(("binary", "bin_sample"), ("l_quantity", "l_extendedprice", "score"), f"quantile_cont(value, {_grid(11)})", "test", 0.0001),
     "psi_detailed": rounded_sql(f"{_DETAILED} SELECT * FROM psi", "min_value", "max_value", "base_share", "versus_share", "psi"),
     "psi_short": rounded_sql(

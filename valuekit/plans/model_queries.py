@@ -167,13 +167,13 @@ def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
 
 def tree_correlation(spark: SparkSession, sf: str) -> DataFrame:
     rows = _signal(fx.binary_sample(spark, sf))
-    return tidy(importance.tree_correlation(rows, ["l_quantity", "l_discount", "p_size"], "y", fit_on="train"))
+    return tidy(importance.tree_correlation(rows, fx.NUMERIC, "y", fit_on="train"))
 
 
 def tree_correlation_delta(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _signal(fx.binary_sample(spark, sf)).where(F.col("sample").isin("train", "OOT"))
-    found = importance.tree_correlation(rows, ["l_quantity", "l_discount"], "y")
-    return tidy(importance.correlation_delta(found, ["train", "OOT"]))
+    """Every sample against the training sample."""
+    found = importance.tree_correlation(_signal(fx.binary_sample(spark, sf)), fx.NUMERIC, "y")
+    return tidy(importance.correlation_delta(found, ["train", "valid", "test", "OOT"]))
 
 
 def _line_importance(spark: SparkSession, sf: str) -> DataFrame:
