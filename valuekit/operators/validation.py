@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from valuekit.operators import binary, importance, profile, regression, stability
 from valuekit.operators.training import Fitted
@@ -68,10 +69,18 @@ def validation_suite(df: DataFrame, roles: Roles, model_type: str, *, score: str
     return out
 
 
-def suite_summary(tables: dict[str, DataFrame], names: Sequence[str] | None = None) -> DataFrame:
-    """(check, n_rows): how many rows each table of the suite has."""
+def suite_values(tables: dict[str, DataFrame], names: Sequence[str] | None = None) -> DataFrame:
+    """(check, key, measure, value): every number of every table of the suite, in long form.
+
+    The key is the row's other columns. Unlike a count of rows, this evaluates each measure.
+    """
     out = None
     for name in names or sorted(tables):
-        part = tables[name].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("check"), "n_rows")
+        table = tables[name]
+        measures = [f.name for f in table.schema if isinstance(f.dataType, T.NumericType)]
+        others = [f.name for f in table.schema if f.name not in measures]
+        key = F.concat_ws("|", F.lit(""), *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("-")) for c in others])
+        numbers = table.select(F.lit(name).alias("check"), key.alias("key"), *[F.col(f"`{m}`").cast("double").alias(m) for m in measures])
+        part = numbers.unpivot(["check", "key"], measures, "measure", "value")
         out = part if out is None else out.unionByName(part)
     return out

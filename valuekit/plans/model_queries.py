@@ -294,14 +294,14 @@ def external_model(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def validation_suite(spark: SparkSession, sf: str) -> DataFrame:
-    """Both suites, summarised to one row per table; every table is evaluated in full."""
+    """Every value of both suites, in long form: binary with gaps, regression."""
     lines = _signal(fx.gappy_sample(spark, sf)).na.fill({"y": 0})
     roles = Roles(id=fx.LINE_KEY, target="y", numeric=("l_quantity", "l_discount", "p_size"), categorical=("p_brand",))
     tables = {f"binary_{k}": v for k, v in validation.validation_suite(lines, roles, "binary").items()}
     orders = fx.regression_sample(spark, sf)
     order_roles = Roles(id=("o_orderkey",), target="y", numeric=("qty", "n_lines"))
     tables |= {f"regression_{k}": v for k, v in validation.validation_suite(orders, order_roles, "regression", score="y_pred").items()}
-    return validation.suite_summary(tables)
+    return tidy(validation.suite_values(tables), 4)
 
 
 QUERIES = {
