@@ -52,3 +52,19 @@ def test_validation_knows_its_samples_among_many(spark):
     tables = validation.validation_suite(df.withColumn("score", F.col("score") / 860), Roles(id=("id",), target="y", numeric=("a",)), "binary")
     assert {"gini_train", "gini_test", "gini_OOT"} & set(tables["gini_stability"].columns) or tables["gini_stability"].count() > 0
     assert {r["sample"] for r in tables["metrics"].collect()} >= {"train", "test", "OOT"}
+
+
+def test_tree_paths_against_each_prefix(spark):
+    from valuekit.operators import training
+
+    rows = [(i, "train" if i % 3 else "valid", float(i % 11), float(i % 7), int((i * 7919) % 13 < 5 + i % 4)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, sample string, a double, b double, y int")
+    fitted = training.fit_gbt(df, ["a", "b"], "y", early_stop=False, maxIter=3, maxDepth=2)
+    path = {r["n_trees"]: r["gini_train"] for r in training.tree_path_gini(fitted, df, "y").collect()}
+    last = 100 * binary.gini(fitted.score(df).where("sample = 'train'"), ["sample"], "score", "y").first()["gini"]
+    assert sorted(path) == [1, 2, 3] and abs(path[3] - last) < 1e-9
+    value = training.fit_gbt_regression(df.withColumn("z", F.col("a") * 2 + F.col("b")), ["a", "b"], "z", maxIter=3, maxDepth=2)
+    scored = value.score(df.withColumn("z", F.col("a") * 2 + F.col("b"))).where("sample = 'valid'")
+    error = scored.agg(F.avg(F.abs(F.col("z") - F.col("score")))).first()[0]
+    got = {r["n_trees"]: r["valid"] for r in training.regression_path(value, df.withColumn("z", F.col("a") * 2 + F.col("b")), "z").collect()}
+    assert abs(got[max(got)] - error) < 1e-9

@@ -17,9 +17,9 @@ GINI_BAND = {"valid": (-0.15, -0.25), "test": (-0.15, -0.25), "test2": (-0.15, -
 ZERO_GINI = 0.00001
 
 
-def _label_sums(label: str) -> dict[str, Column]:
-    y = F.col(label)
-    return {"pos": F.sum((y == 1).cast("bigint")), "neg": F.sum((y == 0).cast("bigint"))}
+def _label_sums(label: str, weight: str | None = None) -> dict[str, Column]:
+    y, n = F.col(label), F.lit(1) if weight is None else F.col(weight)
+    return {"pos": F.sum((y == 1).cast("bigint") * n), "neg": F.sum((y == 0).cast("bigint") * n)}
 
 
 def _auc_from(rows: DataFrame, keys: Sequence[str]) -> list[Column]:
@@ -31,9 +31,12 @@ def _auc_from(rows: DataFrame, keys: Sequence[str]) -> list[Column]:
     ]
 
 
-def auc(df: DataFrame, keys: Sequence[str], score: str, label: str, cuts: Sequence | None = None) -> DataFrame:
-    """(keys, n_rows, n_events, auc): exact rank-sum AUC, ties count half, null for one class."""
-    rows = running_totals(df, keys, score, _label_sums(label), cuts=cuts)
+def auc(df: DataFrame, keys: Sequence[str], score: str, label: str, cuts: Sequence | None = None, weight: str | None = None) -> DataFrame:
+    """(keys, n_rows, n_events, auc): exact rank-sum AUC, ties count half, null for one class.
+
+    `weight` names a column with the number of equal rows a row stands for.
+    """
+    rows = running_totals(df, keys, score, _label_sums(label, weight), cuts=cuts)
     return rows.groupBy(*keys).agg(*_auc_from(rows, keys))
 
 

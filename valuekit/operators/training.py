@@ -101,8 +101,8 @@ def fit_gbt_regression(df: DataFrame, features: Sequence[str], label: str, *, lo
 def tree_path_gini(fitted: Fitted, df: DataFrame, label: str, *, sample: str = "sample") -> DataFrame:
     """(n_trees, gini_train, gini_valid, absolute_diff, relative_diff) for every prefix of trees.
 
-    All prefixes are scored in one narrow pass as running sums of the trees' margins; the Gini of
-    every (sample, prefix) is then one grouped job.
+    All prefixes are scored in one narrow pass as running sums of the trees' margins; rows collapse to
+    distinct leaf vectors, and the Gini of every (sample, prefix) is then one grouped job.
     """
     rows = with_vector(df.where(F.col(sample).isin("train", "valid")), fitted.features).select(sample, label, VECTOR)
     weights = list(fitted.model.treeWeights)
@@ -112,9 +112,11 @@ def tree_path_gini(fitted: Fitted, df: DataFrame, label: str, *, sample: str = "
     for i, w in enumerate(weights):
         total = total + F.col(f"_t{i}") * w
         margins.append(total)
-    long = rows.select(sample, label, F.posexplode(F.array(*margins)).alias("_at", "_margin"))
-    long = long.select(sample, label, (F.col("_at") + 1).alias("n_trees"), "_margin")
-    got = auc(long, [sample, "n_trees"], "_margin", label)
+    # Rows that fall into the same leaf of every tree share all margins and count as one from here on.
+    leaves = rows.groupBy(sample, label, *[f"_t{i}" for i in range(len(weights))]).agg(F.count(F.lit(1)).alias("_n"))
+    long = leaves.select(sample, label, "_n", F.posexplode(F.array(*margins)).alias("_at", "_margin"))
+    long = long.select(sample, label, "_n", (F.col("_at") + 1).alias("n_trees"), "_margin")
+    got = auc(long, [sample, "n_trees"], "_margin", label, weight="_n")
     value = 100 * (2 * F.col("auc") - 1)
     wide = got.groupBy("n_trees").agg(*[F.max(F.when(F.col(sample) == s, value)).alias(f"gini_{s}") for s in ("train", "valid")])
     gap = F.col("gini_train") - F.col("gini_valid")
@@ -136,8 +138,10 @@ def regression_path(fitted: Fitted, df: DataFrame, label: str, *, sample: str =
     for i, w in enumerate(fitted.model.treeWeights):
         total = total + F.col(f"_t{i}") * w
         values.append(total)
-    long = rows.select(sample, label, F.posexplode(F.array(*values)).alias("_at", "_value"))
-    errors = long.groupBy(sample, (F.col("_at") + 1).alias("n_trees")).agg(select_metric(metric)(F.col(label), F.col("_value")).alias("error"))
+    # One aggregate column a prefix: rows are read once and never copied.
+    names = [f"{i + 1}" for i in range(len(values))]
+    per_sample = rows.groupBy(sample).agg(*[select_metric(metric)(F.col(label), v).alias(n) for n, v in zip(names, values, strict=True)])
+    errors = per_sample.unpivot([sample], names, "_at", "error").select(sample, F.col("_at").cast("int").alias("n_trees"), "error")
     wide = errors.groupBy("n_trees").agg(*[F.max(F.when(F.col(sample) == s, F.col("error"))).alias(s) for s in ("train", "valid")])
     return wide.withColumn("relative_diff", F.try_divide(100 * F.abs(F.col("train") - F.col("valid")), F.col("train")))
 
