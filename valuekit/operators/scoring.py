@@ -35,6 +35,13 @@ def windows_by_pair(periods: DataFrame) -> dict[tuple[str, str], Window]:
     return {(r["bp"], r["sp"]): Window(r["T_min"], r["T_max"]) for r in rows}
 
 
+def pair_windows(pairs: DataFrame, periods: DataFrame, default: Window) -> DataFrame:
+    """(bp, sp, T_min, T_max) for every wanted pair; a pair without a row in `periods` gets the default window."""
+    rows = periods.select("bp", "sp", F.col("T_min").cast("int").alias("_min"), F.col("T_max").cast("int").alias("_max"))
+    joined = pairs.select("bp", "sp").join(rows, ["bp", "sp"], "left")
+    return joined.select("bp", "sp", F.coalesce("_min", F.lit(default.first)).alias("T_min"), F.coalesce("_max", F.lit(default.last)).alias("T_max"))
+
+
 def uplift_curve(df: DataFrame, fitted: Fitted, base: str, sold: str, window: Window, *, treatment: str, period: str = "T", name: str | None = None, digits: int = 5) -> DataFrame:
     """Add the 13-element uplift array: P(y | treated, T) - P(y | untreated, T).
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuekit.operators import encode, profile, ranks, targets
+from valuekit.operators import encode, profile, ranks, scoring, targets
 from valuekit.plans import fixtures as fx
 from valuekit.plans import mart_queries
 from valuekit.plans.fixtures import rounded_sql, tidy, with_sql
@@ -50,6 +50,12 @@ def target_stats_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(profile.target_stats(gaps, "y"))
 
 
+def pair_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Period windows of the wanted pairs; pairs outside the configuration get the global window."""
+    wanted = targets.pair_list(fx.pair_matrix(spark, sf))
+    return scoring.pair_windows(wanted, fx.pair_periods(spark, sf).where("T_max >= 9"), scoring.Window(0, 12))
+
+
 _STATS = """count(y) AS n_obs, avg(y) AS mean, stddev_pop(y) AS std_pop, stddev_samp(y) AS std_samp, min(y) AS "min",
   quantile_cont(y, 0.25::DOUBLE) AS p25, quantile_cont(y, 0.5::DOUBLE) AS p50, quantile_cont(y, 0.75::DOUBLE) AS p75, max(y) AS "max\""""
 
@@ -59,6 +65,7 @@ QUERIES = {
     "targets_union": targets_union,
     "profile_empty": profile_empty,
     "target_stats_gaps": target_stats_gaps,
+    "pair_windows": pair_windows,
 }
 
 ORACLE = {
@@ -80,4 +87,9 @@ ORACLE = {
     "target_stats_gaps": rounded_sql(
         f"""{with_sql('regression')} SELECT sample, {_STATS} FROM (SELECT nullif(sample, 'test') AS sample, CASE WHEN sample <> 'valid' THEN y END AS y FROM reg_sample) GROUP BY 1""",
         "mean", "std_pop", "std_samp", "min", "p25", "p50", "p75", "max"),
+    "pair_windows": f"""{with_sql('matrix')}, wanted AS (
+        SELECT BP AS bp, sp FROM (UNPIVOT matrix ON click, error, purchase, signup, "view" INTO NAME sp VALUE cell) WHERE cell > 0 AND CAST(priority AS INT) > 0),
+        p AS (SELECT lower(c_mktsegment) AS bp, event_type AS sp, CAST(count(*) % 3 AS INT) AS lo, CAST(6 + count(*) % 7 AS INT) AS hi
+              FROM events JOIN customer ON c_custkey = user_id GROUP BY ALL HAVING 6 + count(*) % 7 >= 9)
+        SELECT w.bp, w.sp, coalesce(p.lo, 0) AS T_min, coalesce(p.hi, 12) AS T_max FROM wanted w LEFT JOIN p USING (bp, sp)""",
 }
