@@ -31,6 +31,8 @@ THRESHOLD = (4, 5)
 #: Size of the table of token counts that orders tokens; the order decides speed only.
 BUCKETS = 16_384
 _CODE_BITS = 58
+# Generators of computed arrays are outer ones: for the others the optimizer adds a filter on the array's size
+# below, which repeats the whole computation. The arrays are never empty, so the rows are the same.
 
 
 def with_tokens(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -51,7 +53,7 @@ def exploded(docs: DataFrame) -> DataFrame:
 
 def _ranks(lines: DataFrame) -> list[int]:
     """Power of two of the token count of each bucket."""
-    counts = with_tokens(lines).select(F.explode("tokens").alias("t")).groupBy(F.pmod("t", F.lit(BUCKETS)).alias("b")).count()
+    counts = with_tokens(lines).select(F.explode_outer("tokens").alias("t")).groupBy(F.pmod("t", F.lit(BUCKETS)).alias("b")).count()
     found = {r.b: r.power for r in counts.select("b", F.floor(F.log2("count")).alias("power")).collect()}
     return [found.get(b, 0) for b in range(BUCKETS)]
 
@@ -67,7 +69,7 @@ def _pick(docs: DataFrame, wanted: DataFrame, payload: list[str]) -> DataFrame:
     """The lines of `docs` named by `wanted` (doc_id, row, line_no and payload)."""
     grouped = wanted.groupBy("doc_id", "row").agg(F.collect_list(F.struct("line_no", *payload)).alias("picks"))
     joined = docs.join(grouped, ["doc_id", "row"]).select("doc_id", "row", F.split("text", "\n").alias("all"), "picks")
-    each = joined.select("doc_id", "row", F.explode(F.transform("picks", lambda p: F.struct(p.alias("p"), F.get("all", p["line_no"]).alias("line")))).alias("e"))
+    each = joined.select("doc_id", "row", F.explode_outer(F.transform("picks", lambda p: F.struct(p.alias("p"), F.get("all", p["line_no"]).alias("line")))).alias("e"))
     return each.select("doc_id", "row", "e.p.*", "e.line")
 
 
@@ -82,7 +84,7 @@ def similar_later(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lines = with_tokens(_pick(docs, firsts, ["k1", "k2"])).withColumn("codes", _codes(ranks))
     n = F.size("codes")
     prefix = F.slice("codes", F.lit(1), (n - F.floor((num * n + den - 1) / den) + 1).cast("int"))
-    rows = lines.select("k1", n.alias("n"), F.posexplode(prefix).alias("i", "code"))
+    rows = lines.select("k1", n.alias("n"), F.posexplode_outer(prefix).alias("i", "code"))
     a, b = rows.alias("a"), rows.alias("b")
     small, large = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
     left = 1 + F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i")) - 1
@@ -138,10 +140,10 @@ WITH raw AS (
 ), listed AS (
   SELECT place, len(tokens) AS n, unnest(tokens) AS token FROM shingled
 ), shared AS (
-  SELECT a.place AS first_at, b.place AS later_at, a.n AS na, b.n AS nb, count(*) AS both
+  SELECT a.place AS first_at, b.place AS later_at, a.n AS na, b.n AS nb, count(*) AS common
   FROM listed a JOIN listed b ON a.token = b.token AND a.place < b.place GROUP BY ALL
 ), removed AS (
-  SELECT DISTINCT later_at FROM shared WHERE 5 * both >= 4 * (na + nb - both)
+  SELECT DISTINCT later_at FROM shared WHERE 5 * common >= 4 * (na + nb - common)
 ), judged AS (
   SELECT s.doc_id, s.line_no, c.place = s.doc_id * 1000000 + s.line_no AND c.place NOT IN (SELECT later_at FROM removed) AS stays
   FROM spoken s JOIN classes c USING (line)
