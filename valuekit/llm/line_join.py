@@ -51,17 +51,21 @@ def exploded(docs: DataFrame) -> DataFrame:
     return lines.where(F.trim("line") != "")
 
 
+def _bucket(token: Column) -> Column:
+    return token.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+
+
 def _ranks(lines: DataFrame) -> list[int]:
     """Power of two of the token count of each bucket."""
-    counts = with_tokens(lines).select(F.explode_outer("tokens").alias("t")).groupBy(F.pmod("t", F.lit(BUCKETS)).alias("b")).count()
+    counts = with_tokens(lines).select(F.explode_outer("tokens").alias("t")).groupBy(_bucket(F.col("t")).alias("b")).count()
     found = {r.b: r.power for r in counts.select("b", F.floor(F.log2("count")).alias("power")).collect()}
     return [found.get(b, 0) for b in range(BUCKETS)]
 
 
 def _codes(ranks: list[int]) -> Column:
     """Tokens as longs whose order is rarity first, sorted."""
-    power = F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
-    code = lambda t: F.shiftleft(F.get(power, F.pmod(t, F.lit(BUCKETS)).cast("int")).cast("long"), _CODE_BITS).bitwiseOR(F.shiftrightunsigned(t, 64 - _CODE_BITS))
+    power = F.split(F.lit(",".join(str(r << _CODE_BITS) for r in ranks)), ",").cast("array<bigint>")
+    code = lambda t: F.get(power, _bucket(t)).bitwiseOR(F.shiftrightunsigned(t, 64 - _CODE_BITS))
     return F.sort_array(F.transform("tokens", code))
 
 
@@ -89,7 +93,7 @@ def similar_later(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     small, large = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
     left = 1 + F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i")) - 1
     fits = (F.col("a.k1") < F.col("b.k1")) & (den * small >= num * large) & ((num + den) * left >= num * (small + large))
-    pairs = a.join(b, (F.col("a.code") == F.col("b.code")) & fits).select(F.col("a.k1").alias("ka"), F.col("b.k1").alias("kb")).distinct()
+    pairs = settled(a.join(b, (F.col("a.code") == F.col("b.code")) & fits).select(F.col("a.k1").alias("ka"), F.col("b.k1").alias("kb")).distinct(), "line-join-pairs")
     sides = pairs.select(F.explode(F.array("ka", "kb")).alias("k1")).distinct()
     met = settled(with_tokens(_pick(docs, firsts.join(sides, "k1", "left_semi"), ["k1", "k2"])).drop("line"), "line-join")
     own = lambda s: met.select(F.col("k1").alias(f"k{s}"), F.struct("k1", "k2").alias(f"key_{s}"), F.struct("doc_id", "row", "line_no").alias(f"at_{s}"), F.col("tokens").alias(f"tokens_{s}"))
