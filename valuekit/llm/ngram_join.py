@@ -134,7 +134,9 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     sides = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = classes.join(sides, "node", "left_semi").select("node", F.col("doc_id").alias("w_id"), F.col("k1").alias("w1"), F.col("k2").alias("w2"))
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")))
-    sets = shingled(texts).where("k1 = w1 AND k2 = w2").select("node", "tokens").dropDuplicates(["node"])
+    # Not a filter: the optimizer would move it below the tokens and compute them there once more.
+    own_tokens = F.when((F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")), F.col("tokens"))
+    sets = shingled(texts).groupBy("node").agg(F.first(own_tokens, ignorenulls=True).alias("tokens"))
     num, den = THRESHOLD
     both = F.size(F.array_intersect("tokens_a", "tokens_b"))
     alike = den * both >= num * (F.size("tokens_a") + F.size("tokens_b") - both)
