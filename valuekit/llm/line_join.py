@@ -23,13 +23,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuekit.llm.shared import settled, table
+from valuekit.llm.shared import membership, settled, table
 
 WORDS = 5
 #: The similarity from which lines count as the same, as numerator and denominator.
 THRESHOLD = (4, 5)
 #: Size of the table of token counts that orders tokens; the order decides speed only.
 BUCKETS = 16_384
+#: Size of the bitmaps that sort out lines and documents before they are joined; it decides speed only.
+BITMAP = 1 << 20
 _CODE_BITS = 58
 # Generators of computed arrays are outer ones: for the others the optimizer adds a filter on the array's size
 # below, which repeats the whole computation. The arrays are never empty, so the rows are the same.
@@ -69,57 +71,55 @@ def _codes(ranks: list[int]) -> Column:
     return F.sort_array(F.transform("tokens", code))
 
 
-def _pick(docs: DataFrame, wanted: DataFrame, payload: list[str]) -> DataFrame:
-    """The lines of `docs` named by `wanted` (doc_id, row, line_no and payload)."""
-    grouped = wanted.groupBy("doc_id", "row").agg(F.collect_list(F.struct("line_no", *payload)).alias("picks"))
-    joined = docs.join(grouped, ["doc_id", "row"]).select("doc_id", "row", F.split("text", "\n").alias("all"), "picks")
-    each = joined.select("doc_id", "row", F.explode_outer(F.transform("picks", lambda p: F.struct(p.alias("p"), F.get("all", p["line_no"]).alias("line")))).alias("e"))
-    return each.select("doc_id", "row", "e.p.*", "e.line")
+def _keyed(lines: DataFrame) -> DataFrame:
+    """`lines` with the two hashes of their text that name its class."""
+    return lines.withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64("line", F.lit(1))})
 
 
-def similar_later(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Classes of lines (k1, k2, first) and the keys of those that have an earlier similar class."""
+def similar_later(docs: DataFrame) -> DataFrame:
+    """Keys (k1, k2) of the classes of lines that have an earlier similar class."""
     num, den = THRESHOLD
-    keyed = exploded(docs).withColumn("k1", F.xxhash64("line")).withColumn("k2", F.xxhash64("line", F.lit(1)))
-    first = F.min(F.struct("doc_id", "row", "line_no")).alias("first")
-    classes = keyed.groupBy("k1", "k2").agg(first)
-    ranks = _ranks(exploded(docs))
-    firsts = classes.select("k1", "k2", "first.*")
-    lines = with_tokens(_pick(docs, firsts, ["k1", "k2"])).withColumn("codes", _codes(ranks))
+    lines = exploded(docs)
     n = F.size("codes")
     prefix = F.slice("codes", F.lit(1), (n - F.floor((num * n + den - 1) / den) + 1).cast("int"))
-    rows = lines.select("k1", n.alias("n"), F.posexplode_outer(prefix).alias("i", "code"))
+    coded = with_tokens(_keyed(lines)).withColumn("codes", _codes(_ranks(lines))).select("k1", "k2", n.alias("n"), prefix.alias("prefix"))
+    rows = coded.groupBy("k1", "k2").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")).select("k1", "n", F.posexplode_outer("prefix").alias("i", "code"))
     a, b = rows.alias("a"), rows.alias("b")
     small, large = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
-    left = 1 + F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i")) - 1
+    left = F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i"))
     fits = (F.col("a.k1") < F.col("b.k1")) & (den * small >= num * large) & ((num + den) * left >= num * (small + large))
     pairs = settled(a.join(b, (F.col("a.code") == F.col("b.code")) & fits).select(F.col("a.k1").alias("ka"), F.col("b.k1").alias("kb")).distinct(), "line-join-pairs")
     sides = pairs.select(F.explode(F.array("ka", "kb")).alias("k1")).distinct()
-    met = settled(with_tokens(_pick(docs, firsts.join(sides, "k1", "left_semi"), ["k1", "k2"])).drop("line"), "line-join")
-    own = lambda s: met.select(F.col("k1").alias(f"k{s}"), F.struct("k1", "k2").alias(f"key_{s}"), F.struct("doc_id", "row", "line_no").alias(f"at_{s}"), F.col("tokens").alias(f"tokens_{s}"))
+    wanted = _keyed(lines).where(membership(sides, BITMAP)(F.xxhash64("line"))).join(sides, "k1", "left_semi")
+    classes = wanted.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "row", "line_no")).alias("at"), F.first("line").alias("line"))
+    met = settled(with_tokens(classes).drop("line"), "line-join-met")
+    own = lambda s: met.select(F.col("k1").alias(f"k{s}"), F.struct("k1", "k2").alias(f"key_{s}"), F.col("at").alias(f"at_{s}"), F.col("tokens").alias(f"tokens_{s}"))
     both = F.size(F.array_intersect("tokens_a", "tokens_b"))
     alike = den * both >= num * (F.size("tokens_a") + F.size("tokens_b") - both)
     later = F.when(F.col("at_a") > F.col("at_b"), F.col("key_a")).otherwise(F.col("key_b"))
     removed = pairs.join(own("a"), "ka").join(own("b"), "kb").where(alike).select(later.alias("key")).select("key.*").distinct()
-    return classes, settled(removed, "line-join-removed")
+    return settled(removed, "line-join-removed")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """`docs` (doc_id, text, any others) with `text` less its removed lines, and `n_lines` and `n_removed`."""
     row = F.xxhash64("text")
     named = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", row.alias("row"), "text")
-    classes, removed = similar_later(named)
-    keyed = exploded(named).select("doc_id", "row", "line_no", F.xxhash64("line").alias("k1"), F.xxhash64("line", F.lit(1)).alias("k2"))
-    gone = classes.join(removed.withColumn("gone", F.lit(True)), ["k1", "k2"], "left")
+    keyed = _keyed(exploded(named)).drop("line")
+    classes = keyed.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "row", "line_no")).alias("first"))
+    gone = classes.join(similar_later(named).withColumn("gone", F.lit(True)), ["k1", "k2"], "left")
     placed = keyed.join(gone, ["k1", "k2"])
     dropped = placed.where(F.col("gone") | (F.col("first") != F.struct("doc_id", "row", "line_no")))
-    drops = dropped.groupBy(F.col("doc_id").alias("__doc"), F.col("row").alias("__row")).agg(F.collect_set("line_no").alias("__drops"))
-    joined = docs.join(drops, (docs["doc_id"] == drops["__doc"]) & (F.xxhash64(docs["text"]) == drops["__row"]), "left")
-    split = F.split("text", "\n")
-    kept = F.filter(split, lambda _, i: ~F.array_contains("__drops", i))
+    drops = settled(dropped.groupBy(F.col("doc_id").alias("__doc"), F.col("row").alias("__row")).agg(F.collect_set("line_no").alias("__drops")), "line-join-drops")
+    others = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    lines = F.split("text", "\n")
+    maybe = F.coalesce(membership(drops.select("__row"), BITMAP)(row), F.lit(False))
+    same = docs.where(~maybe).select(*others, F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"), F.lit(0).alias("n_removed"))
+    joined = docs.where(maybe).join(drops, (docs["doc_id"] == drops["__doc"]) & (F.xxhash64(docs["text"]) == drops["__row"]), "left")
+    kept = F.filter(lines, lambda _, i: ~F.array_contains("__drops", i))
     text = F.when(F.col("__drops").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    counted = joined.withColumn("n_lines", F.coalesce(F.size(split), F.lit(0))).withColumn("n_removed", F.coalesce(F.size("__drops"), F.lit(0)))
-    return counted.withColumn("text", text).select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
+    counted = joined.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0))).withColumn("n_removed", F.coalesce(F.size("__drops"), F.lit(0)))
+    return counted.withColumn("text", text).select(*others, "n_lines", "n_removed").unionByName(same)
 
 
 def op7_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch. Texts are long, so the default of 10,000 rows would hold too much memory.
 BATCH_ROWS = 512
@@ -43,6 +44,24 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def membership(values: DataFrame, bits: int) -> Callable[[Column], Column]:
+    """A test that is true for every long in the single column of `values`, and for few others.
+
+    A bitmap of fixed size, built by Spark: it sorts rows out before a join and never decides alone. However
+    many values there are, it has `bits` / 64 longs; with very many it sorts out less.
+    """
+    place = values.toDF("v").select(F.col("v").bitwiseAND(F.lit(bits - 1)).cast("int").alias("p"))
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("p").bitwiseAND(F.lit(63)))
+    slots = {r.slot: r.held for r in place.groupBy(F.shiftright("p", 6).alias("slot")).agg(F.bit_or(one).alias("held")).collect()}
+    held = F.split(F.lit(",".join(str(slots.get(i) or 0) for i in range(bits // 64))), ",").cast("array<bigint>")
+
+    def test(value: Column) -> Column:
+        p = value.bitwiseAND(F.lit(bits - 1)).cast("int")
+        return F.call_function("shiftrightunsigned", F.get(held, F.shiftright(p, 6)), p.bitwiseAND(F.lit(63))).bitwiseAND(F.lit(1).cast("bigint")) == 1
+
+    return test
+
+
 def map_batches(df: DataFrame, step: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
     """`mapInArrow` for a function from columns (name to list) to the output columns in `schema`."""
     small_batches(df.sparkSession)
