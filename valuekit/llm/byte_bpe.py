@@ -26,9 +26,11 @@ LEAF = 4096
 #: Ids on each side of a join in the first window.
 WINDOW = 8
 #: Entries of the cache of encoded words; at this size it starts anew (memory only, never results).
-CACHED = 250_000
+CACHED = 400_000
 _CUT = re.compile(r"(?<=\S)(?= )")
 _UNSAFE = re.compile(r"\s ")
+#: A word of Latin letters and one mark: the pattern always parts them, so the word's ids are reused.
+_MARKED = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+[.,]")
 
 
 def byte_symbols() -> list[str]:
@@ -83,18 +85,28 @@ class ByteBpe:
 
     def _learn(self, fresh: list[str], first: list[str]) -> None:
         """Encode distinct parts: those after a space joined into long texts, the others one by one."""
-        together, alone = [], []
+        together, alone, marked = set(), [], []
         for u in fresh:
-            (together if u and len(u) < LEAF and not u[-1].isspace() else alone).append(u)
+            if len(u) < LEAF and _MARKED.fullmatch(u):
+                marked.append(u)
+                if u[:-1] not in self.spaced:
+                    together.add(u[:-1])
+            elif u and len(u) < LEAF and not u[-1].isspace():
+                together.add(u)
+            else:
+                alone.append(u)
+        words = list(together)
         step = 2000
-        for i in range(0, len(together), step):
-            part = together[i : i + step]
-            units = [" " + u for u in part]
-            ids = np.array(self._library("".join(units)), dtype="<u4")
-            ends = np.cumsum([len(u.encode()) for u in units])
-            cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
-            for u, a, b in zip(part, [0, *cuts[:-1]], cuts):
-                self.spaced[u] = ids[a:b].tobytes()
+        for i in range(0, len(words), step):
+            part = words[i : i + step]
+            ids = np.array(self._library(" " + " ".join(part)), dtype="<u4")
+            ends = np.cumsum([len(u.encode()) + 1 for u in part])
+            cuts = (4 * (np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1)).tolist()
+            data = ids.tobytes()
+            self.spaced.update((u, data[a:b]) for u, a, b in zip(part, [0, *cuts], cuts))
+        if marked:
+            marks = {m: np.array(self._library(m), dtype="<u4").tobytes() for m in ".,"}
+            self.spaced.update((u, self.spaced[u[:-1]] + marks[u[-1]]) for u in marked)
         self.spaced.update({u: self.encode_stretch(" " + u) for u in alone})
         self.whole.update({u: self.encode_stretch(u) for u in first})
 

@@ -140,7 +140,8 @@ def read_planes(spark: SparkSession, folder: str, block: int = BLOCK) -> DataFra
     ordered = F.array_sort(F.collect_list(F.struct("block", "ids")))
     joined = F.aggregate(ordered, F.lit(b"").cast("binary"), lambda done, part: F.concat(done, part["ids"]))
     met = split.groupBy("shard", "doc_id", "at").agg(joined.alias("ids"))
-    both = whole.select("shard", "doc_id", "at", "ids").unionByName(met).join(starts, "shard")
+    # One row a shard, and a shard is a task of the writing job: small enough to broadcast at any size.
+    both = whole.select("shard", "doc_id", "at", "ids").unionByName(met).join(F.broadcast(starts), "shard")
     return both.select("doc_id", (F.col("shard_start") + F.col("at")).alias("start"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
 
 
