@@ -15,6 +15,7 @@ import functools
 import json
 import os
 import re
+from collections import Counter, deque
 
 import numpy as np
 import regex
@@ -26,11 +27,14 @@ LEAF = 4096
 #: Ids on each side of a join in the first window.
 WINDOW = 8
 #: Entries of the cache of encoded words; at this size it starts anew (memory only, never results).
-CACHED = 400_000
+CACHED = 800_000
+#: Batches of texts looked back at, to see which words stay in a full cache: those of at least two of them.
+LOOK_BACK = 6
 _CUT = re.compile(r"(?<=\S)(?= )")
 _UNSAFE = re.compile(r"\s ")
-#: A word of Latin letters and one mark: the pattern always parts them, so the word's ids are reused.
-_MARKED = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+[.,]")
+#: A word of Latin letters, perhaps with one mark after it. The pattern keeps such a word and the space before it
+#: together and always parts the mark, so words go without the pattern and their ids serve for both.
+_LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+([.,]?)")
 
 
 def byte_symbols() -> list[str]:
@@ -45,7 +49,7 @@ class ByteBpe:
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -55,6 +59,8 @@ class ByteBpe:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.words_only = Tokenizer.from_file(path)
+        self.words_only.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit("\0"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.symbols = byte_symbols()
         back = {ord(s): b for b, s in enumerate(self.symbols)}
         added = {t["id"]: t["content"] for t in spec["added_tokens"]}
@@ -67,17 +73,21 @@ class ByteBpe:
         self.pattern = regex.compile(PATTERN)
         self.spaced: dict[str, bytes] = {}
         self.whole: dict[str, bytes] = {}
+        self.recent: deque[set[str]] = deque(maxlen=LOOK_BACK)
 
     # -- encoding
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.spaced) + len(self.whole) > CACHED:
-            self.spaced.clear()
-            self.whole.clear()
+            seen = Counter(u for words in self.recent for u in words)
+            self.spaced = {u: self.spaced[u] for u, n in seen.items() if n > 1 and u in self.spaced}
+            self.whole = {}
         split = [_CUT.split(t) if _UNSAFE.search(t) else None for t in texts]
         plain = [t.split(" ") if s is None else () for t, s in zip(texts, split)]
-        fresh = set().union(*(p[1:] for p in plain)).difference(self.spaced)
+        words = set().union(*(p[1:] for p in plain))
+        self.recent.append(words)
+        fresh = words.difference(self.spaced)
         first = {u for s, p in zip(split, plain) for u in (s if s is not None else p[:1])}.difference(self.whole)
         self._learn(list(fresh), list(first))
         near, far = self.spaced.__getitem__, self.whole.__getitem__
@@ -85,30 +95,37 @@ class ByteBpe:
 
     def _learn(self, fresh: list[str], first: list[str]) -> None:
         """Encode distinct parts: those after a space joined into long texts, the others one by one."""
-        together, alone, marked = set(), [], []
+        latin, together, alone, marked = set(), [], [], []
         for u in fresh:
-            if len(u) < LEAF and _MARKED.fullmatch(u):
+            match = _LATIN.fullmatch(u) if len(u) < LEAF else None
+            if match and match[1]:
                 marked.append(u)
                 if u[:-1] not in self.spaced:
-                    together.add(u[:-1])
+                    latin.add(u[:-1])
+            elif match:
+                latin.add(u)
             elif u and len(u) < LEAF and not u[-1].isspace():
-                together.add(u)
+                together.append(u)
             else:
                 alone.append(u)
-        words = list(together)
+        self._learn_joined(list(latin), self.words_only, "\0")
+        self._learn_joined(together, self.library, "")
+        if marked:
+            marks = {m: np.array(self._library(m), dtype="<u4").tobytes() for m in ".,"}
+            self.spaced.update((u, self.spaced[u[:-1]] + marks[u[-1]]) for u in marked)
+        self.spaced.update({u: self.encode_stretch(" " + u) for u in alone})
+        self.whole.update({u: self.encode_stretch(u) for u in first})
+
+    def _learn_joined(self, words: list[str], coder, between: str) -> None:
+        """Encode words, each with the space before it, many in one text, and part their ids by their bytes."""
         step = 2000
         for i in range(0, len(words), step):
             part = words[i : i + step]
-            ids = np.array(self._library(" " + " ".join(part)), dtype="<u4")
+            ids = np.array(coder.encode_batch_fast([between.join([f" {u}" for u in part])], add_special_tokens=False)[0].ids, dtype="<u4")
             ends = np.cumsum([len(u.encode()) + 1 for u in part])
             cuts = (4 * (np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1)).tolist()
             data = ids.tobytes()
             self.spaced.update((u, data[a:b]) for u, a, b in zip(part, [0, *cuts], cuts))
-        if marked:
-            marks = {m: np.array(self._library(m), dtype="<u4").tobytes() for m in ".,"}
-            self.spaced.update((u, self.spaced[u[:-1]] + marks[u[-1]]) for u in marked)
-        self.spaced.update({u: self.encode_stretch(" " + u) for u in alone})
-        self.whole.update({u: self.encode_stretch(u) for u in first})
 
     def _library(self, text: str) -> list[int]:
         return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
