@@ -64,7 +64,7 @@ def brute(rows):
         k = len(text) // 3
         changed = text[: len(text) - k] + after[:k]
         a, b, c = pp.fingerprints([text, changed, after])
-        out[key] = (len(text), hashlib.sha256(changed.encode()).hexdigest(), pp.as_text(a), pp.as_text(b), pp.likeness(a, b), pp.likeness(a, c))
+        out[key] = (len(text), hashlib.sha256(changed.encode()).hexdigest(), pp.packed(a).hex(), pp.packed(b).hex(), pp.likeness(a, b), pp.likeness(a, c))
     return out
 
 

@@ -121,8 +121,9 @@ def fingerprints(texts: list[str]) -> list[np.ndarray]:
     return [names[:SIZE] for names in out]
 
 
-def as_text(print_: np.ndarray) -> str:
-    return print_.astype(">u4").tobytes().hex()
+def packed(print_: np.ndarray) -> bytes:
+    """A fingerprint as bytes; its text form is their hexadecimal digits."""
+    return print_.astype(">u4").tobytes()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -141,15 +142,16 @@ def edited(text: str, next_text: str) -> str:
     return text[: len(text) - third] + next_text[:third]
 
 
-_RESULT = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_RESULT = "doc_id bigint, n_chars bigint, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+_TEXTS = ("edited_sha256", "fingerprint", "edited_fingerprint")
 
 
 def _compared(keys: list, texts: list[str], prints: list[np.ndarray], next_texts: list[str], next_prints: list[np.ndarray]) -> dict[str, list]:
     changed = [edited(a, b) for a, b in zip(texts, next_texts)]
     changed_prints = fingerprints(changed)
     return {
-        "doc_id": keys, "n_chars": [len(t) for t in texts], "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed],
-        "fingerprint": [as_text(p) for p in prints], "edited_fingerprint": [as_text(p) for p in changed_prints],
+        "doc_id": keys, "n_chars": [len(t) for t in texts], "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest() for t in changed],
+        "fingerprint": [packed(p) for p in prints], "edited_fingerprint": [packed(p) for p in changed_prints],
         "near_edited": [likeness(a, b) for a, b in zip(prints, changed_prints)], "near_next": [likeness(a, b) for a, b in zip(prints, next_prints)],
     }
 
@@ -196,7 +198,8 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
         return _compared(batch["doc_id"], batch["text"], fingerprints(batch["text"]), batch["next_text"], fingerprints(batch["next_text"]))
 
     names = pa_schema(docs.sparkSession, _RESULT).names
-    return passed.where("edge IS NULL").select(*names).unionByName(map_batches(open_, close, _RESULT))
+    both = passed.where("edge IS NULL").select(*names).unionByName(map_batches(open_, close, _RESULT))
+    return both.withColumns({c: F.lower(F.hex(c)) for c in _TEXTS})
 
 
 def op4_phrase_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
