@@ -29,7 +29,8 @@ WORDS = 5
 #: The similarity from which lines count as the same, as numerator and denominator.
 THRESHOLD = (4, 5)
 #: Size of the table of token counts that orders tokens; the order decides speed only.
-BUCKETS = 16_384
+BUCKETS = 1 << 18
+SEGMENT = 1024
 #: Size of the bitmaps that sort out lines and documents before they are joined; it decides speed only.
 BITMAP = 1 << 20
 _CODE_BITS = 58
@@ -57,17 +58,23 @@ def _bucket(token: Column) -> Column:
     return token.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
-def _ranks(lines: DataFrame) -> list[int]:
-    """Power of two of the token count of each bucket."""
+def _ranks(lines: DataFrame) -> Column:
+    """An array with the power of two of the token count of each bucket.
+
+    Spark joins the powers of SEGMENT buckets to one text, so the driver gets BUCKETS / SEGMENT short rows.
+    """
     counts = with_tokens(lines).select(F.explode_outer("tokens").alias("t")).groupBy(_bucket(F.col("t")).alias("b")).count()
-    found = {r.b: r.power for r in counts.select("b", F.floor(F.log2("count")).alias("power")).collect()}
-    return [found.get(b, 0) for b in range(BUCKETS)]
+    placed = counts.select(F.expr(f"b div {SEGMENT}").alias("part"), F.struct((F.col("b") % SEGMENT).alias("at"), F.floor(F.log2("count")).cast("int").alias("power")).alias("one"))
+    held = placed.groupBy("part").agg(F.map_from_entries(F.collect_list("one")).alias("powers"))
+    text = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(SEGMENT - 1)), lambda i: F.coalesce(F.try_element_at("powers", i), F.lit(0))), ",")
+    found = {r.part: r.text for r in held.select("part", text.alias("text")).collect()}
+    none = ",".join(["0"] * SEGMENT)
+    return F.split(F.lit(",".join(found.get(p, none) for p in range(BUCKETS // SEGMENT))), ",").cast("array<int>")
 
 
-def _codes(ranks: list[int]) -> Column:
+def _codes(ranks: Column) -> Column:
     """Tokens as longs whose order is rarity first, sorted."""
-    power = F.split(F.lit(",".join(str(r << _CODE_BITS) for r in ranks)), ",").cast("array<bigint>")
-    code = lambda t: F.get(power, _bucket(t)).bitwiseOR(F.shiftrightunsigned(t, 64 - _CODE_BITS))
+    code = lambda t: F.shiftleft(F.get(ranks, _bucket(t)).cast("bigint"), _CODE_BITS).bitwiseOR(F.shiftrightunsigned(t, 64 - _CODE_BITS))
     return F.sort_array(F.transform("tokens", code))
 
 
