@@ -30,7 +30,7 @@ def test_parquet_round_trip_and_completion(spark, frame, tmp_path):
 def test_read_mart_prunes_partitions(spark, tmp_path):
     rows = [(i, float(i), date(2001, m, [31, 28, 31, 30][m - 1])) for m in (1, 2, 3, 4) for i in range(5)]
     spark.createDataFrame(rows, "epk_id int, x double, report_dt_part date").write.partitionBy("report_dt_part").parquet(str(tmp_path / "m"))
-    got = readers.read_mart(spark, str(tmp_path / "m"), date(2001, 3, 31), 2, ["epk_id", "x"])
+    got = readers.read_mart(spark, str(tmp_path / "m"), date(2001, 3, 31), 2, ["epk_id", "x"], month="report_dt_part")
     assert {r["report_dt_part"] for r in got.collect()} == {date(2001, 2, 28), date(2001, 3, 31)}
     assert "report_dt_part" in got._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:200]
 
@@ -116,7 +116,7 @@ def test_batch_run_is_restartable(spark, tmp_path):
     rows = [(i, m, float(i % 9), i % 2, "A B" if i % 3 else "c") for i in range(60) for m in months]
     data = spark.createDataFrame(rows, "epk_id int, report_dt_part date, x_amt double, cc int, seg_cd string")
     codes = fit_dictionary(data.withColumn("seg_cd", F.lower(F.replace("seg_cd", F.lit(" "), F.lit("")))), ["seg_cd"])
-    options = {"key": "epk_id", "categorical": ["seg_cd"], "features": ["x_amt", "cc", "seg_cd"], "averaged": ["x_amt"], "horizons": (3,)}
+    options = {"key": "epk_id", "month": "report_dt_part", "categorical": ["seg_cd"], "features": ["x_amt", "cc", "seg_cd"], "averaged": ["x_amt"], "horizons": (3,)}
     folder = str(tmp_path / "run")
     first = batch.build_dataset(data, codes, folder, months[-1], **options)
     assert first.count() == 60 and set(first.columns) == {"epk_id", "x_amt", "cc", "seg_cd", "x_amt_3a"}

@@ -198,7 +198,7 @@ def test_slice_resume_equals_one_shot(spark):
 
 
 def test_freshness(spark):
-    df = spark.createDataFrame([(date(2001, 7, 31),), (date(2001, 6, 30),)], "report_dt_part date")
+    df = spark.createDataFrame([(date(2001, 7, 31),), (date(2001, 6, 30),)], "month date")
     assert mart.freshness(df, date(2001, 8, 5)).first()["is_fresh"] is True
     assert mart.freshness(df, date(2001, 9, 5)).first()["is_fresh"] is False
     assert mart.first_period("dc1", "dc") == 1 and mart.first_period("pl", "pl") == 1 and mart.first_period("pl", "cc") == 0

@@ -70,6 +70,7 @@ def model_registry(predictions: DataFrame, importance: DataFrame, *, label: str,
 def problem_models(registry: DataFrame, card_bases: Sequence[str] = ("dc1", "dc2p"), card_sold: str = "dc") -> DataFrame:
     """Registry rows that must not go to production, with the reasons as columns."""
     own = (
+        # The product codes in these defaults and rules.
         (F.col("bp").isin(*card_bases) & (F.col("sp") == card_sold))
         | (F.col("bp") == F.col("sp"))
         | (F.col("bp") == F.concat("sp", F.lit("2")))

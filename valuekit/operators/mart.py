@@ -23,8 +23,8 @@ def mart_slice(
     mart: DataFrame,
     slice_date: date,
     *,
-    key: str = "epk_id",
-    month: str = "report_dt_part",
+    key: str = "client_id",
+    month: str = "month",
     features: Sequence[str],
     averaged: Sequence[str],
     horizons: Sequence[int] = HORIZONS,
@@ -53,12 +53,12 @@ def mart_slice(
     return current.join(means, key)
 
 
-def latest_month(mart: DataFrame, month: str = "report_dt_part") -> DataFrame:
+def latest_month(mart: DataFrame, month: str = "month") -> DataFrame:
     """The newest month, one row. For a partition column no data column is read."""
     return mart.agg(F.max(month).alias("latest_month"))
 
 
-def freshness(mart: DataFrame, today: date | None = None, month: str = "report_dt_part") -> DataFrame:
+def freshness(mart: DataFrame, today: date | None = None, month: str = "month") -> DataFrame:
     """Is the newest month the last full month before `today`?"""
     now = F.lit(today) if today else F.current_date()
     due = F.last_day(F.add_months(now, -1))
@@ -76,6 +76,7 @@ def join_targets(features: DataFrame, targets: DataFrame, key: str, date_column:
 
 def first_period(base: str, sold: str) -> int:
     """T = 0 is left out where the sold product is the base product itself."""
+    # The product codes of the same product under another name.
     same = base == sold or base == f"{sold}2" or (base in ("dc1", "dc2p") and sold == "dc")
     return 1 if same else 0
 

@@ -19,7 +19,7 @@ FEATURES = (*AVERAGED, "prio_cd", "seg_cd", "bal_amt")
 
 def mart_slice(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(mart.mart_slice(
-        fx.mart(spark, sf, fx.slice_months()), fx.SLICE_DATE, month="report_dt", features=FEATURES, averaged=AVERAGED, condition=fx.VALID_CLIENT
+        fx.mart(spark, sf, fx.slice_months()), fx.SLICE_DATE, key="epk_id", month="report_dt", features=FEATURES, averaged=AVERAGED, condition=fx.VALID_CLIENT
     ))
 
 

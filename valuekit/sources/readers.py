@@ -14,7 +14,7 @@ from valuekit.operators.clean import cast_numbers
 from valuekit.roles import require_columns
 
 
-def read_mart(spark: SparkSession, path: str, slice_date: date, months: int, columns: Sequence[str], month: str = "report_dt_part") -> DataFrame:
+def read_mart(spark: SparkSession, path: str, slice_date: date, months: int, columns: Sequence[str], month: str = "month") -> DataFrame:
     """Wanted columns of the last `months` month partitions; other partitions are not read."""
     rows = spark.read.parquet(path)
     require_columns(rows, [month, *columns])
