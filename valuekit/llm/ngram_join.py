@@ -116,7 +116,11 @@ def _equal_forms(a: Column, b: Column) -> Column:
 
 def _candidates(classes: DataFrame) -> DataFrame:
     """Pairs (a < b) of nodes that survive the pruning, each once."""
-    rows = classes.select("node", "short", F.transform("bands", lambda b: F.shiftright(b, 32).cast("int")).alias("low"), F.posexplode("bands").alias("band", "key"))
+    thin = classes.select("node", F.posexplode("bands").alias("band", "key"))
+    # Most keys have one class. Only the others are worth the short forms, which are many bytes a row.
+    met = thin.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "key")
+    forms = classes.select("node", "short", F.transform("bands", lambda b: F.shiftright(b, 32).cast("int")).alias("low"))
+    rows = thin.join(met, ["band", "key"], "left_semi").join(forms, "node")
     a, b = rows.alias("a"), rows.alias("b")
     equal = [_equal_forms(F.get("a.short", F.lit(i)), F.get("b.short", F.lit(i))) for i in range(HASHES * BITS // 64)]
     enough = [reduce(Column.__add__, equal[: n * BITS // 64]) >= fewest_matches(n) for n in STEPS]
