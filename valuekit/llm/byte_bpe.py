@@ -27,9 +27,9 @@ LEAF = 4096
 #: Ids on each side of a join in the first window.
 WINDOW = 8
 #: Entries of the cache of encoded words; at this size it starts anew (memory only, never results).
-CACHED = 800_000
+CACHED = 200_000
 #: Batches of texts looked back at, to see which words stay in a full cache: those of at least two of them.
-LOOK_BACK = 6
+LOOK_BACK = 3
 _CUT = re.compile(r"(?<=\S)(?= )")
 _UNSAFE = re.compile(r"\s ")
 #: A word of Latin letters, perhaps with one mark after it. The pattern keeps such a word and the space before it
@@ -59,8 +59,8 @@ class ByteBpe:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.words_only = Tokenizer.from_file(path)
-        self.words_only.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit("\0"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.by_pattern = self.library.pre_tokenizer
+        self.by_word = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit("\0"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.symbols = byte_symbols()
         back = {ord(s): b for b, s in enumerate(self.symbols)}
         added = {t["id"]: t["content"] for t in spec["added_tokens"]}
@@ -108,20 +108,24 @@ class ByteBpe:
                 together.append(u)
             else:
                 alone.append(u)
-        self._learn_joined(list(latin), self.words_only, "\0")
-        self._learn_joined(together, self.library, "")
+        self.library.pre_tokenizer = self.by_word
+        try:
+            self._learn_joined(list(latin), "\0")
+        finally:
+            self.library.pre_tokenizer = self.by_pattern
+        self._learn_joined(together, "")
         if marked:
             marks = {m: np.array(self._library(m), dtype="<u4").tobytes() for m in ".,"}
             self.spaced.update((u, self.spaced[u[:-1]] + marks[u[-1]]) for u in marked)
         self.spaced.update({u: self.encode_stretch(" " + u) for u in alone})
         self.whole.update({u: self.encode_stretch(u) for u in first})
 
-    def _learn_joined(self, words: list[str], coder, between: str) -> None:
+    def _learn_joined(self, words: list[str], between: str) -> None:
         """Encode words, each with the space before it, many in one text, and part their ids by their bytes."""
         step = 2000
         for i in range(0, len(words), step):
             part = words[i : i + step]
-            ids = np.array(coder.encode_batch_fast([between.join([f" {u}" for u in part])], add_special_tokens=False)[0].ids, dtype="<u4")
+            ids = np.array(self.library.encode_batch_fast([between.join([f" {u}" for u in part])], add_special_tokens=False)[0].ids, dtype="<u4")
             ends = np.cumsum([len(u.encode()) + 1 for u in part])
             cuts = (4 * (np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1)).tolist()
             data = ids.tobytes()
