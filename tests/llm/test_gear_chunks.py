@@ -76,3 +76,15 @@ def test_planted_passages_and_cases(spark):
     assert all(r.n_removed == 0 for r in got if r.doc_id is None or r.doc_id == 1 or 30 <= r.doc_id < 60)
     assert all(by_id[i].n_removed > 0 for i in range(2, 30)) and by_id[73].text == "" and by_id[70].text == ""
     assert gc.dedup_substrings(docs.limit(0)).count() == 0
+
+
+def test_nearly_every_passage_of_50_words_is_found(spark):
+    picks = random.Random(4)
+    word = lambda: "".join(picks.choice("etaoinshrdlu") for _ in range(picks.randrange(3, 8)))
+    say = lambda n: " ".join(word() for _ in range(n))
+    passages = [say(picks.randrange(50, 61)) for _ in range(400)]
+    rows = [(2 * i + k, f"{say(60)} {p} {say(60)}") for i, p in enumerate(passages) for k in range(2)]
+    got = gc.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id % 2 = 1").collect()
+    shares = [r.n_removed / len(passages[r.doc_id // 2]) for r in got]
+    assert len(got) == 400 and sum(s > 0 for s in shares) >= 396
+    assert sum(shares) / 400 > 0.75

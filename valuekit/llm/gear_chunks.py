@@ -1,8 +1,10 @@
 """Substring deduplication by content-defined chunks (operator 9).
 
-A gear hash rolls over the code points of a text: each character adds its random value to the doubled sum, so
-the 32 bits depend on the last 32 characters only. A chunk ends where the sum falls below 2^32 / AVERAGE, which
-is decided by content alone: inside a repeated passage the cuts are the same, whatever stands before it.
+A gear hash rolls over the code points of a text: each character adds its random value to the doubled sum. The
+values have their top WINDOW of 32 bits only, so the sum depends on the last WINDOW characters. A chunk ends where
+it falls below 2^32 / AVERAGE, which is decided by content alone: inside a repeated passage the cuts are the same,
+whatever stands before it. A passage loses WINDOW characters and part of a chunk at its start and part of one at
+its end; the rest must reach RUN.
 Chunks are compared by a 64-bit digest. A chunk repeats if a document with a smaller doc_id has it. Runs of
 neighbouring repeated chunks of at least RUN characters are removed; shorter ones, which clean prose shares by
 chance, stay.
@@ -24,9 +26,9 @@ from pyspark.sql import functions as F
 from valuekit.llm.shared import map_batches, settled, table
 
 #: Mean characters of a chunk, and the characters in a run from which repeated text is removed.
-AVERAGE = 48
-RUN = 120
-WINDOW = 32
+AVERAGE = 24
+RUN = 4 * AVERAGE
+WINDOW = 12
 SEED = 41_017
 
 
@@ -34,7 +36,8 @@ SEED = 41_017
 def _gear() -> tuple[np.ndarray, np.ndarray]:
     """Random values of the low byte and of the rest of a code point."""
     picks = np.random.default_rng(SEED)
-    return picks.integers(0, 2**32, 256, dtype=np.uint32), picks.integers(0, 2**32, 0x1100, dtype=np.uint32)
+    top = np.uint32(2**32 - 2 ** (32 - WINDOW))
+    return picks.integers(0, 2**32, 256, dtype=np.uint32) & top, picks.integers(0, 2**32, 0x1100, dtype=np.uint32) & top
 
 
 def chunk_ends(text: str) -> list[int]:
@@ -81,7 +84,8 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
     chunked = settled(map_batches(named, cut, "doc_id bigint, row bigint, digests array<bigint>"), "gear-chunks")
     chunks = chunked.select("doc_id", "row", F.posexplode("digests").alias("number", "digest"))
-    owners = chunks.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("digest", "first")
+    # The largest doc_id would tell which digests repeat, but costs more in the shuffle than it saves in the join.
+    owners = chunks.groupBy("digest").agg(F.min("doc_id").alias("first"))
     later = chunks.join(owners, "digest").where("doc_id > first")
     return later.groupBy("doc_id", "row").agg(F.collect_set("number").alias("numbers"))
 
