@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from valuekit.operators import binary, profile, ranks, regression, split, stability, validation
+from valuekit.operators import binary, importance, profile, ranks, regression, split, stability, validation
 from valuekit.roles import Roles
 
 
@@ -68,3 +68,34 @@ def test_tree_paths_against_each_prefix(spark):
     error = scored.agg(F.avg(F.abs(F.col("z") - F.col("score")))).first()[0]
     got = {r["n_trees"]: r["valid"] for r in training.regression_path(value, df.withColumn("z", F.col("a") * 2 + F.col("b")), "z").collect()}
     assert abs(got[max(got)] - error) < 1e-9
+
+
+def test_null_samples_stay_in_regression_reports(spark):
+    rows = [(i, s, float(i * 7 % 11), float(i * 5 % 13)) for i, s in enumerate(["train", None] * 20)]
+    df = spark.createDataFrame(rows, "id long, sample string, y double, p double")
+    named = df.withColumn("sample", F.coalesce("sample", F.lit("none")))
+
+    def same(report):
+        got = [sorted(tuple("none" if v is None and k == "sample" else v for k, v in r.asDict().items()) for r in report(d).collect()) for d in (df, named)]
+        assert got[0] == got[1] and {"train", "none"} <= {v for r in got[0] for v in r if isinstance(v, str)}
+
+    same(lambda d: regression.rec_curve(d, ["sample"], "y", "p"))
+    same(lambda d: regression.rec_area(d, ["sample"], "y", "p"))
+    same(lambda d: regression.regression_metrics(d, ["sample"], "y", "p"))
+
+
+def test_null_values_have_no_spearman_rank(spark):
+    rows = [(None, 1.0, 1.0), (None, 2.0, 3.0), (None, 3.0, 2.0)]
+    df = spark.createDataFrame([*rows, (None, None, 4.0)], "sample string, y double, p double")
+    assert abs(regression.spearman(df, ["sample"], "y", "p").first()["spearman"] - 0.5) < 1e-9
+
+
+def test_null_sample_stays_in_permutation_importance(spark):
+    from valuekit.operators import training
+
+    rows = [(i, "train" if i % 2 else None, float(i % 11), float(i % 7), float(i % 11) + i % 3) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, sample string, a double, b double, y double")
+    fitted = training.fit_gbt_regression(df.withColumn("sample", F.when(F.col("id") % 3 > 0, "train").otherwise("valid")), ["a", "b"], "y", maxIter=2, maxDepth=2)
+    got = importance.permutation_importance(df, fitted, "y", ["id"], metric="mae").collect()
+    assert {(r["sample"], r["feature"]) for r in got} == {(s, f) for s in ("train", None) for f in ("a", "b")}
+    assert all(r["importance"] is not None for r in got)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from valuekit.functions.columns import correlation, filled, hash_fraction, status_boundary
 from valuekit.operators.binary import auc
+from valuekit.operators.frames import join_on
 from valuekit.operators.ranks import running_totals
 from valuekit.operators.regression import select_metric
 from valuekit.operators.training import Fitted, with_vector
@@ -31,10 +32,10 @@ def permuted_rows(df: DataFrame, key: Sequence[str], features: Sequence[str], ke
         df = df.where(hash_fraction(*[F.col(k) for k in key], seed=seed + 1) < share)
     rows = settle(df.select(*dict.fromkeys([sample, *keep, *features]), hash_fraction(*[F.col(k) for k in key], seed=seed).alias("_h")))
     ranks = running_totals(rows, [sample], "_h", {"n": F.count(F.lit(1))}, totals=True)
-    ranked = rows.join(ranks.select(sample, "_h", F.col("n_below").alias("_rank"), "n_all"), [sample, "_h"])
+    ranked = join_on(rows, ranks.select(sample, "_h", F.col("n_below").alias("_rank"), "n_all"), [sample, "_h"])
     turned = F.pmod(F.col("_rank") + F.floor(F.col("n_all") / 2), F.col("n_all"))
     donors = ranked.select(sample, turned.alias("_rank"), *[F.col(f).alias(f"_d_{f}") for f in features])
-    both = ranked.join(donors, [sample, "_rank"])
+    both = join_on(ranked, donors, [sample, "_rank"])
     variants = [("", None), *[(f, f) for f in features]]
     structs = F.array(*[
         F.struct(F.lit(n).alias("permuted"), *[F.col(f"_d_{f}" if f == moved else f).alias(f) for f in features]) for n, moved in variants
@@ -59,7 +60,7 @@ def permutation_importance(df: DataFrame, fitted: Fitted, label: str, key: Seque
     base = got.where(F.col("permuted") == "").select(sample, F.col("value").alias("base"))
     worse = F.col("base") - F.col("value") if metric in ("gini", "r2") else F.col("value") - F.col("base")
     size = F.try_divide(worse, F.col("base")) if relative else 100 * worse if metric in ("gini", "r2") else worse
-    return got.where(F.col("permuted") != "").join(base, sample).select(sample, F.col("permuted").alias("feature"), size.alias("importance"))
+    return join_on(got.where(F.col("permuted") != ""), base, [sample]).select(sample, F.col("permuted").alias("feature"), size.alias("importance"))
 
 
 def factor_relevancy(importance: DataFrame, sample: str = "sample", limit: float = RELEVANT_SHARE) -> DataFrame:

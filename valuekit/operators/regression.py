@@ -80,7 +80,7 @@ def spearman(df: DataFrame, keys: Sequence[str], target: str, prediction: str) -
     pairs = df.groupBy(*keys, target, prediction).agg(F.count(F.lit(1)).alias("_n"))
     by_target = average_ranks(pairs, keys, target, "_rank_y", F.col("_n"))
     by_prediction = average_ranks(pairs, keys, prediction, "_rank_p", F.col("_n"))
-    ranked = pairs.join(by_target, [*keys, target]).join(by_prediction, [*keys, prediction])
+    ranked = join_on(join_on(pairs, by_target, [*keys, target]), by_prediction, [*keys, prediction])
     n, ry, rp = F.col("_n").cast("double"), F.col("_rank_y"), F.col("_rank_p")
     moments = ranked.groupBy(*keys).agg(
         F.sum(n).alias("w"),
@@ -106,7 +106,7 @@ def regression_metrics(df: DataFrame, keys: Sequence[str], target: str, predicti
         r2(y, p).alias("r2"),
         correlation(y, p).alias("pearson"),
     )
-    return table.join(spearman(df, keys, target, prediction), [*keys], "left")
+    return join_on(table, spearman(df, keys, target, prediction), [*keys], "left")
 
 
 def regression_delta(metrics: DataFrame, samples: Sequence[str], sample: str = "sample", base: str = "train") -> DataFrame:
@@ -167,7 +167,7 @@ def mean_interval(df: DataFrame, keys: Sequence[str], value: str, alpha: float =
 def _errors(df: DataFrame, keys: Sequence[str], target: str, prediction: str) -> DataFrame:
     """Rows with the model's absolute error and that of the mean of the target in the group."""
     centre = df.groupBy(*keys).agg(F.avg(target).alias("_mean"))
-    with_mean = df.join(pinned(centre), [*keys]) if keys else df.withColumn("_mean", centre.scalar())
+    with_mean = join_on(df, pinned(centre), [*keys]) if keys else df.withColumn("_mean", centre.scalar())
     y = F.col(target)
     return with_mean.select(*keys, F.abs(y - F.col(prediction)).alias("model"), F.abs(y - F.col("_mean")).alias("baseline"))
 
