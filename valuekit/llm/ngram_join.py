@@ -86,9 +86,9 @@ def fewest_matches(n: int) -> int:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, k1, k2, short forms and band keys."""
+    """Per document: doc_id, row (a hash of the text), k1, k2, short forms and band keys."""
     small_batches(docs.sparkSession)
-    ddl = "doc_id bigint, k1 bigint, k2 bigint, short array<bigint>, bands array<bigint>"
+    ddl = "doc_id bigint, row bigint, k1 bigint, k2 bigint, short array<bigint>, bands array<bigint>"
     schema = pa_schema(docs.sparkSession, ddl)
 
     def sign(batches):
@@ -99,11 +99,11 @@ def _signed(docs: DataFrame) -> DataFrame:
             starts = lists.offsets.to_numpy()
             tokens = lists.values.to_numpy(zero_copy_only=False)[starts[0] : starts[-1]]
             values = signatures(tokens, (starts[:-1] - starts[0]).astype(np.int64))
-            columns = [batch.column(c) for c in ("doc_id", "k1", "k2")]
-            columns += [pa.array(list(x), type=f.type) for x, f in zip((short_forms(values), band_keys(values)), list(schema)[3:])]
+            columns = [batch.column(c) for c in ("doc_id", "row", "k1", "k2")]
+            columns += [pa.array(list(x), type=f.type) for x, f in zip((short_forms(values), band_keys(values)), list(schema)[4:])]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return shingled(docs.select("doc_id", "text")).select("doc_id", "k1", "k2", "tokens").mapInArrow(sign, ddl)
+    return shingled(docs.select("doc_id", "text", F.xxhash64("text").alias("row"))).select("doc_id", "row", "k1", "k2", "tokens").mapInArrow(sign, ddl)
 
 
 def _equal_forms(a: Column, b: Column) -> Column:
@@ -130,7 +130,7 @@ def _candidates(classes: DataFrame) -> DataFrame:
 
 
 def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Documents (doc_id, k1, k2), classes (node, k1, k2, copies, doc_id) and links (a, b) between classes."""
+    """Documents (doc_id, row, k1, k2), classes (node, k1, k2, copies, doc_id) and links (a, b) between classes."""
     signed = settled(_signed(docs), "ngram-signed")
     own = signed.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("doc_id"), F.first("short").alias("short"), F.first("bands").alias("bands"))
     classes = settled(own.withColumn("node", F.monotonically_increasing_id()), "ngram-classes")
@@ -146,7 +146,7 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     alike = den * both >= num * (F.size("tokens_a") + F.size("tokens_b") - both)
     joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b")), "b")
     links = settled(joined.where(alike).select("a", "b"), "ngram-links")
-    return signed.select("doc_id", "k1", "k2"), classes.select("node", "k1", "k2", "copies", "doc_id"), links
+    return signed.select("doc_id", "row", "k1", "k2"), classes.select("node", "k1", "k2", "copies", "doc_id"), links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -177,10 +177,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id is the smallest of its class; rows without doc_id stay."""
-    found = near_duplicates(docs)
-    others = found.where("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    """One row of `docs` of each group: that of the smallest doc_id, rows without one last, then by the hash of the text.
+
+    Of rows that share doc_id and text any one stays.
+    """
+    members, classes, links = similar_classes(docs)
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")
+    labels = classes.join(components(links), "node", "left").select("k1", "k2", F.coalesce("label", "node").alias("label"))
+    ends = members.groupBy("k1", "k2").agg(F.min(place).alias("first")).join(labels, ["k1", "k2"])
+    least = ends.groupBy("label").agg(F.min("first").alias("first"))
+    firsts = ends.select("k1", "k2", "label").join(least, "label").select("k1", "k2", "first")
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row"))
+    judged = members.join(firsts, ["k1", "k2"]).groupBy("doc_id", "row").agg(F.max(kept).alias("kept"), F.count(F.lit(1)).alias("n"))
+    judged = settled(judged.select(F.col("doc_id").alias("__doc"), F.col("row").alias("__hash"), "kept", "n"), "ngram-kept")
+    tagged = docs.withColumn("__row", F.xxhash64("text"))
+    met = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__row") == F.col("__hash"))
+    once = tagged.join(judged.where("NOT kept OR n > 1").select("__doc", "__hash"), met, "left_anti").select(docs.columns)
+    repeated = judged.where("kept AND n > 1").select("__doc", "__hash")
+    if repeated.isEmpty():  # a second shuffle of all texts only where it is needed
+        return once
+    return once.union(tagged.join(repeated, met, "left_semi").dropDuplicates(["doc_id", "__row"]).select(docs.columns))
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
