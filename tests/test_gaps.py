@@ -1,5 +1,8 @@
 """Nothing vanishes: empty columns and groups, null keys and strata, unknown samples."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from valuekit.operators import binary, importance, profile, ranks, regression, split, stability, validation
@@ -99,3 +102,17 @@ def test_null_sample_stays_in_permutation_importance(spark):
     got = importance.permutation_importance(df, fitted, "y", ["id"], metric="mae").collect()
     assert {(r["sample"], r["feature"]) for r in got} == {(s, f) for s in ("train", None) for f in ("a", "b")}
     assert all(r["importance"] is not None for r in got)
+
+
+@pytest.mark.parametrize(("kind", "day"), [("view", "2024-01-31"), ("return", "2024-01-05"), ("view", "2023-12-31")])
+def test_event_outside_the_layout_is_an_error(spark, sf, tmp_path, kind, day):
+    from valuekit.plans import fixtures
+
+    for name in ("orders", "lineitem", "customer"):
+        os.symlink(f"{sf}/{name}.parquet", tmp_path / f"{name}.parquet")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    kinds = {f.name: f.dataType for f in events.schema}
+    odd = events.limit(1).withColumns({"event_type": F.lit(kind), "ts": F.lit(f"{day} 10:00:00").cast(kinds["ts"])})
+    events.unionByName(odd).write.parquet(str(tmp_path / "events.parquet"))
+    with pytest.raises(Exception, match="outside the layout"):
+        fixtures.targets_wide(spark, str(tmp_path)).collect()

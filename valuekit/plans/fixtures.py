@@ -116,13 +116,16 @@ def client_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def targets_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per client with `<event>_t<day>` counts, null after the client's last event.
 
-    Carries noise and `_new` columns, as the raw tables do.
+    Carries noise and `_new` columns, as the raw tables do. An event outside the layout of EVENT_TYPES and
+    EVENT_DAYS is an error.
     """
     events = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("client_dk"), "event_type", F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")).alias("day")
     )
     names = [f"{e}_t{d}" for e in EVENT_TYPES for d in range(EVENT_DAYS)]
-    named = events.withColumn("name", F.concat("event_type", F.lit("_t"), F.col("day").cast("string")))
+    name = F.concat("event_type", F.lit("_t"), F.col("day").cast("string"))
+    outside = F.raise_error(F.concat(F.lit("event outside the layout of targets_wide: "), F.coalesce(name, F.lit("null"))))
+    named = events.withColumn("name", F.when(name.isin(names), name).otherwise(outside))
     counts = named.groupBy("client_dk").pivot("name", names).agg(F.count(F.lit(1)))
     last = events.groupBy("client_dk").agg(F.max("day").alias("last_day"))
     reported = (
