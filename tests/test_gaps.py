@@ -116,3 +116,11 @@ def test_event_outside_the_layout_is_an_error(spark, sf, tmp_path, kind, day):
     events.unionByName(odd).write.parquet(str(tmp_path / "events.parquet"))
     with pytest.raises(Exception, match="outside the layout"):
         fixtures.targets_wide(spark, str(tmp_path)).collect()
+
+
+def test_model_queries_use_every_numeric_feature(spark, sf):
+    from valuekit.plans import fixtures, model_queries
+
+    assert {r["feature"] for r in model_queries.feature_curve(spark, sf).collect()} == set(fixtures.NUMERIC)
+    keys = [r["key"] for r in model_queries.validation_suite(spark, sf).where("check = 'binary_gini_features'").select("key").distinct().collect()]
+    assert all(any(f in k.split("|") for k in keys) for f in fixtures.NUMERIC)

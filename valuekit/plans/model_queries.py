@@ -206,7 +206,7 @@ def top_features(spark: SparkSession, sf: str) -> DataFrame:
 
 def feature_curve(spark: SparkSession, sf: str) -> DataFrame:
     rows = _signal(fx.binary_sample(spark, sf))
-    return tidy(importance.feature_curve(rows, lambda df, f, y, sample: _fit_line_model(df, f, y, sample, maxIter=3), ["l_quantity", "l_discount", "p_size"], "y"))
+    return tidy(importance.feature_curve(rows, lambda df, f, y, sample: _fit_line_model(df, f, y, sample, maxIter=3), fx.NUMERIC, "y"))
 
 
 # -- calibration ---------------------------------------------------------------------------------
@@ -296,7 +296,7 @@ def external_model(spark: SparkSession, sf: str) -> DataFrame:
 def validation_suite(spark: SparkSession, sf: str) -> DataFrame:
     """Every value of both suites, in long form: binary with gaps, regression."""
     lines = _signal(fx.gappy_sample(spark, sf)).na.fill({"y": 0})
-    roles = Roles(id=fx.LINE_KEY, target="y", numeric=("l_quantity", "l_discount", "p_size"), categorical=("p_brand",))
+    roles = Roles(id=fx.LINE_KEY, target="y", numeric=fx.NUMERIC, categorical=("p_brand",))
     tables = {f"binary_{k}": v for k, v in validation.validation_suite(lines, roles, "binary").items()}
     orders = fx.regression_sample(spark, sf)
     order_roles = Roles(id=("o_orderkey",), target="y", numeric=("qty", "n_lines"))
