@@ -11,7 +11,7 @@ from valuekit.functions.columns import MISSING_NUMBER, status_boundary, status_t
 from valuekit.operators.frames import join_on, long_numeric
 from valuekit.operators.ranks import bin_of, pinned, quantiles, running_totals, unique_edges
 
-# Allowed relative Gini change against train (yellow from, red from), by sample kind.
+# Allowed relative Gini change against train (yellow from, red from), by sample kind; others count as test.
 GINI_BAND = {"valid": (-0.15, -0.25), "test": (-0.15, -0.25), "test2": (-0.15, -0.25), "OOT": (-0.2, -0.3), "OOT_psi": (-0.2, -0.3)}
 # Fixed value: stands for a zero train Gini in the relative change.
 ZERO_GINI = 0.00001
@@ -95,12 +95,12 @@ def precision_recall_curve(df: DataFrame, keys: Sequence[str], score: str, label
     )
 
 
-def score_bins(df: DataFrame, keys: Sequence[str], score: str, n_edges: int = 20, unbinned: int | None = -1) -> DataFrame:
+def score_bins(df: DataFrame, keys: Sequence[str], score: str, n_edges: int = 20, unbinned: int | None = -1, cuts: Sequence | None = None) -> DataFrame:
     """Add `bin`: right-closed quantile bins of the score per group.
 
     `n_edges` edges give `n_edges - 1` bins; the smallest score lies outside and gets `unbinned`.
     """
-    edges = quantiles(df, keys, score, [i / (n_edges - 1) for i in range(n_edges)], name="edges")
+    edges = quantiles(df, keys, score, [i / (n_edges - 1) for i in range(n_edges)], name="edges", cuts=cuts)
     edges = edges.select(*keys, unique_edges(F.col("edges")).alias("_edges"))
     number = bin_of(f"`{score}`", "_edges", n_edges)
     with_edges = join_on(df, pinned(edges), [*keys], "left") if keys else df.withColumn("_edges", edges.select("_edges").scalar())
@@ -220,7 +220,7 @@ def gini_stability(df: DataFrame, features: Sequence[str], score: str, label: st
         if s == base:
             continue
         delta = f"delta_{base}_vs_{s}"
-        yellow, red = GINI_BAND[s]
+        yellow, red = GINI_BAND.get(s, GINI_BAND["test"])
         change = (F.col(f"gini_{s}") - F.col(f"gini_{base}")) / reference
         mark = F.when(F.col("feature") == "model", status_two_sided(F.col(delta), yellow, red, "reverse")).otherwise(
             status_boundary(F.col(delta), red)

@@ -8,13 +8,16 @@ from typing import Any
 
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valuekit.functions.columns import expit, logit, odds
 from valuekit.operators.binary import score_bins
+from valuekit.operators.frames import join_on
+from valuekit.operators.isotonic import fit_isotonic
+from valuekit.operators.ranks import known_cuts
 from valuekit.operators.training import VECTOR, with_vector
+from valuekit.session import settle_counted
 
 # Calibration methods by name, and the clip of the log-loss.
 METHODS = ("isotonic", "logistic", "logistic-odds", "logistic-ln-odds", "linear", "linear-odds", "linear-ln-odds", "dtree")
@@ -34,22 +37,31 @@ def _back(v: Column, scale: str) -> Column:
 
 
 def linear_coefficients(df: DataFrame, keys: Sequence[str], score: str, label: str, *, scale: str = "plain", weighted: bool = False) -> DataFrame:
-    """(keys, slope, intercept) of the line through the bin means (20 edges, 19 bins).
+    """(keys, slope, intercept) of the line through the bin means; null for a group without two different points."""
+    return linear_lines(df, keys, score, label, [(scale, weighted)]).select(*keys, "slope", "intercept")
 
-    Least squares in closed form over the bin rows; `weighted` uses the bins' event shares. Bins
+
+def linear_lines(df: DataFrame, keys: Sequence[str], score: str, label: str, variants: Sequence[tuple[str, bool]]) -> DataFrame:
+    """(keys, scale, weighted, slope, intercept): lines through the bin means (20 edges, 19 bins), binned once for all variants.
+
+    Least squares in closed form over the bin rows; a weighted line uses the bins' event shares. Bins
     whose odds do not exist (rate 0 or 1) are left out.
     """
-    binned = score_bins(df, keys, score, 20, unbinned=None).where(F.col("bin").isNotNull())
+    rows, n = settle_counted(df.select(*dict.fromkeys([*keys, score, label])))
+    binned = score_bins(rows, keys, score, 20, unbinned=None, cuts=known_cuts(n))
     means = binned.groupBy(*keys, "bin").agg(F.avg(score).alias("x"), F.avg(label).alias("y"), F.sum(label).alias("events"))
-    share = F.try_divide(F.col("events"), F.sum("events").over(Window.partitionBy(*keys)))
-    points = means.select(*keys, _forward(F.col("x"), scale).alias("x"), _forward(F.col("y"), scale).alias("y"), (share if weighted else F.lit(1.0)).alias("w"))
-    known = points.where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    w, x, y = F.col("w"), F.col("x"), F.col("y")
-    sums = known.groupBy(*keys).agg(
-        F.sum(w).alias("w"), F.sum(w * x).alias("wx"), F.sum(w * y).alias("wy"), F.sum(w * x * x).alias("wxx"), F.sum(w * x * y).alias("wxy")
-    )
-    slope = F.expr("try_divide(wxy - wx * wy / w, wxx - wx * wx / w)")
-    return sums.withColumn("slope", slope).select(*keys, "slope", F.expr("(wy - slope * wx) / w").alias("intercept"))
+    # Rows outside the bins stay as a point without weight, so that their group does.
+    events = F.when(F.col("bin").isNotNull(), F.col("events"))
+    points = means.withColumn("share", F.try_divide(events, F.sum(events).over(Window.partitionBy(*keys))))
+    sums = []
+    for scale, weighted in variants:
+        x, y = _forward(F.col("x"), scale), _forward(F.col("y"), scale)
+        w = F.when(F.col("bin").isNotNull() & x.isNotNull() & y.isNotNull(), F.col("share") if weighted else F.lit(1.0))
+        parts = {"w": w, "wx": w * x, "wy": w * y, "wxx": w * x * x, "wxy": w * x * y}
+        sums.append(F.struct(F.lit(scale).alias("scale"), F.lit(weighted).alias("weighted"), *[F.sum(c).alias(n) for n, c in parts.items()]))
+    lines = points.groupBy(*keys).agg(F.array(*sums).alias("lines")).select(*keys, F.explode("lines").alias("_l")).select(*keys, "_l.*")
+    slope = F.expr("try_divide(wxy - try_divide(wx * wy, w), wxx - try_divide(wx * wx, w))")
+    return lines.withColumn("slope", slope).select(*keys, "scale", "weighted", "slope", F.expr("try_divide(wy - slope * wx, w)").alias("intercept"))
 
 
 @dataclass
@@ -81,17 +93,6 @@ class Logistic:
         return f"1/(1+exp(-({self.slope}*{x} + {self.intercept})))"
 
 
-@dataclass
-class Isotonic:
-    model: Any
-
-    def apply(self, df: DataFrame, score: str, name: str = "y_calib") -> DataFrame:
-        return self.model.transform(df, {self.model.featuresCol: score, self.model.predictionCol: name})
-
-    def equation(self) -> None:
-        return None
-
-
 @dataclass
 class TreeLogistic:
     """Tree on the features, one logistic line of the score per leaf."""
@@ -138,8 +139,7 @@ def fit_calibration(df: DataFrame, score: str, label: str, method: str, *, weigh
 
     y = F.col(label).cast("double")
     if method == "isotonic":
-        points = df.groupBy(F.col(score).cast("double").alias(score)).agg(F.avg(y).alias("_y"), F.count(F.lit(1)).cast("double").alias("_w"))
-        return Isotonic(IsotonicRegression(featuresCol=score, labelCol="_y", weightCol="_w").fit(points))
+        return fit_isotonic(df, score, label)
     points = df.groupBy(_forward(F.col(score), _scale(method)).alias("_x"), y.alias("_y")).agg(F.count(F.lit(1)).cast("double").alias("_w"))
     points = points.where(F.col("_x").isNotNull())
     vectors = VectorAssembler(inputCols=["_x"], outputCol="_v").transform(points)
@@ -195,7 +195,8 @@ def calibration_stats(df: DataFrame, keys: Sequence[str] = (), score: str = "y_p
     # Without keys both sides are one row and meet through a constant column.
     link = [*keys] or ["_all"]
     one = (lambda d: d) if keys else (lambda d: d.withColumn("_all", F.lit(0).cast("int")))
-    total = one(rest).join(one(errors), link).withColumn("bin", F.lit("Total")).drop("_all")
+    # A group whose scores are all equal has no bins, but errors all the same.
+    total = join_on(one(rest), one(errors), link, "left").withColumns({"n_obs": F.coalesce("n_obs", F.lit(0)), "bin": F.lit("Total")}).drop("_all")
     return bins.withColumn("bin", F.col("bin").cast("string")).unionByName(total, allowMissingColumns=True)
 
 

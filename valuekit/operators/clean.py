@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from valuekit.functions.columns import finite_or, known, null_text, whole_or_null
+from valuekit.operators.frames import long_text
 from valuekit.operators.ranks import pinned, quantiles
 
 # Integer ranges and the type that holds them, narrowest first. Unsigned ranges have
@@ -152,9 +153,19 @@ def narrow_types(df: DataFrame) -> DataFrame:
 
 
 def low_cardinality(df: DataFrame, columns: Sequence[str], share: float = 0.5) -> list[str]:
-    """String columns whose distinct values stay under `share` of the rows."""
-    got = df.agg(F.count(F.lit(1)).alias("n"), *[F.approx_count_distinct(c).alias(f"d_{c}") for c in columns]).first()
-    return [c for c in columns if got[f"d_{c}"] < share * got["n"]]
+    """String columns whose distinct values stay under `share` of the rows. Values are counted exactly, null not at all."""
+    values = long_text(df, [], columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    got = {r["feature"]: r for r in values.groupBy("feature").agg(F.count("value").alias("values"), F.sum("n").alias("n")).collect()}
+    return [c for c in columns if c in got and got[c]["values"] < share * got[c]["n"]]
+
+
+def mark_categories(df: DataFrame, sizes: Mapping[str, int]) -> DataFrame:
+    """Mark columns of codes 0..n-1 as categories in their metadata.
+
+    The mark is the one that `pyspark.ml` reads: it stays through parquet and into feature vectors, so trees split the
+    codes by sets. Other columns and all values are left as they are.
+    """
+    return df.withColumns({c: F.col(c).alias(c, metadata={"ml_attr": {"type": "nominal", "num_vals": n}}) for c, n in sizes.items()})
 
 
 def null_flags(df: DataFrame, columns: Sequence[str], replace_missing: bool = True) -> DataFrame:

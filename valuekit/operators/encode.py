@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valuekit.functions.columns import MISSING_CATEGORY, blank_free_lower
 from valuekit.operators.frames import long_text
 from valuekit.operators.ranks import dense_codes
+from valuekit.session import settle
+
+#: Rows of a dictionary that are shipped with a task: a bound on memory, codes are the same beyond it.
+HELD_ROWS = 200_000
 
 
 def fit_dictionary(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -41,31 +47,74 @@ def fit_global_dictionary(frames: Sequence[DataFrame], features: Sequence[str])
     return dense_codes(grown.unionByName(always), ["feature"], "value")
 
 
-def encode(df: DataFrame, dictionary: DataFrame, features: Sequence[str], normalise: bool = False) -> DataFrame:
+def category_sizes(dictionary: DataFrame, features: Sequence[str]) -> dict[str, int]:
+    """Number of codes by feature, for `clean.mark_categories`."""
+    rows = dictionary.where(F.col("feature").isin(*features)).groupBy("feature").agg(F.max("code").alias("last")).collect()
+    return {r["feature"]: int(r["last"]) + 1 for r in rows}
+
+
+def encode(df: DataFrame, dictionary: DataFrame, features: Sequence[str], normalise: bool = False, held_rows: int = HELD_ROWS) -> DataFrame:
     """Replace categories by codes.
 
     Null counts as "NA"; an unseen value gets the code of "NA" when the dictionary has it, else 0.
-    With `normalise` values are stripped of blanks and lower-cased first. Each feature is joined with
-    its part of the dictionary, whatever its size: Spark broadcasts a part it has measured as small, and
-    adaptive execution splits a hot value where it does not.
+    With `normalise` values are stripped of blanks and lower-cased first. The dictionary is evaluated once and written.
+    Its smallest features, as many as have `held_rows` rows together, are looked up in one vectorised pass over the
+    rows; each other one is joined, where adaptive execution splits a hot value.
     """
-    wanted = dictionary.where(F.col("feature").isin(*features)).select("feature", "value", "code")
-    missing = wanted.where(F.col("value") == MISSING_CATEGORY).groupBy("feature").agg(F.max("code").alias("code"))
-    # One row a feature: the codes of "NA".
-    fallback = {r["feature"]: r["code"] for r in missing.collect()}
-    out = df
-    for name in features:
+    wanted = settle(dictionary.where(F.col("feature").isin(*features)).select("feature", "value", F.col("code").cast("bigint").alias("code")))
+    # One row a feature: its size and the code of "NA".
+    sizes = wanted.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("value") == MISSING_CATEGORY, F.col("code"))).alias("missing")).orderBy("n", "feature").collect()
+    fallback = {r["feature"]: r["missing"] or 0 for r in sizes}
+    held, total = [f for f in features if f not in fallback], 0
+    for r in sizes:
+        total += r["n"]
+        if total <= held_rows:
+            held.append(r["feature"])
+
+    def text(name: str) -> Column:
         value = F.col(f"`{name}`").cast("string")
-        text = F.coalesce(blank_free_lower(value) if normalise else value, F.lit(MISSING_CATEGORY))
-        one = wanted.where(F.col("feature") == name).select(F.col("value").alias("_value"), F.col("code").cast("bigint").alias("_code"))
-        joined = out.withColumn("_text", text).join(one, F.col("_text") == F.col("_value"), "left")
-        out = joined.withColumn(name, F.coalesce("_code", F.lit(fallback.get(name, 0)).cast("bigint"))).drop("_code", "_value", "_text")
-    return out.select(*df.columns)
+        return F.coalesce(blank_free_lower(value) if normalise else value, F.lit(MISSING_CATEGORY))
+
+    out = df
+    for name in dict.fromkeys(f for f in features if f not in held):
+        one = wanted.where(F.col("feature") == name).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+        joined = out.withColumn("_text", text(name)).join(one, F.col("_text") == F.col("_value"), "left")
+        out = joined.withColumn(name, F.coalesce("_code", F.lit(fallback[name]))).drop("_code", "_value", "_text")
+    if held:
+        found = _lookup(wanted.where(F.col("feature").isin(*held)), held, fallback)
+        coded = out.withColumn("_codes", found(F.struct(*[text(f).alias(f"f{i}") for i, f in enumerate(held)])))
+        out = coded.withColumns({f: F.col(f"_codes.f{i}") for i, f in enumerate(held)}).drop("_codes")
+    return out.select(*[f"`{c}`" for c in df.columns])
+
+
+def _lookup(dictionary: DataFrame, features: Sequence[str], fallback: Mapping[str, int]) -> Callable[[Column], Column]:
+    """A vectorised function from a struct of texts to a struct of codes; the dictionary has a checked number of rows."""
+    table = dictionary.toArrow().to_pandas()
+    codes = {i: (part["value"].to_numpy(dtype=object), part["code"].to_numpy()) for i, f in enumerate(features) if len(part := table[table["feature"] == f])}
+    rest = [fallback.get(f, 0) for f in features]
+    shipped = dictionary.sparkSession.sparkContext.broadcast((codes, rest))
+
+    @F.pandas_udf(", ".join(f"f{i} bigint" for i in range(len(features))))
+    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, other = shipped.value
+        indexes = {i: pd.Index(values) for i, (values, _) in known.items()}
+        for batch in batches:
+            out = {}
+            for i, missing in enumerate(other):
+                if i not in known:
+                    out[f"f{i}"] = np.full(len(batch), missing, np.int64)
+                    continue
+                place = indexes[i].get_indexer(batch.iloc[:, i])
+                out[f"f{i}"] = np.where(place >= 0, known[i][1][place], missing)
+            yield pd.DataFrame(out)
+
+    return found
 
 
 def pending_rows(source: DataFrame, encoded: DataFrame, key: str) -> DataFrame:
-    """Rows of `source` whose key is not in `encoded` yet, for resuming a broken run."""
-    return source.join(encoded.select(key), key, "left_anti")
+    """Rows of `source` whose key is not in `encoded` yet, for resuming a broken run. A null key is a key like others."""
+    done = encoded.select(F.col(key).alias("_done"))
+    return source.join(done, F.col(key).eqNullSafe(F.col("_done")), "left_anti")
 
 
 def code_of(dictionary: DataFrame, feature: str, value: str) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valuekit.operators.binary import gini, wide_by_sample
+from valuekit.operators.frames import join_on
 from valuekit.operators.profile import sample_stats
 from valuekit.roles import SAMPLES
 
@@ -110,4 +111,4 @@ def feature_usage(importance: DataFrame) -> DataFrame:
 def model_titles(predictions: DataFrame, label: str, score: str = "score") -> DataFrame:
     """Rows, mean target and Gini per sample, the numbers of a report's first page."""
     stats = sample_stats(predictions, label)
-    return stats.join(gini(predictions, ["sample"], score, label).select("sample", "gini"), "sample")
+    return join_on(stats, gini(predictions, ["sample"], score, label).select("sample", "gini"), ["sample"])

@@ -4,29 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuekit.functions.columns import correlation, filled, hash_fraction, status_boundary
+from valuekit.functions.columns import hash_fraction, status_boundary
 from valuekit.operators.binary import auc
+from valuekit.operators.feature_trees import feature_tree_correlation
 from valuekit.operators.frames import join_on
 from valuekit.operators.ranks import running_totals
 from valuekit.operators.regression import select_metric
-from valuekit.operators.training import Fitted, with_vector
+from valuekit.operators.training import Fitted, Formula, WoeLogistic
 from valuekit.session import settle
 
 # Fixed value: a feature is relevant above this share of the best one.
 RELEVANT_SHARE = 0.2
 
 
-def permuted_rows(df: DataFrame, key: Sequence[str], features: Sequence[str], keep: Sequence[str], *, sample: str = "sample", share: float = 1.0, seed: int = 0) -> DataFrame:
-    """Rows as they are (`permuted` = '') and once per feature with that feature shuffled.
+def _with_donors(df: DataFrame, key: Sequence[str], features: Sequence[str], keep: Sequence[str], sample: str, share: float, seed: int) -> DataFrame:
+    """Rows with the features of another row of their sample as `_d_<feature>`.
 
-    Within each sample, rows get their rank in hash order; the value of a shuffled feature comes
-    from the row half a turn further, for all features alike. A `share` below 1 works on a hash
-    sample of the rows, if the caller asks for it. One self-join on (sample, rank) serves all features. The
-    key must identify a row.
+    Within each sample, rows get their rank in hash order; the donor is the row half a turn further, for all features
+    alike. One self-join on (sample, rank) serves all features. The key must identify a row.
     """
     if share < 1:
         df = df.where(hash_fraction(*[F.col(k) for k in key], seed=seed + 1) < share)
@@ -35,7 +33,16 @@ def permuted_rows(df: DataFrame, key: Sequence[str], features: Sequence[str], ke
     ranked = join_on(rows, ranks.select(sample, "_h", F.col("n_below").alias("_rank"), "n_all"), [sample, "_h"])
     turned = F.pmod(F.col("_rank") + F.floor(F.col("n_all") / 2), F.col("n_all"))
     donors = ranked.select(sample, turned.alias("_rank"), *[F.col(f).alias(f"_d_{f}") for f in features])
-    both = join_on(ranked, donors, [sample, "_rank"])
+    return join_on(ranked, donors, [sample, "_rank"])
+
+
+def permuted_rows(df: DataFrame, key: Sequence[str], features: Sequence[str], keep: Sequence[str], *, sample: str = "sample", share: float = 1.0, seed: int = 0) -> DataFrame:
+    """Rows as they are (`permuted` = '') and once per feature with that feature shuffled.
+
+    For models that must see whole rows; `permuted_scores` keeps all variants on one row. A `share` below 1 works on
+    a hash sample of the rows, if the caller asks for it.
+    """
+    both = _with_donors(df, key, features, keep, sample, share, seed)
     variants = [("", None), *[(f, f) for f in features]]
     structs = F.array(*[
         F.struct(F.lit(n).alias("permuted"), *[F.col(f"_d_{f}" if f == moved else f).alias(f) for f in features]) for n, moved in variants
@@ -44,19 +51,36 @@ def permuted_rows(df: DataFrame, key: Sequence[str], features: Sequence[str], ke
     return both.select(*rest, F.explode(structs).alias("_v")).select(*rest, "_v.*")
 
 
-def permutation_importance(df: DataFrame, fitted: Fitted, label: str, key: Sequence[str], *, sample: str = "sample", metric: str = "gini", share: float = 1.0, relative: bool = False, seed: int = 0) -> DataFrame:
+def permuted_scores(df: DataFrame, key: Sequence[str], fitted: Fitted | Formula | WoeLogistic, label: str, *, sample: str = "sample", share: float = 1.0, seed: int = 0) -> tuple[DataFrame, dict[str, str]]:
+    """(sample, label, one score per variant) and the column's name by shuffled feature ('' for none).
+
+    All variants of a row are scored on that row, so features are neither copied nor shuffled once more.
+    """
+    rows = _with_donors(df, key, fitted.features, [label], sample, share, seed)
+    names = {"": "_s", **{f: f"_s_{i}" for i, f in enumerate(fitted.features)}}
+    rows = fitted.score(rows, "_s")
+    for f in fitted.features:
+        swapped = rows.withColumns({"_own": F.col(f), f: F.col(f"_d_{f}")})
+        rows = fitted.score(swapped, names[f]).withColumn(f, F.col("_own")).drop("_own")
+    return settle(rows.select(sample, label, *names.values())), names
+
+
+def permutation_importance(df: DataFrame, fitted: Fitted | Formula | WoeLogistic, label: str, key: Sequence[str], *, sample: str = "sample", metric: str = "gini", share: float = 1.0, relative: bool = False, seed: int = 0) -> DataFrame:
     """(sample, feature, importance): how much the metric worsens when a feature is shuffled.
 
     Gini and r2 are maximised (drop times 100), error metrics minimised (increase). `relative`
     divides by the unshuffled value.
     """
-    rows = permuted_rows(df, key, fitted.features, [label], sample=sample, share=share, seed=seed)
-    scored = fitted.score(rows)
-    keys = [sample, "permuted"]
+    scored, names = permuted_scores(df, key, fitted, label, sample=sample, share=share, seed=seed)
     if metric == "gini":
-        got = auc(scored, keys, "score", label).select(*keys, (2 * F.col("auc") - 1).alias("value"))
+        # Only (variant, score) cells; they are counted before they are shuffled.
+        cells = F.array(*[F.struct(F.lit(n).alias("permuted"), F.col(c).alias("score")) for n, c in names.items()])
+        long = scored.select(sample, label, F.explode(cells).alias("_c")).select(sample, label, "_c.permuted", "_c.score")
+        got = auc(long, [sample, "permuted"], "score", label).select(sample, "permuted", (2 * F.col("auc") - 1).alias("value"))
     else:
-        got = scored.groupBy(*keys).agg(select_metric(metric)(F.col(label), F.col("score")).alias("value"))
+        wide = scored.groupBy(sample).agg(*[select_metric(metric)(F.col(label), F.col(c)).alias(c) for c in names.values()])
+        cells = F.array(*[F.struct(F.lit(n).alias("permuted"), F.col(c).alias("value")) for n, c in names.items()])
+        got = wide.select(sample, F.explode(cells).alias("_c")).select(sample, "_c.permuted", "_c.value")
     base = got.where(F.col("permuted") == "").select(sample, F.col("value").alias("base"))
     worse = F.col("base") - F.col("value") if metric in ("gini", "r2") else F.col("value") - F.col("base")
     size = F.try_divide(worse, F.col("base")) if relative else 100 * worse if metric in ("gini", "r2") else worse
@@ -67,7 +91,7 @@ def factor_relevancy(importance: DataFrame, sample: str = "sample", limit: float
     """Percent of features whose importance exceeds `limit` of the best one, per sample."""
     best = importance.groupBy(sample).agg(F.max("importance").alias("best"))
     strong = F.try_divide(F.col("importance"), F.col("best")) > limit
-    return importance.join(best, sample).groupBy(sample).agg(
+    return join_on(importance, best, [sample]).groupBy(sample).agg(
         (100 * F.count_if(strong) / F.count("importance")).alias("factors_relevancy")
     )
 
@@ -91,27 +115,15 @@ def final_features(scores: DataFrame, threshold: float, forced: Sequence[str], l
     return list(dict.fromkeys([*(names if len(names) <= limit else names[:top_k]), *forced]))
 
 
-def tree_correlation(df: DataFrame, features: Sequence[str], target: str, keys: Sequence[str] = ("sample",), fit_on: str | None = None, max_bins: int = 256) -> DataFrame:
+def tree_correlation(df: DataFrame, features: Sequence[str], target: str, keys: Sequence[str] = ("sample",), fit_on: str | None = None) -> DataFrame:
     """(sample, feature, correlation): 100 * corr(depth-3 tree on one feature, target).
 
-    Every sample has its own trees, as the stability report needs; `fit_on` names the only sample
-    to use. Trees are fitted one feature at a time, the correlations come from one grouped pass.
+    Every sample has its own trees, as the stability report needs, a sample without a name too; `fit_on` names the
+    only sample to use.
     """
-    sample = keys[0]
-    names = [fit_on] if fit_on else [r[0] for r in df.select(sample).distinct().orderBy(sample).collect()]
-    table = None
-    for name in names:
-        part = df.where(F.col(sample) == name).select(F.col(target).cast("double").alias("_y"), *[filled(F.col(f)).alias(f) for f in features])
-        scored = part
-        for f in features:
-            vectors = with_vector(scored, [f], f"_x_{f}")
-            tree = DecisionTreeRegressor(featuresCol=f"_x_{f}", labelCol="_y", predictionCol=f"_p_{f}", maxDepth=3, maxBins=max_bins, seed=1)
-            model = tree.fit(with_vector(part, [f], f"_x_{f}").select(f"_x_{f}", "_y"))
-            scored = model.transform(vectors).drop(f"_x_{f}")
-        wide = scored.agg(*[correlation(F.col(f"_p_{f}"), F.col("_y")).alias(f) for f in features])
-        rows = wide.unpivot([], list(features), "feature", "correlation").select(F.lit(name).alias(sample), "feature", (100 * F.col("correlation")).alias("correlation"))
-        table = rows if table is None else table.unionByName(rows)
-    return table
+    rows = df if fit_on is None else df.where(F.col(keys[0]) == fit_on)
+    found = feature_tree_correlation(rows, features, target, keys)
+    return found.select(*keys, "feature", (100 * F.col("correlation")).alias("correlation"))
 
 
 def correlation_delta(correlations: DataFrame, samples: Sequence[str], sample: str = "sample", base: str = "train") -> DataFrame:

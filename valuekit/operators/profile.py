@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valuekit.operators.frames import join_on, long_numeric, long_text
@@ -94,9 +95,13 @@ def variable_profile(df: DataFrame, numeric: Sequence[str], categorical: Sequenc
 
 
 def variable_types(df: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
-    """Target name and number of categorical and numeric variables: a schema-only row."""
-    row = [(target, len(categorical), len(numeric))]
-    return df.sparkSession.createDataFrame(row, "target string, n_categorical int, n_numeric int")
+    """One row: the target, how many categorical and numeric variables have any value, and the rows with a target."""
+    def with_values(columns: Sequence[str]) -> Column:
+        return reduce(lambda total, c: total + F.when(F.count(c) > 0, 1).otherwise(0), columns, F.lit(0)).cast("int")
+
+    return df.agg(F.count(target).alias("n_labelled"), with_values(categorical).alias("n_categorical"), with_values(numeric).alias("n_numeric")).select(
+        F.lit(target).alias("target"), "n_categorical", "n_numeric", "n_labelled"
+    )
 
 
 def category_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:

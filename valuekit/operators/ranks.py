@@ -107,6 +107,16 @@ def _with_range(df: DataFrame, value: str, cuts: Sequence) -> DataFrame:
     )
 
 
+def known_cuts(rows: int, rows_per_range: int = ROWS_PER_RANGE) -> list | None:
+    """`cuts` for ordered operators on so many rows: none where one range is enough, else they are looked for."""
+    return [] if rows <= rows_per_range else None
+
+
+def in_ranges(df: DataFrame, value: str, cuts: Sequence, name: str) -> DataFrame:
+    """Add the number of the range that a value lies in; a cut point begins the range after it."""
+    return _with_range(df, value, cuts).withColumnRenamed(_RANGE, name)
+
+
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
@@ -231,10 +241,10 @@ def unique_edges(edges: Column) -> Column:
     return F.array_sort(F.array_distinct(edges))
 
 
-def average_ranks(df: DataFrame, keys: Sequence[str], value: str, name: str, weight: Column | None = None) -> DataFrame:
+def average_ranks(df: DataFrame, keys: Sequence[str], value: str, name: str, weight: Column | None = None, cuts: Sequence | None = None) -> DataFrame:
     """One row per (keys, value) with the average 1-based rank of its ties."""
     n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    rows = running_totals(df, keys, value, {"n": n})
+    rows = running_totals(df, keys, value, {"n": n}, cuts=cuts)
     return rows.select(*keys, value, (F.col("n_below") + (F.col("n") + 1) / 2).alias(name))
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from valuekit.functions.columns import correlation, status_two_sided, student_quantile
 from valuekit.operators.binary import score_bins
 from valuekit.operators.frames import join_on
-from valuekit.operators.ranks import average_ranks, pinned, quantiles, running_totals
+from valuekit.operators.ranks import average_ranks, known_cuts, pinned, quantiles, running_totals
+from valuekit.session import settle_counted
 
 # Metrics where larger is better, and the relative change against train at which the
 # report turns yellow and red.
@@ -70,16 +71,16 @@ def select_metric(name: str) -> Callable[[Column, Column], Column]:
         raise ValueError(f"unknown metric {name!r}, expected one of {sorted(EVAL_METRICS)}") from None
 
 
-def spearman(df: DataFrame, keys: Sequence[str], target: str, prediction: str) -> DataFrame:
-    """Rank correlation per group.
+def spearman(df: DataFrame, keys: Sequence[str], target: str, prediction: str, cuts: Sequence | None = None) -> DataFrame:
+    """Rank correlation per group. `cuts` may be empty where the rows are known to fit one range.
 
     Rows collapse to (target, prediction) pairs first; each side's ranks are joined on its value.
     A value shared by very many pairs is a skewed join key, which adaptive execution splits: the
     rank side has one row per value.
     """
     pairs = df.groupBy(*keys, target, prediction).agg(F.count(F.lit(1)).alias("_n"))
-    by_target = average_ranks(pairs, keys, target, "_rank_y", F.col("_n"))
-    by_prediction = average_ranks(pairs, keys, prediction, "_rank_p", F.col("_n"))
+    by_target = average_ranks(pairs, keys, target, "_rank_y", F.col("_n"), cuts)
+    by_prediction = average_ranks(pairs, keys, prediction, "_rank_p", F.col("_n"), cuts)
     ranked = join_on(join_on(pairs, by_target, [*keys, target]), by_prediction, [*keys, prediction])
     n, ry, rp = F.col("_n").cast("double"), F.col("_rank_y"), F.col("_rank_p")
     moments = ranked.groupBy(*keys).agg(
@@ -130,31 +131,30 @@ def regression_delta(metrics: DataFrame, samples: Sequence[str], sample: str = "
 
 
 def regression_bins(df: DataFrame, keys: Sequence[str], target: str, prediction: str, n_edges: int = 20) -> DataFrame:
-    """Detailed table per prediction bin, numbered from 1, with a `Total` row per group."""
-    binned = score_bins(df, keys, prediction, n_edges)
-    per_bin = _bin_table(binned, [*keys, "bin"], target, prediction)
+    """Detailed table per prediction bin, numbered from 1, with a `Total` row per group.
+
+    The three columns it needs are written and counted once; all ordered statistics read those files.
+    """
+    rows, n = settle_counted(df.select(*dict.fromkeys([*keys, target, prediction])))
+    cuts = known_cuts(n)
+    binned = score_bins(rows, keys, prediction, n_edges, cuts=cuts)
+    per_bin = _bin_table(binned, [*keys, "bin"], target, prediction, cuts)
     number = F.row_number().over(Window.partitionBy(*keys).orderBy("bin")).cast("string")
-    total = _bin_table(df, keys, target, prediction).withColumn("bin", F.lit("Total"))
+    total = _bin_table(rows, keys, target, prediction, cuts).withColumn("bin", F.lit("Total"))
     return per_bin.withColumn("bin", number).unionByName(total)
 
 
-def _bin_table(df: DataFrame, keys: Sequence[str], target: str, prediction: str) -> DataFrame:
+def _bin_table(df: DataFrame, keys: Sequence[str], target: str, prediction: str, cuts: Sequence | None) -> DataFrame:
     y, p = F.col(target), F.col(prediction)
-    spread = df.groupBy(*keys).agg(
-        F.min(p).alias("pred_min"),
-        F.avg(p).alias("pred_mean"),
-        F.max(p).alias("pred_max"),
-        F.min(y).alias("real_min"),
-        F.avg(y).alias("real_mean"),
-        F.max(y).alias("real_max"),
-    )
-    quarters = quantiles(df, keys, target, [0.25, 0.5, 0.75], name="q").select(
+    spread = [F.min(p).alias("pred_min"), F.avg(p).alias("pred_mean"), F.max(p).alias("pred_max"), F.min(y).alias("real_min"), F.avg(y).alias("real_mean"), F.max(y).alias("real_max")]
+    quarters = quantiles(df, keys, target, [0.25, 0.5, 0.75], name="q", cuts=cuts).select(
         *keys, *[F.col("q")[i].alias(n) for i, n in enumerate(("real_p25", "real_p50", "real_p75"))]
     )
-    scores = regression_metrics(df, keys, target, prediction)
+    errors = [F.count(F.lit(1)).alias("n_rows"), mae(y, p).alias("mae"), mape_shifted(y, p).alias("mape"), rmse(y, p).alias("rmse"), r2(y, p).alias("r2"), correlation(y, p).alias("pearson")]
+    scores = join_on(df.groupBy(*keys).agg(*spread, *errors), spearman(df, keys, target, prediction, cuts), [*keys], "left")
     for name in ("mape", "r2", "pearson", "spearman"):
         scores = scores.withColumn(name, 100 * F.col(name))
-    return join_on(join_on(spread, quarters, [*keys], "left"), scores, [*keys], "left")
+    return join_on(scores, quarters, [*keys], "left")
 
 
 def mean_interval(df: DataFrame, keys: Sequence[str], value: str, alpha: float = 0.05) -> DataFrame:

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from valuekit.functions.columns import filled
-from valuekit.operators.training import Fitted
+from valuekit.operators.training import Fitted, Formula, vector_inputs
 
 # Last period of the curve, and the pair of different products that still count as
 # one at T = 0.
@@ -42,15 +44,15 @@ def pair_windows(pairs: DataFrame, periods: DataFrame, default: Window) -> DataF
     return joined.select("bp", "sp", F.coalesce("_min", F.lit(default.first)).alias("T_min"), F.coalesce("_max", F.lit(default.last)).alias("T_max"))
 
 
-def uplift_curve(df: DataFrame, fitted: Fitted, base: str, sold: str, window: Window, *, treatment: str, period: str = "T", name: str | None = None, digits: int = 5) -> DataFrame:
+def uplift_curve(df: DataFrame, fitted: Fitted | Formula, base: str, sold: str, window: Window, *, treatment: str, period: str = "T", name: str | None = None, digits: int = 5) -> DataFrame:
     """Add the 13-element uplift array: P(y | treated, T) - P(y | untreated, T).
 
     Each probability is rounded before the difference; periods outside the window are NaN. Every
     (T, arm) is one more vector on the same row, so the plan has no explode and no shuffle.
     """
     out_name = name or f"{base}_{sold}"
-    plain = [f for f in fitted.features if f not in (period, treatment)]
-    rows = df.withColumns({f"_v_{f}": filled(F.col(f)) for f in plain})
+    plain = {f"_v_{f}": c for f, c in vector_inputs(df, [f for f in fitted.features if f not in (period, treatment)]).items()}
+    rows = df.withColumns(plain)
     wanted = window.periods(base, sold)
     for t in wanted:
         for arm in (0, 1):
@@ -68,6 +70,65 @@ def uplift_curve(df: DataFrame, fitted: Fitted, base: str, sold: str, window: Wi
     return rows.withColumn(out_name, F.array(*[at(t) for t in range(LAST_PERIOD + 1)])).select(*df.columns, out_name)
 
 
+def uplift_all(df: DataFrame, key: str, models: Mapping[tuple[str, str], Fitted | Formula], windows: Mapping[tuple[str, str], Window], *, default: Window = Window(0, LAST_PERIOD), treatment: str | None = None, period: str = "T") -> tuple[DataFrame, dict[tuple[str, str], str]]:
+    """(key, bp, sp, uplift) of every pair, and the error of each pair that cannot be scored.
+
+    The rows are read once for any number of models. A row becomes one for each period, in which models with the same
+    features and treatment share the vectors of both arms; then its periods, which still follow each other, are put
+    back into one array for each pair. Nothing is shuffled. A pair without a window of its own gets the default one;
+    `treatment` is the base product unless it is named.
+    """
+    failed = {}
+    known = list(dict.fromkeys(f for m in models.values() for f in m.features if f in df.columns))
+    # Two steps: an alias inside the inputs carries the mark of a category, which a second alias would lose.
+    values = df.withColumns({f"_v_{f}": c for f, c in vector_inputs(df, known).items()})
+    prepared = values.select(F.col(key).alias("_key"), *[f"_v_{f}" for f in known])
+    periods = F.explode(F.sequence(F.lit(0), F.lit(LAST_PERIOD))).alias("_t")
+    rows = prepared.select("*", periods).withColumns({"_period": F.col("_t").cast("double"), "_arm_0": F.lit(0.0), "_arm_1": F.lit(1.0)})
+    vectors, done = {}, []
+    for i, ((base, sold), fitted) in enumerate(models.items()):
+        moved = treatment or base
+        missing = [f for f in fitted.features if f not in (*known, period, moved)]
+        if missing:
+            failed[(base, sold)] = f"columns not found: {', '.join(missing)}"
+            continue
+        if (fitted.features, moved) not in vectors:
+            vectors[fitted.features, moved] = f"_x_{len(vectors)}"
+            for arm in (0, 1):
+                inputs = [{period: "_period", moved: f"_arm_{arm}"}.get(f, f"_v_{f}") for f in fitted.features]
+                rows = VectorAssembler(inputCols=inputs, outputCol=f"{vectors[fitted.features, moved]}_{arm}").transform(rows)
+        for arm in (0, 1):
+            rows = fitted.score_vector(rows, f"{vectors[fitted.features, moved]}_{arm}", f"_p_{i}_{arm}")
+        inside = F.col("_t").isin(windows.get((base, sold), default).periods(base, sold))
+        done.append((base, sold, F.when(inside, F.round(f"_p_{i}_1", 5) - F.round(f"_p_{i}_0", 5)).otherwise(float("nan"))))
+    schema = T.StructType([T.StructField(key, df.schema[key].dataType), *T.StructType.fromDDL("bp string, sp string, uplift array<double>").fields])
+    if not done:
+        return df.sparkSession.createDataFrame([], schema), failed
+    return rows.select("_key", F.array(*[c for _, _, c in done]).alias("u")).mapInArrow(_packed([d[0] for d in done], [d[1] for d in done], key), schema), failed
+
+
+def _packed(bases: list[str], solds: list[str], key: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Every LAST_PERIOD + 1 rows of (key, one value per pair) as one row per pair with an array of the values."""
+    periods, pairs = LAST_PERIOD + 1, len(bases)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            whole = table.num_rows // periods * periods
+            rest = table.slice(whole)
+            held = pa.RecordBatch.from_arrays([c.combine_chunks() for c in rest.columns], schema=batch.schema) if rest.num_rows else None
+            if not whole:
+                continue
+            rows = whole // periods
+            values = table["u"].slice(0, whole).combine_chunks().flatten().to_numpy().reshape(rows, periods, pairs).transpose(0, 2, 1)
+            keys = table["_key"].take(pa.array(np.repeat(np.arange(rows) * periods, pairs))).combine_chunks()
+            arrays = pa.ListArray.from_arrays(pa.array(np.arange(rows * pairs + 1, dtype=np.int32) * periods), pa.array(values.ravel()))
+            yield pa.RecordBatch.from_arrays([keys, pa.array(bases * rows), pa.array(solds * rows), arrays], names=[key, "bp", "sp", "uplift"])
+
+    return pack
+
+
 def uplift_long(scored: DataFrame, key: str, name: str) -> DataFrame:
     """(key, pair, T, uplift) with the periods of the window only."""
     long = scored.select(key, F.lit(name).alias("pair"), F.posexplode(name).alias("T", "uplift"))

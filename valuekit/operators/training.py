@@ -8,8 +8,8 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark import StorageLevel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark import SparkContext, StorageLevel
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from valuekit.functions.columns import filled, known
 from valuekit.operators.binary import auc
 from valuekit.operators.frames import long_numeric
+from valuekit.operators.prefixes import prefix_auc, tree_predictions
 from valuekit.operators.ranks import broadcast_within, quantiles, unique_edges
 from valuekit.operators.regression import select_metric
 
@@ -27,13 +28,42 @@ VECTOR = "_features"
 GINI_GAP, GINI_GAP_PERCENT = 5.0, 10.0
 
 
+def nominal_values(df: DataFrame, feature: str) -> int | None:
+    """How many codes a column marked as categorical has (see `clean.mark_categories`); null for a number."""
+    found = df.schema[feature].metadata.get("ml_attr", {})
+    return found.get("num_vals") if found.get("type") == "nominal" else None
+
+
+def vector_inputs(df: DataFrame, features: Sequence[str], columns: Mapping[str, Column] | None = None) -> dict[str, Column]:
+    """Feature to what enters its vector: missing numbers are -9999, and a code outside 0..n-1 is one more category, n.
+
+    The mark of a categorical column goes with it, so that trees split its codes by sets and not by order. `columns`
+    replaces the values of single features.
+    """
+    out = {}
+    for f in features:
+        value, n = (columns or {}).get(f, F.col(f)), nominal_values(df, f)
+        if n is None:
+            out[f] = filled(value)
+        else:
+            code = F.when((value >= 0) & (value < n), value).otherwise(n).cast("double")
+            out[f] = code.alias(f, metadata={"ml_attr": {"type": "nominal", "num_vals": n + 1}})
+    return out
+
+
 def with_vector(df: DataFrame, features: Sequence[str], name: str = VECTOR) -> DataFrame:
-    """Add the feature vector; missing numbers are -9999."""
-    prepared = {f"_v_{f}": filled(F.col(f)) for f in features}
+    """Add the feature vector."""
+    prepared = {f"_v_{f}": c for f, c in vector_inputs(df, features).items()}
     assembler = VectorAssembler(inputCols=list(prepared), outputCol=name)
     return assembler.transform(df.withColumns(prepared)).drop(*prepared)
 
 
+def bins_for(df: DataFrame, features: Sequence[str], params: Mapping[str, Any]) -> dict[str, Any]:
+    """Fit parameters with as many bins as the largest categorical feature needs."""
+    most = max([n + 1 for f in features if (n := nominal_values(df, f)) is not None], default=0)
+    return {**params, "maxBins": max(most, params.get("maxBins", 32))}
+
+
 @dataclass
 class Fitted:
     """A fitted model with its feature list. `score` adds P(y = 1), or the predicted value."""
@@ -58,6 +88,27 @@ class Fitted:
         return self.model.transform(df, params).withColumn(name, vector_to_array(raw)[1]).drop(raw)
 
 
+@dataclass
+class Formula:
+    """A fixed expression behind the interface of `Fitted`: baselines, rules, and models that another engine can check.
+
+    `expression` maps the filled features to the score. An ensemble also names its `trees`, expressions whose weighted
+    sum is the margin.
+    """
+
+    features: tuple[str, ...]
+    expression: Callable[[Mapping[str, Column]], Column]
+    trees: Sequence[Callable[[Mapping[str, Column]], Column]] = ()
+    weights: Sequence[float] = ()
+
+    def score(self, df: DataFrame, name: str = "score") -> DataFrame:
+        return df.withColumn(name, self.expression({f: filled(F.col(f)) for f in self.features}))
+
+    def score_vector(self, df: DataFrame, vector: str, name: str) -> DataFrame:
+        values = vector_to_array(vector)
+        return df.withColumn(name, self.expression({f: F.get(values, F.lit(i)) for i, f in enumerate(self.features)}))
+
+
 def _labelled(df: DataFrame, features: Sequence[str], label: str, sample: str) -> DataFrame:
     rows = df.where(F.col(sample).isin("train", "valid") & F.col(label).isNotNull())
     keep = rows.select(*features, F.col(label).cast("double").alias("_y"), (F.col(sample) == "valid").alias("_is_valid"))
@@ -74,49 +125,60 @@ def _fit_on(estimator: Any, data: DataFrame) -> Any:
 
 
 def fit_gbt(df: DataFrame, features: Sequence[str], label: str, *, sample: str = "sample", early_stop: bool = True, seed: int = 1, **params) -> Fitted:
-    """Boosted-tree classifier; with `early_stop` the valid rows decide when boosting ends."""
+    """Boosted-tree classifier; with `early_stop` it keeps the trees up to the best AUC on the valid rows."""
     data = _labelled(df, features, label, sample)
-    booster = GBTClassifier(featuresCol=VECTOR, labelCol="_y", seed=seed, **params)
-    if early_stop:
-        # Stop when the valid error rises, not merely when it falls slowly.
-        booster.setValidationIndicatorCol("_is_valid").setParams(validationTol=0.0)
-    else:
-        data = data.where(~F.col("_is_valid"))
-    return Fitted(_fit_on(booster, data), tuple(features), "binary")
+    booster = GBTClassifier(featuresCol=VECTOR, labelCol="_y", seed=seed, **bins_for(df, features, params))
+    fitted = Fitted(_fit_on(booster, data.where(~F.col("_is_valid"))), tuple(features), "binary")
+    return stopped(fitted, data.where("_is_valid")) if early_stop else fitted
+
+
+def stopped(fitted: Fitted, valid: DataFrame) -> Fitted:
+    """The ensemble cut after the prefix with the best AUC on `valid` (vector and `_y`), the shortest of equal ones.
+
+    Without both classes in `valid` all trees stay.
+    """
+    rows = tree_predictions(fitted.model, valid, VECTOR, ["_is_valid", "_y"])
+    path = prefix_auc(rows, fitted.model.treeWeights, "_is_valid", "_y")
+    best = path.where("auc IS NOT NULL").agg(F.max(F.struct("auc", (-F.col("n_trees")).alias("n"))).alias("best")).first().best
+    return fitted if best is None else truncated(fitted, -best.n)
+
+
+def truncated(fitted: Fitted, n_trees: int) -> Fitted:
+    """The first trees of a boosted classifier as a model of its own."""
+    model = fitted.model
+    if n_trees >= len(model.trees):
+        return fitted
+    context = SparkContext._active_spark_context
+    kind = context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees, weights = context._gateway.new_array(kind, n_trees), context._gateway.new_array(context._jvm.double, n_trees)
+    for i in range(n_trees):
+        trees[i], weights[i] = model.trees[i]._java_obj, float(model.treeWeights[i])
+    java = context._jvm.org.apache.spark.ml.classification.GBTClassificationModel(model.uid, trees, weights, model.numFeatures, model.numClasses)
+    return Fitted(model._copyValues(GBTClassificationModel(java)), fitted.features, fitted.kind)
 
 
 def fit_forest(df: DataFrame, features: Sequence[str], label: str, *, sample: str = "sample", seed: int = 1, **params) -> Fitted:
     data = _labelled(df, features, label, sample).where(~F.col("_is_valid"))
-    forest = RandomForestClassifier(featuresCol=VECTOR, labelCol="_y", seed=seed, **params)
+    forest = RandomForestClassifier(featuresCol=VECTOR, labelCol="_y", seed=seed, **bins_for(df, features, params))
     return Fitted(_fit_on(forest, data), tuple(features), "binary")
 
 
 def fit_gbt_regression(df: DataFrame, features: Sequence[str], label: str, *, loss: str = "squared", sample: str = "sample", seed: int = 1, **params) -> Fitted:
     """Boosted-tree regression with squared or absolute loss."""
-    booster = GBTRegressor(featuresCol=VECTOR, labelCol="_y", lossType=loss, seed=seed, **params)
+    booster = GBTRegressor(featuresCol=VECTOR, labelCol="_y", lossType=loss, seed=seed, **bins_for(df, features, params))
     booster.setValidationIndicatorCol("_is_valid").setParams(validationTol=0.0)
     return Fitted(_fit_on(booster, _labelled(df, features, label, sample)), tuple(features), "regression")
 
 
-def tree_path_gini(fitted: Fitted, df: DataFrame, label: str, *, sample: str = "sample") -> DataFrame:
-    """(n_trees, gini_train, gini_valid, absolute_diff, relative_diff) for every prefix of trees.
-
-    All prefixes are scored in one narrow pass as running sums of the trees' margins; rows collapse to
-    distinct leaf vectors, and the Gini of every (sample, prefix) is then one grouped job.
-    """
-    rows = with_vector(df.where(F.col(sample).isin("train", "valid")), fitted.features).select(sample, label, VECTOR)
-    weights = list(fitted.model.treeWeights)
-    for i, tree in enumerate(fitted.model.trees):
-        rows = tree.transform(rows, {tree.featuresCol: VECTOR, tree.predictionCol: f"_t{i}"})
-    margins, total = [], F.lit(0.0)
-    for i, w in enumerate(weights):
-        total = total + F.col(f"_t{i}") * w
-        margins.append(total)
-    # Rows that fall into the same leaf of every tree share all margins and count as one from here on.
-    leaves = rows.groupBy(sample, label, *[f"_t{i}" for i in range(len(weights))]).agg(F.count(F.lit(1)).alias("_n"))
-    long = leaves.select(sample, label, "_n", F.posexplode(F.array(*margins)).alias("_at", "_margin"))
-    long = long.select(sample, label, "_n", (F.col("_at") + 1).alias("n_trees"), "_margin")
-    got = auc(long, [sample, "n_trees"], "_margin", label, weight="_n")
+def tree_path_gini(fitted: Fitted | Formula, df: DataFrame, label: str, *, sample: str = "sample") -> DataFrame:
+    """(n_trees, gini_train, gini_valid, absolute_diff, relative_diff) for every prefix of trees."""
+    rows = df.where(F.col(sample).isin("train", "valid"))
+    if isinstance(fitted, Formula):
+        filled_in = {f: filled(F.col(f)) for f in fitted.features}
+        said, weights = rows.select(sample, label, F.array(*[t(filled_in) for t in fitted.trees]).alias("trees")), fitted.weights
+    else:
+        said, weights = tree_predictions(fitted.model, with_vector(rows, fitted.features), VECTOR, [sample, label]), fitted.model.treeWeights
+    got = prefix_auc(said, weights, sample, label)
     value = 100 * (2 * F.col("auc") - 1)
     wide = got.groupBy("n_trees").agg(*[F.max(F.when(F.col(sample) == s, value)).alias(f"gini_{s}") for s in ("train", "valid")])
     gap = F.col("gini_train") - F.col("gini_valid")
@@ -213,10 +275,26 @@ def random_search(fit: Callable[..., Fitted], df: DataFrame, features: Sequence[
     return trials, fit(df, features, label, sample=sample, **settings)
 
 
-def multi_model_scores(df: DataFrame, models: Mapping[str, Fitted | WoeLogistic], keep: Sequence[str]) -> DataFrame:
+def score_columns(df: DataFrame, models: Mapping[str, Fitted | Formula | WoeLogistic]) -> tuple[DataFrame, dict[str, str]]:
+    """`df` with a column of scores for each model, and the column's name by model.
+
+    Models that read the same features share one vector, and all of them one row: the plan has one scan.
+    """
+    rows, vectors, names = df, {}, {}
+    for i, (name, fitted) in enumerate(models.items()):
+        names[name] = f"_score_{i}"
+        if isinstance(fitted, WoeLogistic):
+            rows = fitted.score(rows, names[name])
+            continue
+        if fitted.features not in vectors:
+            vectors[fitted.features] = f"_vector_{len(vectors)}"
+            rows = with_vector(rows, fitted.features, vectors[fitted.features])
+        rows = fitted.score_vector(rows, vectors[fitted.features], names[name])
+    return rows.drop(*vectors.values()), names
+
+
+def multi_model_scores(df: DataFrame, models: Mapping[str, Fitted | Formula | WoeLogistic], keep: Sequence[str]) -> DataFrame:
     """(keep, model, score): every model's score as a row of one long frame."""
-    out = None
-    for name, fitted in models.items():
-        part = fitted.score(df).select(*keep, F.lit(name).alias("model"), "score")
-        out = part if out is None else out.unionByName(part)
-    return out
+    rows, names = score_columns(df, models)
+    cells = F.array(*[F.struct(F.lit(m).alias("model"), F.col(c).alias("score")) for m, c in names.items()])
+    return rows.select(*keep, F.explode(cells).alias("_m")).select(*keep, "_m.model", "_m.score")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from valuekit.functions.columns import MISSING_CATEGORY
 from valuekit.operators import binary, importance, profile, regression, stability
 from valuekit.operators.training import Fitted
 from valuekit.roles import SAMPLES, Roles
@@ -21,15 +22,18 @@ def validation_suite(df: DataFrame, roles: Roles, model_type: str, *, score: str
     """Table name to DataFrame. `df` already carries the score.
 
     The frame is settled first, because every check reads it and the score should be computed
-    once. `fitted` adds the checks that have to score again (permutation importance).
+    once. `fitted` adds the checks that have to score again (permutation importance). Samples of any name are
+    compared, those without a name as "NA".
     """
     if model_type not in BIN_EDGES:
         raise ValueError(f"model_type must be one of {sorted(BIN_EDGES)}, not {model_type!r}")
     sample, label = roles.sample, roles.target
-    rows = settle(df.select(*dict.fromkeys([*roles.id, sample, label, score, *roles.features])))
-    present = {r[0] for r in rows.where(F.col(sample).isin(*SAMPLES)).select(sample).distinct().collect()}
-    samples = [s for s in SAMPLES if s in present]
-    against = stability.comparison_samples(samples)
+    named = df.withColumn(sample, F.coalesce(sample, F.lit(MISSING_CATEGORY)))
+    rows = settle(named.select(*dict.fromkeys([*roles.id, sample, label, score, *roles.features])))
+    # Names of samples are configuration; the known ones come first, in the report's order.
+    present = {r[0] for r in rows.select(sample).distinct().collect()}
+    samples = [*(s for s in SAMPLES if s in present), *sorted(present.difference(SAMPLES))]
+    against = [*stability.comparison_samples(samples), *(s for s in samples if s not in SAMPLES)]
     numeric = [*roles.numeric]
 
     detailed = stability.detailed_psi(

@@ -182,9 +182,7 @@ def variable_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 def variable_types(spark: SparkSession, sf: str) -> DataFrame:
     rows = fx.binary_sample(spark, sf)
-    kinds = profile.variable_types(rows, "y", fx.NUMERIC, categorical_columns(rows, excluded=["sample", "l_returnflag"]))
-    labelled = rows.agg(F.count("y").alias("n_labelled")).withColumn("target", F.lit("y"))
-    return kinds.join(labelled, "target")
+    return profile.variable_types(rows, "y", fx.NUMERIC, categorical_columns(rows, excluded=["sample", "l_returnflag"]))
 
 
 def category_values(spark: SparkSession, sf: str) -> DataFrame:
@@ -364,7 +362,8 @@ ORACLE = {
     "target_stats_log": rounded_sql(
         f"""{with_sql('regression')} SELECT sample, {_STATS} FROM (SELECT sample, ln(y - (SELECT min(y) FROM reg_sample) + 1) AS y FROM reg_sample) GROUP BY 1""", *_STAT_COLUMNS),
     "variable_profile": _profile_sql(),
-    "variable_types": f"{with_sql('binary')} SELECT 'y' AS target, CAST(1 AS INT) AS n_categorical, CAST(6 AS INT) AS n_numeric, count(y) AS n_labelled FROM bin_sample",
+    "variable_types": f"""{with_sql('binary')} SELECT 'y' AS target, CAST(count(p_brand) > 0 AS INT) AS n_categorical,
+        {" + ".join(f"CAST(count({c}) > 0 AS INT)" for c in fx.NUMERIC)} AS n_numeric, count(y) AS n_labelled FROM bin_sample""",
     "category_values": f"""{with_sql('gappy')} SELECT 'p_brand' AS feature, count(DISTINCT p_brand) AS n_values, count(DISTINCT p_brand) > 10 AS suspicious FROM gappy
         UNION ALL SELECT 'l_returnflag', count(DISTINCT l_returnflag), count(DISTINCT l_returnflag) > 10 FROM gappy""",
     "mean_interval": rounded_sql(

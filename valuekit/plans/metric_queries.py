@@ -192,13 +192,8 @@ def calibration_compare(spark: SparkSession, sf: str) -> DataFrame:
 
 def linear_calibration(spark: SparkSession, sf: str) -> DataFrame:
     rows = fx.binary_sample(spark, sf)
-    out = None
-    for scale in ("plain", "odds", "ln-odds"):
-        for weighted in (False, True):
-            line = calibration.linear_coefficients(rows, ["sample"], "score", "y", scale=scale, weighted=weighted)
-            part = line.select(F.lit(scale).alias("scale"), F.lit(weighted).alias("weighted"), "sample", "slope", "intercept")
-            out = part if out is None else out.unionByName(part)
-    return tidy(out)
+    variants = [(scale, weighted) for scale in ("plain", "odds", "ln-odds") for weighted in (False, True)]
+    return tidy(calibration.linear_lines(rows, ["sample"], "score", "y", variants))
 
 
 def volume_gate(spark: SparkSession, sf: str) -> DataFrame:
@@ -438,7 +433,7 @@ def _calibration_sql(source: str, keys: str) -> str:
     tot AS (SELECT {keys}, avg(y_pred) AS mean_proba, avg(y_calib) AS calibration_proba, avg(y_true) AS event_rate, avg((y_true - y_pred) ** 2) AS brier,
             avg((y_true - y_calib) ** 2) AS brier_calibrated, {loss("y_pred")} AS logloss, {loss("y_calib")} AS logloss_calibrated FROM {source} GROUP BY ALL),
     stats AS (SELECT *, NULL::DOUBLE AS mae, NULL::DOUBLE AS mae_calibrated, NULL::DOUBLE AS brier, NULL::DOUBLE AS brier_calibrated, NULL::DOUBLE AS logloss, NULL::DOUBLE AS logloss_calibrated FROM bins
-      UNION ALL BY NAME SELECT tot.*, err.* EXCLUDE ({keys}), 'Total' AS bin FROM tot JOIN err USING ({keys}))"""
+      UNION ALL BY NAME SELECT tot.*, err.* EXCLUDE ({keys}, n_obs), coalesce(err.n_obs, 0) AS n_obs, 'Total' AS bin FROM tot LEFT JOIN err USING ({keys}))"""
 
 
 _CALIB_COLUMNS = ("mean_proba", "calibration_proba", "event_rate", "mae", "mae_calibrated", "brier", "brier_calibrated", "logloss", "logloss_calibrated")

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from valuekit.functions.columns import hash_fraction
 from valuekit.operators import binary, calibration, importance, scoring, split, training, validation
+from valuekit.operators.isotonic import fit_isotonic
 from valuekit.operators.regression import regression_metrics
 from valuekit.plans import fixtures as fx
+from valuekit.plans import formulas, model_twins
 from valuekit.plans.fixtures import tidy, with_sql
 from valuekit.roles import Roles
 
@@ -123,13 +125,12 @@ def gbt_regression(spark: SparkSession, sf: str) -> DataFrame:
 
 def gap_limited_trees(spark: SparkSession, sf: str) -> DataFrame:
     rows = _signal(fx.binary_sample(spark, sf))
-    path = training.tree_path_gini(_fit_line_model(rows, early_stop=False), rows, "y")
-    return tidy(path)
+    return tidy(training.tree_path_gini(formulas.LINE_TREES, rows, "y"))
 
 
 def gap_limited_count(spark: SparkSession, sf: str) -> DataFrame:
     rows = _signal(fx.binary_sample(spark, sf))
-    return training.accepted_trees(training.tree_path_gini(_fit_line_model(rows, early_stop=False), rows, "y"))
+    return training.accepted_trees(training.tree_path_gini(formulas.LINE_TREES, rows, "y"))
 
 
 def regression_path(spark: SparkSession, sf: str) -> DataFrame:
@@ -167,7 +168,7 @@ def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
 
 def tree_correlation(spark: SparkSession, sf: str) -> DataFrame:
     rows = _signal(fx.binary_sample(spark, sf))
-    return tidy(importance.tree_correlation(rows, fx.NUMERIC, "y", fit_on="train"))
+    return tidy(importance.tree_correlation(rows, fx.NUMERIC, "y"))
 
 
 def tree_correlation_delta(spark: SparkSession, sf: str) -> DataFrame:
@@ -179,7 +180,7 @@ def tree_correlation_delta(spark: SparkSession, sf: str) -> DataFrame:
 def _line_importance(spark: SparkSession, sf: str) -> DataFrame:
     rows = _signal(fx.binary_sample(spark, sf)).drop("score")
     tested = rows.where(F.col("sample").isin("test", "OOT"))
-    return importance.permutation_importance(tested, _fit_line_model(rows), "y", KEY)
+    return importance.permutation_importance(tested, formulas.LINE, "y", KEY)
 
 
 def permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
@@ -189,8 +190,7 @@ def permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
 def regressor_importance(spark: SparkSession, sf: str) -> DataFrame:
     """Relative increase of the mean absolute error."""
     rows = fx.regression_sample(spark, sf).withColumnRenamed("y", "total").withColumnRenamed("y_pred", "y")
-    fitted = training.fit_gbt_regression(rows, VALUE_FEATURES, "y", maxIter=6, maxDepth=3)
-    return tidy(importance.permutation_importance(rows, fitted, "y", ["o_orderkey"], metric="mae", relative=True))
+    return tidy(importance.permutation_importance(rows, formulas.VALUE, "y", ["o_orderkey"], metric="mae", relative=True))
 
 
 def factor_relevancy(spark: SparkSession, sf: str) -> DataFrame:
@@ -232,6 +232,13 @@ def isotonic(spark: SparkSession, sf: str) -> DataFrame:
     return _calibration_table(spark, sf, ("isotonic",))
 
 
+def isotonic_points(spark: SparkSession, sf: str) -> DataFrame:
+    """The fitted function at every score, from ranges of 64 scores merged in a tree and applied by ranges."""
+    rows = _signal(fx.binary_sample(spark, sf))
+    fitted = fit_isotonic(rows.where(F.col("sample") == "train"), "score", "y", rows_per_range=64, shipped_ends=16)
+    return fitted.apply(rows.groupBy("score").agg(F.count(F.lit(1)).alias("n")), "score", "v").select("score", "n", F.round("v", 9).alias("v"))
+
+
 def logistic(spark: SparkSession, sf: str) -> DataFrame:
     return _calibration_table(spark, sf, ("logistic", "logistic-odds", "logistic-ln-odds"))
 
@@ -249,8 +256,8 @@ def _order_model(rows: DataFrame) -> training.Fitted:
 
 def uplift_curve(spark: SparkSession, sf: str) -> DataFrame:
     """Mean uplift per period over all orders, from the 13-element arrays."""
-    rows = _order_signal(fx.treatment_sample(spark, sf))
-    scored = scoring.uplift_curve(rows, _order_model(rows), "cc", "pl", scoring.Window(0, 9), treatment="cc")
+    rows = fx.treatment_sample(spark, sf)
+    scored = scoring.uplift_curve(rows, formulas.response(), "cc", "pl", scoring.Window(0, 9), treatment="cc")
     long = scoring.uplift_long(scored, "o_orderkey", "cc_pl")
     return tidy(long.groupBy("pair", "T").agg(F.count(F.lit(1)).alias("n"), F.avg("uplift").alias("uplift")))
 
@@ -264,16 +271,14 @@ def uplift_arrays(spark: SparkSession, sf: str) -> DataFrame:
 
 def npv_score(spark: SparkSession, sf: str) -> DataFrame:
     rows = fx.regression_sample(spark, sf).withColumnRenamed("y", "total").withColumnRenamed("y_pred", "y")
-    fitted = training.fit_gbt_regression(rows, VALUE_FEATURES, "y", maxIter=6, maxDepth=3)
-    return scoring.npv_score(rows, fitted, "npv_cc").select("o_orderkey", "npv_cc")
+    return scoring.npv_score(rows, formulas.VALUE, "npv_cc").select("o_orderkey", "npv_cc")
 
 
 def segment_score(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with at most three lines and the others, each with their own value model."""
     rows = fx.regression_sample(spark, sf).withColumnRenamed("y", "total").withColumnRenamed("y_pred", "y")
     big = F.col("n_lines") > 3
-    first = training.fit_gbt_regression(rows.where(~big), VALUE_FEATURES, "y", maxIter=4, maxDepth=3)
-    second = training.fit_gbt_regression(rows.where(big), VALUE_FEATURES, "y", maxIter=4, maxDepth=3)
+    first, second = formulas.SMALL_VALUE, formulas.VALUE
     scored = scoring.by_segment(rows, big, lambda d: scoring.npv_score(d, second, "npv_dc"), lambda d: scoring.npv_score(d, first, "npv_dc"))
     return scored.select("o_orderkey", "npv_dc")
 
@@ -331,6 +336,7 @@ QUERIES = {
     "top_features": top_features,
     "feature_curve": feature_curve,
     "isotonic": isotonic,
+    "isotonic_points": isotonic_points,
     "logistic": logistic,
     "tree_calibration": tree_calibration,
     "uplift_curve": uplift_curve,
@@ -396,3 +402,4 @@ def _signal_gini_sql() -> str:
 
 
 ORACLE["top_features"] = _signal_gini_sql()
+ORACLE |= model_twins.ORACLE

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", app: str = "valuekit", partitions: int = 8) -> SparkSession:
@@ -59,3 +60,10 @@ def settle(df: DataFrame) -> DataFrame:
     path = f"{use_shared_checkpoints(df.sparkSession)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """`settle`, and the number of rows, counted while they are written."""
+    seen = Observation()
+    kept = settle(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return kept, int(seen.get["n"])

@@ -28,6 +28,11 @@ def output_complete(spark: SparkSession, path: str) -> bool:
     return bool(files.exists(marker))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, files = _path(spark, path)
+    return bool(files.exists(place))
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     folder, files = _path(spark, path)
     return int(files.getContentSummary(folder).getLength()) if files.exists(folder) else 0
