@@ -5,8 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "valuekit", partitions: int = 8) -> SparkSession:
@@ -63,7 +62,10 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def settle_counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """`settle`, and the number of rows, counted while they are written."""
-    seen = Observation()
-    kept = settle(df.observe(seen, F.count(F.lit(1)).alias("n")))
-    return kept, int(seen.get["n"])
+    """`settle`, and the number of rows, which comes from the files' footers.
+
+    An `Observation` would count while writing, but a session that ever had one cannot send a fitted logistic model,
+    whose summary holds the session, to its tasks any more.
+    """
+    kept = settle(df)
+    return kept, kept.count()
