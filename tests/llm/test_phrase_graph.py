@@ -104,8 +104,17 @@ def test_paths_keep_every_edge(spark):
 
 def test_edges_of_a_window():
     ids = np.array([1, 2, 3, 0, 1, 2, 3, 4, 1, 2])
-    pair = (ids[:-1] > 0) & (ids[1:] > 0)
     got = Counter()
-    for columns, n in phrase_graph.edges_of(ids, 7, ids > 0, pair):
+    for columns, n in phrase_graph.edges_of(ids, 7, np.array([3, 2, 1, 0, 5, 5, 2, 0, 2, 1])):
         got.update(dict(zip(zip(*(c.tolist() for c in columns)), n.tolist())))
-    assert got == {(1, 2, 3): 1, (2, 3): 1, (3,): 1, (1, 2, 3, 4, 1): 1, (2, 3, 4, 1, 2): 1, (3, 4, 1, 2): 1}
+    assert got == {(1, 2, 3): 1, (2, 3): 1, (3,): 1, (1, 2, 3, 4, 1): 1, (2, 3, 4, 1, 2): 1, (3, 4): 1}
+
+
+def test_slot_tables_come_back():
+    picks = np.random.default_rng(0)
+    for share in (0.001, 0.2, 0.9):
+        sums = np.where(picks.random(1 << 18) < share, picks.integers(1, 101, 1 << 18), 0).astype(np.uint8)
+        back = np.zeros_like(sums).reshape(4, -1)
+        for row, data in phrase_graph.packed_rows(sums):
+            back[row] = phrase_graph.unpacked_row(data, 1 << 16)
+        assert (back.ravel() == sums).all()

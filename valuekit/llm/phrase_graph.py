@@ -7,11 +7,11 @@ and only these are counted. Nodes passed by one way only are joined to paths, so
 share is one row with one weight. The occurrences of a shorter phrase are the flow out of its nodes, the sum of the
 edges that begin with it, and the piece ends that begin with it.
 
-Only phrases of `least` occurrences or more count, so most of the graph need not be built. A first pass adds up
-words and pairs of neighbours in a table of hashed slots (sums stop at `least`, which is all that matters). A pair in
-a lighter slot is rarer than that, so no wanted phrase contains it, and the pieces are cut there; a word in a lighter
-slot starts nothing. Slots that several pairs share only leave a cut out. The number of slots follows the size of
-the texts up to 2^MOST_SLOTS; past that more is built and the result is the same.
+Only phrases of `least` occurrences or more count, so most of the graph need not be built. Two first passes add up
+phrases in tables of hashed slots (sums stop at `least`, which is all that matters): words and pairs, then the longer
+phrases that consist of heavy ones. A phrase in a lighter slot is rarer than that, and so is each that begins with it, so
+an edge that reaches it is cut there and becomes an end. Slots that several phrases share only leave a cut out. The
+number of slots follows the size of the texts up to 2^MOST_SLOTS; past that more is built and the result is the same.
 
 Tasks merge equal edges before the shuffle, with tables of bounded size; texts are read in windows of words that
 overlap, so neither a long text nor a long piece is held as a graph at once. Hot parts of phrases (a word that begins
@@ -75,11 +75,15 @@ class _Words:
             self._hash[k] = xxhash.xxh64_intdigest(word, self.seed)
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
-    def slots(self, ids: np.ndarray, power: int) -> tuple[np.ndarray, np.ndarray]:
-        """Slot of each word, and of each word with the next one."""
+    def slots(self, ids: np.ndarray, power: int) -> list[np.ndarray]:
+        """Slots of the phrases of 1, 2, ... LONGEST words that begin at each position; the last positions begin fewer."""
         h = self._hash[ids]
-        pair = (h[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ (h[1:] >> np.uint64(7))) * np.uint64(0xD6E8FEB86659FD93)
-        return (h >> np.uint64(64 - power)).astype(np.int64), (pair >> np.uint64(64 - power)).astype(np.int64)
+        mixed, out = h, []
+        for k in range(LONGEST):
+            if k:
+                mixed = (mixed[: len(h) - k] * np.uint64(0x9E3779B97F4A7C15) ^ (h[k:] >> np.uint64(7))) * np.uint64(0xD6E8FEB86659FD93)
+            out.append((mixed >> np.uint64(64 - power)).astype(np.int64))
+        return out
 
 
 def windows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, list[bytes], int]]:
@@ -129,81 +133,129 @@ def slot_power(docs: DataFrame) -> int:
     return max(FEWEST_SLOTS, min(MOST_SLOTS, math.ceil(math.log2(size / BYTES_A_SLOT + 1))))
 
 
-def heavy_slots(docs: DataFrame, least: int, power: int) -> np.ndarray:
-    """Bitmap (packed, 2^power bits) of the slots whose words and pairs occur `least` times or more together."""
+def packed_rows(sums: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(row, bytes) of the rows of a slot table that hold anything.
+
+    Few slots are listed with their sums, many are written as they are, so that the size follows what is held.
+    """
+    for row, part in enumerate(sums.reshape(-1, min(1 << ROW_SLOTS, len(sums)))):
+        used = np.flatnonzero(part)
+        if 3 * len(used) < len(part):
+            if len(used):
+                yield row, b"L" + used.astype("<u2").tobytes() + part[used].tobytes()
+        else:
+            yield row, b"A" + part.tobytes()
+
+
+def unpacked_row(data: bytes, width: int) -> np.ndarray:
+    """The sums of one row."""
+    if data[:1] == b"A":
+        return np.frombuffer(data, np.uint8, offset=1)
+    out, n = np.zeros(width, np.uint8), (len(data) - 1) // 3
+    out[np.frombuffer(data, "<u2", n, 1)] = np.frombuffer(data, np.uint8, n, 1 + 2 * n)
+    return out
+
+
+def heavy_slots(docs: DataFrame, least: int, power: int, shorter: np.ndarray | None = None) -> np.ndarray:
+    """Bitmap (packed, 2^power bits) of the slots whose phrases occur `least` times or more together.
+
+    Words and pairs at first; with the bitmap of those as `shorter` the longer phrases that consist of heavy ones.
+    """
     if not 0 < least < 256:
         raise ValueError("least must be from 1 to 255")
-    rows = 1 << max(0, power - ROW_SLOTS)
-    wide = min(1 << ROW_SLOTS, 1 << power)
+    width = min(1 << ROW_SLOTS, 1 << power)
+    context = docs.sparkSession.sparkContext
+    shipped = None if shorter is None else context.broadcast(shorter.tobytes())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(1 << power, np.uint8)
+        bits = None if shipped is None else np.frombuffer(shipped.value, np.uint8)
         known: dict[str, _Words] = {}
         for lang, words, starts in windows(batches, WINDOW):
             names = known.setdefault(lang, _Words(lang))
             ids = names.numbers(words)
-            of_word, of_pair = names.slots(ids, power)
-            paired = (ids[:-1] > 0) & (ids[1:] > 0)
-            hit = np.concatenate([of_word[:starts][ids[:starts] > 0], of_pair[:starts][paired[:starts]]])
-            slots, n = np.unique(hit, return_counts=True)
-            sums[slots] = np.minimum(least, n + sums[slots])
+            slots = names.slots(ids, power)
+            if bits is None:
+                wanted = [ids > 0, (ids[:-1] > 0) & (ids[1:] > 0)]
+                hit = np.concatenate([s[:starts][w[:starts]] for s, w in zip(slots, wanted)])
+            else:
+                reach = lengths(ids, slots, bits, None)
+                hit = np.concatenate([s[:starts][(reach[: len(s)] >= k)[:starts]] for k, s in enumerate(slots[2:], 3)])
+            found, n = np.unique(hit, return_counts=True)
+            sums[found] = np.minimum(least, n + sums[found])
             if len(names.words) > HELD_WORDS:
                 del known[lang]
-        for row, part in enumerate(sums.reshape(rows, wide)):
-            if part.any():
-                yield pa.RecordBatch.from_pydict({"row": pa.array([row], pa.int32()), "sums": pa.array([part.tobytes()], pa.binary())})
+        for row, data in packed_rows(sums):
+            yield pa.RecordBatch.from_pydict({"row": pa.array([row], pa.int32()), "sums": pa.array([data], pa.binary())})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for row, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                more = np.frombuffer(part, np.uint8)
+            for row, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                more = unpacked_row(data, width)
                 total[row] = np.minimum(least, total[row].astype(np.uint16) + more).astype(np.uint8) if row in total else more
         made = [(k, np.packbits(v >= least).tobytes()) for k, v in total.items()]
         yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.int32()), pa.array([m[1] for m in made], pa.binary())], ["row", "bits"])
 
     sums = _texts(docs).mapInArrow(count, "row int, sums binary").repartition("row")
-    bits = np.zeros(((1 << power) + 7) // 8, np.uint8)
+    out = np.zeros(((1 << power) + 7) // 8, np.uint8)
     # 2^power bits in all, 8 MB at most.
     for r in sums.mapInArrow(add, "row int, bits binary").toLocalIterator():
-        bits[r.row * wide // 8 : (r.row + 1) * wide // 8] = np.frombuffer(r.bits, np.uint8)
-    return bits
+        out[r.row * width // 8 : (r.row + 1) * width // 8] = np.frombuffer(r.bits, np.uint8)
+    return out
 
 
 def _held(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return (bits[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1 == 1
 
 
-def edges_of(ids: np.ndarray, starts: int, word: np.ndarray, pair: np.ndarray) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+def lengths(ids: np.ndarray, slots: list[np.ndarray], short: np.ndarray, long: np.ndarray | None) -> np.ndarray:
+    """How many words the longest phrase has that begins at each position and whose beginnings may all be frequent.
+
+    `short` decides words and pairs, `long` the longer ones; without it they are as long as their pairs allow.
+    """
+    word = (ids > 0) & _held(short, slots[0])
+    pair = word[:-1] & word[1:] & _held(short, slots[1])
+    reach = word.astype(np.int8)
+    goes_on = pair
+    for k in range(2, LONGEST + 1):
+        if k > 2:
+            goes_on = goes_on[: len(ids) - k + 1] & pair[k - 2 :]
+            if long is not None:
+                goes_on = goes_on & _held(long, slots[k - 1])
+        reach[: len(goes_on)] += goes_on
+    return reach
+
+
+def edges_of(ids: np.ndarray, starts: int, reach: np.ndarray) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
     """(columns of word numbers, counts) of the distinct edges and ends of a window, one item for each number of words.
 
-    `word` says which positions may start something, `pair` which words are followed by the next in the same piece.
+    The first `starts` positions begin one phrase each, of as many words as `reach` says.
     """
-    at = np.flatnonzero(word[:starts])
-    code, names = ids[at], [np.arange(ids.max() + 1)] if len(ids) else []
-    follows = np.concatenate([pair, [False]])
+    at = np.flatnonzero(reach[:starts])
+    code, wide = ids[at], int(ids.max()) + 1
+    names = [np.arange(wide)]
     for k in range(1, LONGEST + 1):
-        if not len(at):
-            return
-        goes_on = follows[np.minimum(at + k - 1, len(follows) - 1)] if k < LONGEST else np.zeros(len(at), bool)
+        goes_on = reach[at] > k
         done, n = np.unique(code[~goes_on], return_counts=True)
         yield [column[done] for column in names], n
         at, code = at[goes_on], code[goes_on]
+        if not len(at):
+            return
         # Exact names of the phrases that are one word longer: their number among (phrase, next word).
-        wide = int(ids.max()) + 1
-        both, code = np.unique(code * wide + ids[at + k] if len(at) else np.zeros(0, np.int64), return_inverse=True)
+        both, code = np.unique(code * wide + ids[at + k], return_inverse=True)
         names = [*(column[both // wide] for column in names), both % wide]
 
 
-def graph_edges(docs: DataFrame, bits: np.ndarray, power: int) -> DataFrame:
+def graph_edges(docs: DataFrame, short: np.ndarray, long: np.ndarray, power: int) -> DataFrame:
     """(lang, phrase, words, n): edges, piece ends, and with 0 words the number of all words of a language."""
     spark = docs.sparkSession
     out = pa_schema(spark, _EDGES)
-    shipped = spark.sparkContext.broadcast(bits.tobytes())
+    shipped = spark.sparkContext.broadcast((short.tobytes(), long.tobytes()))
     held = HELD_EDGES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heavy = np.frombuffer(shipped.value, np.uint8)
+        heavy = [np.frombuffer(b, np.uint8) for b in shipped.value]
         known: dict[str, _Words] = {}
         sums: dict[str, Counter] = {}
 
@@ -217,13 +269,11 @@ def graph_edges(docs: DataFrame, bits: np.ndarray, power: int) -> DataFrame:
         for lang, words, starts in windows(batches, WINDOW):
             names = known.setdefault(lang, _Words(lang))
             ids = names.numbers(words)
-            of_word, of_pair = names.slots(ids, power)
-            word = (ids > 0) & _held(heavy, of_word)
-            pair = word[:-1] & word[1:] & _held(heavy, of_pair)
+            reach = lengths(ids, names.slots(ids, power), *heavy)
             found = sums.setdefault(lang, Counter())
             found[()] += int((ids[:starts] > 0).sum())
             text = names.words
-            for columns, n in edges_of(ids, starts, word, pair):
+            for columns, n in edges_of(ids, starts, reach):
                 for *phrase, m in zip(*(c.tolist() for c in columns), n.tolist()):
                     found[tuple([text[i] for i in phrase])] += m
             if sum(map(len, sums.values())) > held:
@@ -272,7 +322,7 @@ def unary_paths(edges: DataFrame, piece: int = PATH_EDGES) -> DataFrame:
 
 
 def phrase_counts(paths: DataFrame, ends: DataFrame, least: int = LEAST) -> DataFrame:
-    """(lang, phrase, words, f): all phrases of 1 to LONGEST words with `least` occurrences or more.
+    """(lang, phrase, words, f): phrases of 1 to LONGEST words with `least` occurrences or more that were built.
 
     Flow out of each node, from the edges of the paths, and what ends there.
     """
@@ -321,7 +371,8 @@ def collocations(counts: DataFrame, totals: DataFrame, top: int = TOP) -> DataFr
 def mine_phrases(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     """The `top` collocations of each language among phrases of 2 to LONGEST words with `least` occurrences."""
     power = slot_power(docs)
-    edges = graph_edges(docs, heavy_slots(docs, least, power), power)
+    short = heavy_slots(docs, least, power)
+    edges = graph_edges(docs, short, heavy_slots(docs, least, power, short), power)
     edges = settled(edges.withColumn("id", F.monotonically_increasing_id()), "phrase-edges")
     paths = settled(unary_paths(edges), "phrase-paths")
     ends = edges.where((F.col("words") > 0) & (F.col("words") < LONGEST))
