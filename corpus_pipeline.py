@@ -14,6 +14,8 @@ pass through.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,26 +24,44 @@ from valuekit.llm import bench_simhash, bpe_trees, kernel_quality, line_join, ng
 from valuekit.llm.shared import settled, table
 
 
+def _set_apart(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """`docs` with other columns than doc_id and text under names of their own, and what gives them their names back.
+
+    So no column of the documents can meet one of an operator, whatever it is called.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    renamed = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(f"pipeline_{i}") for i, c in enumerate(others)])
+
+    def back(df: DataFrame) -> DataFrame:
+        return df.select(*[c if c in ("doc_id", "text") else F.col(f"pipeline_{others.index(c)}").alias(c) for c in docs.columns])
+
+    return renamed, back
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on this stage's input, does not reject."""
-    scored = kernel_quality.score_quality(docs, table(spark, sf_dir, "labels"), keep=tuple(docs.columns))
-    return scored.where("predicted = 1").select(docs.columns)
+    apart, back = _set_apart(docs)
+    scored = kernel_quality.score_quality(apart, table(spark, sf_dir, "labels"), keep=tuple(apart.columns))
+    return back(scored.where("predicted = 1"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their repeated lines; n_chars follows the text."""
-    kept = line_join.dedup_lines(docs).select(docs.columns)
+    apart, back = _set_apart(docs)
+    kept = back(line_join.dedup_lines(apart))
     return kept.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else kept
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group."""
-    return ngram_join.keep_first(docs)
+    apart, back = _set_apart(docs)
+    return back(ngram_join.keep_first(apart))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark items."""
-    return bench_simhash.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    apart, back = _set_apart(docs)
+    return back(bench_simhash.decontaminate(apart, table(spark, sf_dir, "benchmark")))
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

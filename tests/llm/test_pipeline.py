@@ -4,11 +4,12 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm import test_bench_simhash, test_line_join, test_ngram_join
-from valuekit.llm import kernel_quality
+from valuekit.llm import kernel_quality, line_join, ngram_join
 from valuekit.llm.shared import settled, table
 
 
@@ -55,3 +56,31 @@ def test_odd_rows_and_empty_tables(spark, tmp_path):
     assert mixed.count() > 0
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+CLASHING = ["__row", "__drops", "__doc", "__hash", "score", "predicted", "held_out", "Features", "n_lines", "n_removed", "row", "line", "k1", "node", "tokens", "label", "pipeline_0", "odd name"]
+
+
+def test_clashing_names_come_back_as_they_were(spark, tmp_path):
+    source = "/root/testdata/sf0.001"
+    for name in ("labels", "benchmark"):
+        table(spark, source, name).write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = table(spark, source, "documents").where("doc_id < 60")
+    wide = docs.select("*", *[F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")).alias(c) for c in CLASHING])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain = {r.doc_id: r.text for r in stage(spark, docs, str(tmp_path)).collect()}
+        got = stage(spark, wide, str(tmp_path))
+        assert got.columns == wide.columns, name
+        rows = got.collect()
+        assert {r.doc_id: r.text for r in rows} == plain, name
+        assert all(r[c] == f"{c}-{r.doc_id}" for r in rows for c in CLASHING), name
+    assert corpus_pipeline.STAGES[-1][1](spark, wide, str(tmp_path)).count() == 60
+
+
+def test_operators_keep_clashing_columns(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents").where("doc_id < 60").select("doc_id", "text")
+    wide = docs.select("*", *[F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")).alias(c) for c in ("__row", "__drops", "__doc", "__hash", "features")])
+    for made in (line_join.dedup_lines(wide), ngram_join.keep_first(wide)):
+        assert all(r[c] == f"{c}-{r.doc_id}" for r in made.collect() for c in wide.columns[2:])
+    scored = kernel_quality.score_quality(wide.withColumn("score", F.lit("x")), table(spark, "/root/testdata/sf0.001", "labels"), keep=("doc_id", "features", "score", "__row"))
+    assert scored.columns == ["doc_id", "__row", "held_out", "score", "predicted"] and scored.count() == docs.count()

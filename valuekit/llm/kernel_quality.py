@@ -186,8 +186,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("
     """The columns in `keep`, `held_out`, `score` and `predicted` of each row of `docs` (doc_id, text).
 
     Fits on the labels (doc_id, quality) outside the held-out fold. Statistics are computed once and kept in
-    the shared folder, from where both the fit and the scores are read.
+    the shared folder, from where both the fit and the scores are read. Columns in `keep` that have the name of a
+    result, or are called `features`, are left out.
     """
+    keep = tuple(c for c in keep if c.lower() not in ("held_out", "score", "predicted", "features"))
     features = settled(document_statistics(docs, keep=(*keep, "doc_id") if "doc_id" not in keep else keep), "quality-features")
     known = labels.where(~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").alias("label"))
     model = fit_quality(features.select("doc_id", "features").join(known, "doc_id").select("features", "label"))

@@ -15,7 +15,8 @@ similarity of THRESHOLD or more.
 Defined cases: documents with a null doc_id or null text come back as they are and are not compared; lines
 without words always stay; rows that share doc_id and text are one row for the comparison and each comes back
 with the same lines; rows that share doc_id only are ordered by a hash of the text; extra columns are
-kept, whatever their names; an empty table gives an empty result.
+kept, whatever their names, but for `n_lines` and `n_removed`, which are counted anew; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuekit.llm.shared import membership, settled, table
+from valuekit.llm.shared import free_names, membership, settled, table
 
 WORDS = 5
 #: The similarity from which lines count as the same, as numerator and denominator.
@@ -117,16 +118,17 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     gone = classes.join(similar_later(named).withColumn("gone", F.lit(True)), ["k1", "k2"], "left")
     placed = keyed.join(gone, ["k1", "k2"])
     dropped = placed.where(F.col("gone") | (F.col("first") != F.struct("doc_id", "row", "line_no")))
-    drops = settled(dropped.groupBy(F.col("doc_id").alias("__doc"), F.col("row").alias("__row")).agg(F.collect_set("line_no").alias("__drops")), "line-join-drops")
-    others = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    doc_key, row_key, numbers = free_names(docs, "__doc", "__row", "__drops")
+    drops = settled(dropped.groupBy(F.col("doc_id").alias(doc_key), F.col("row").alias(row_key)).agg(F.collect_set("line_no").alias(numbers)), "line-join-drops")
+    others = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
     lines = F.split("text", "\n")
-    maybe = F.coalesce(membership(drops.select("__row"), BITMAP)(row), F.lit(False))
+    maybe = F.coalesce(membership(drops.select(row_key), BITMAP)(row), F.lit(False))
     same = docs.where(~maybe).select(*others, F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"), F.lit(0).alias("n_removed"))
-    joined = docs.where(maybe).join(drops, (docs["doc_id"] == drops["__doc"]) & (F.xxhash64(docs["text"]) == drops["__row"]), "left")
-    kept = F.filter(lines, lambda _, i: ~F.array_contains("__drops", i))
-    text = F.when(F.col("__drops").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    counted = joined.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0))).withColumn("n_removed", F.coalesce(F.size("__drops"), F.lit(0)))
-    return counted.withColumn("text", text).select(*others, "n_lines", "n_removed").unionByName(same)
+    joined = docs.where(maybe).select(*others).join(drops, (F.col("doc_id") == F.col(doc_key)) & (row == F.col(row_key)), "left")
+    kept = F.filter(lines, lambda _, i: ~F.array_contains(numbers, i))
+    text = F.when(F.col(numbers).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    counts = [F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"), F.coalesce(F.size(numbers), F.lit(0)).alias("n_removed")]
+    return joined.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in others], *counts).unionByName(same)
 
 
 def op7_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:

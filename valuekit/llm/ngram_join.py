@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuekit.llm.line_join import with_tokens
-from valuekit.llm.shared import pa_schema, settled, small_batches, table
+from valuekit.llm.shared import free_names, pa_schema, settled, small_batches, table
 
 THRESHOLD = (4, 5)
 HASHES = 128
@@ -189,14 +189,15 @@ def keep_first(docs: DataFrame) -> DataFrame:
     firsts = ends.select("k1", "k2", "label").join(least, "label").select("k1", "k2", "first")
     kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row"))
     judged = members.join(firsts, ["k1", "k2"]).groupBy("doc_id", "row").agg(F.max(kept).alias("kept"), F.count(F.lit(1)).alias("n"))
-    judged = settled(judged.select(F.col("doc_id").alias("__doc"), F.col("row").alias("__hash"), "kept", "n"), "ngram-kept")
-    tagged = docs.withColumn("__row", F.xxhash64("text"))
-    met = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__row") == F.col("__hash"))
-    once = tagged.join(judged.where("NOT kept OR n > 1").select("__doc", "__hash"), met, "left_anti").select(docs.columns)
-    repeated = judged.where("kept AND n > 1").select("__doc", "__hash")
+    doc_key, row_key, row = free_names(docs, "__doc", "__hash", "__row")
+    judged = settled(judged.select(F.col("doc_id").alias(doc_key), F.col("row").alias(row_key), "kept", "n"), "ngram-kept")
+    tagged = docs.withColumn(row, F.xxhash64("text"))
+    met = F.col("doc_id").eqNullSafe(F.col(doc_key)) & (F.col(row) == F.col(row_key))
+    once = tagged.join(judged.where("NOT kept OR n > 1").select(doc_key, row_key), met, "left_anti").drop(row)
+    repeated = judged.where("kept AND n > 1").select(doc_key, row_key)
     if repeated.isEmpty():  # a second shuffle of all texts only where it is needed
         return once
-    return once.union(tagged.join(repeated, met, "left_semi").dropDuplicates(["doc_id", "__row"]).select(docs.columns))
+    return once.union(tagged.join(repeated, met, "left_semi").dropDuplicates(["doc_id", row]).drop(row))
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,6 +37,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, with underscores added where `df` has such a column, whatever its case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as parquet into the shared folder and continue from the files, so lineage ends here."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
