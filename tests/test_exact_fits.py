@@ -282,3 +282,40 @@ def test_actions_before_the_query(spark, monkeypatch):
     runs.clear()
     calibration.linear_lines(df, ["sample"], "p", "y", [("plain", False), ("odds", True)])
     assert runs == ["count", "toArrow"]
+
+
+def test_search_reads_the_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return float(x % 17)
+
+    raw = spark.range(400).repartition(2).select("id", counted("id").alias("a"), (F.col("id") % 5).cast("double").alias("b"), F.when(F.col("id") % 3 == 0, "valid").otherwise("train").alias("sample"))
+    df = raw.withColumn("y", (F.col("id") % 17 + F.col("id") % 7 > 11).cast("int"))
+    bounds = {"maxIter": (1, 4), "maxDepth": (1, 3)}
+    trials, best = training.random_search(training.fit_gbt, df, ["a", "b"], "y", bounds, n_iter=4, seed=3)
+    assert seen.value == 400 and len(trials) == 4
+    scores = []
+    for t in trials:
+        model = training.fit_gbt(df, ["a", "b"], "y", maxIter=t["maxIter"], maxDepth=t["maxDepth"])
+        scores.append(2 * training.auc(model.score(df.where("sample = 'valid'")), [], "score", "y").first().auc - 1)
+    assert [t["gini_valid"] for t in trials] == pytest.approx(scores)
+    assert 2 * training.auc(best.score(df.where("sample = 'valid'")), [], "score", "y").first().auc - 1 == pytest.approx(max(scores))
+    halved, _ = training.random_search(training.fit_gbt, df, ["a", "b"], "y", bounds, n_iter=4, seed=3, rungs=1)
+    assert sorted(t["share"] for t in halved) == [0.5, 0.5, 1.0, 1.0]
+
+
+def test_feature_curve_reads_the_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return float(x % 17)
+
+    raw = spark.range(300).repartition(2).select(counted("id").alias("a"), (F.col("id") % 5).cast("double").alias("b"), F.when(F.col("id") % 3 == 0, "valid").otherwise("train").alias("sample"), (F.col("id") % 17 > 8).cast("int").alias("y"))
+    fit = lambda df, f, y, sample: training.Formula(tuple(f), lambda x: sum(x.values(), F.lit(0.0)))
+    got = {r.feature_num: r for r in importance.feature_curve(raw, fit, ["a", "b"], "y").collect()}
+    assert seen.value == 300 and got[1].gini_valid == 1.0 and got[2].feature == "b"

@@ -5,15 +5,17 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 from typing import Any
 
-from pyspark import SparkContext, StorageLevel
+from pyspark import SparkContext, StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuekit.functions.columns import filled, known
@@ -22,8 +24,11 @@ from valuekit.operators.frames import long_numeric
 from valuekit.operators.prefixes import prefix_auc, tree_predictions
 from valuekit.operators.ranks import broadcast_within, quantiles, unique_edges
 from valuekit.operators.regression import select_metric
+from valuekit.session import settle
 
 VECTOR = "_features"
+#: Fits that run side by side in a search.
+WORKERS = 4
 # Largest accepted train-valid gap of Gini points, absolute and relative (percent).
 GINI_GAP, GINI_GAP_PERCENT = 5.0, 10.0
 
@@ -261,18 +266,41 @@ def fit_woe_logistic(df: DataFrame, features: Sequence[str], label: str, *, n_bi
     return WoeLogistic(LogisticRegression(featuresCol=VECTOR, labelCol="_y", **params).fit(data), bins)
 
 
-def random_search(fit: Callable[..., Fitted], df: DataFrame, features: Sequence[str], label: str, bounds: Mapping[str, tuple[float, float]], *, integers: Sequence[str] = ("maxDepth", "maxIter", "maxBins", "numTrees"), n_iter: int = 5, seed: int = 1, sample: str = "sample") -> tuple[list[dict], Fitted]:
-    """Seeded search within bounds by valid Gini; the best settings are fitted again at the end."""
+def side_by_side(tasks: Sequence[Callable[[], Any]], workers: int = WORKERS) -> list:
+    """Results of driver-side tasks in their order; their Spark jobs share the cluster."""
+    session = SparkSession.getActiveSession()
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
+        return list(pool.map(lambda task: inheritable_thread_target(session)(task)(), tasks))
+
+
+def random_search(fit: Callable[..., Fitted], df: DataFrame, features: Sequence[str], label: str, bounds: Mapping[str, tuple[float, float]], *, integers: Sequence[str] = ("maxDepth", "maxIter", "maxBins", "numTrees"), n_iter: int = 5, seed: int = 1, sample: str = "sample", rungs: int = 0, workers: int = WORKERS) -> tuple[list[dict], Fitted]:
+    """Seeded search within bounds by valid Gini: the trials with their Gini, and the model of the best one.
+
+    The columns that trials need are written once, and every trial reads those files; trials run side by side. With
+    `rungs` the ensembles start at a 2^rungs-th of their trees, and after each rung the better half goes on with twice
+    as many; a trial that stopped reports the Gini of its last rung and `share`, the part of its trees it got.
+    """
     rng = random.Random(seed)
-    trials = []
-    for _ in range(n_iter):
-        params = {k: (round if k in integers else float)(rng.uniform(*b)) for k, b in bounds.items()}
-        scored = fit(df, features, label, sample=sample, **params).score(df.where(F.col(sample) == "valid"))
-        got = auc(scored, [], "score", label).first()
-        trials.append(params | {"gini_valid": 2 * got["auc"] - 1})
-    best = max(trials, key=lambda t: t["gini_valid"])
-    settings = {k: v for k, v in best.items() if k != "gini_valid"}
-    return trials, fit(df, features, label, sample=sample, **settings)
+    trials = [{k: (round if k in integers else float)(rng.uniform(*b)) for k, b in bounds.items()} for _ in range(n_iter)]
+    rows = settle(df.where(F.col(sample).isin("train", "valid")).select(*dict.fromkeys([sample, label, *features])))
+    valid = rows.where(F.col(sample) == "valid")
+    done: dict[int, tuple[float, Fitted, float]] = {}
+
+    def attempt(i: int, share: float) -> tuple[float, Fitted, float]:
+        params = {k: max(1, round(v * share)) if k in ("maxIter", "numTrees") else v for k, v in trials[i].items()}
+        fitted = fit(rows, features, label, sample=sample, **params)
+        found = auc(fitted.score(valid), [], "score", label).first()["auc"]
+        return (-1.0 if found is None else 2 * found - 1), fitted, share
+
+    running = list(range(n_iter))
+    for rung in range(rungs, -1, -1):
+        share = 0.5**rung
+        results = side_by_side([partial(attempt, i, share) for i in running], workers)
+        done.update(zip(running, results))
+        # Equal trials keep their order, so a rerun takes the same ones.
+        running = sorted(running, key=lambda i: -done[i][0])[: max(1, -(-len(running) // 2))] if rung else running
+    best = max(running, key=lambda i: done[i][0])
+    return [t | {"gini_valid": done[i][0]} | ({"share": done[i][2]} if rungs else {}) for i, t in enumerate(trials)], done[best][1]
 
 
 def score_columns(df: DataFrame, models: Mapping[str, Fitted | Formula | WoeLogistic]) -> tuple[DataFrame, dict[str, str]]:

@@ -2,33 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from valuekit.functions.columns import MISSING_CATEGORY
 from valuekit.operators import binary, importance, profile, regression, stability
-from valuekit.operators.training import Fitted
+from valuekit.operators.training import Fitted, Formula
 from valuekit.roles import SAMPLES, Roles
 from valuekit.session import settle
 
 # Edges of the report's bin tables by model type.
-BIN_EDGES = {"binary": 20, "regression": 21}
+BIN_EDGES = {"binary": 20, "regression": 21, "other": 20}
 
 
-def validation_suite(df: DataFrame, roles: Roles, model_type: str, *, score: str = "score", fitted: Fitted | None = None) -> dict[str, DataFrame]:
+def validation_suite(df: DataFrame, roles: Roles, model_type: str, *, score: str = "score", fitted: Fitted | Formula | None = None, refit: Callable[..., Fitted] | None = None, unlog: Callable[[Column], Column] | None = None) -> dict[str, DataFrame]:
     """Table name to DataFrame. `df` already carries the score.
 
     The frame is settled first, because every check reads it and the score should be computed
     once. `fitted` adds the checks that have to score again (permutation importance). Samples of any name are
-    compared, those without a name as "NA".
+    compared, those without a name as "NA". `refit` adds the curve of models on the best 1..k features of a binary
+    model, `unlog` takes target and score of a regression back from their log scale first. `other` models have the
+    checks of binary ones, as far as they need no classes of their own.
     """
     if model_type not in BIN_EDGES:
         raise ValueError(f"model_type must be one of {sorted(BIN_EDGES)}, not {model_type!r}")
     sample, label = roles.sample, roles.target
     named = df.withColumn(sample, F.coalesce(sample, F.lit(MISSING_CATEGORY)))
+    if unlog is not None:
+        named = named.withColumns({c: unlog(F.col(c)) for c in (label, score)})
+    two_classes = model_type in ("binary", "other")
     rows = settle(named.select(*dict.fromkeys([*roles.id, sample, label, score, *roles.features])))
     # Names of samples are configuration; the known ones come first, in the report's order.
     present = {r[0] for r in rows.select(sample).distinct().collect()}
@@ -37,16 +42,16 @@ def validation_suite(df: DataFrame, roles: Roles, model_type: str, *, score: str
     numeric = [*roles.numeric]
 
     detailed = stability.detailed_psi(
-        rows, [*numeric, score], roles.categorical, sample=sample, label=label if model_type == "binary" else None, against=against
+        rows, [*numeric, score], roles.categorical, sample=sample, label=label if two_classes else None, against=against
     )
-    parts = ("all", "events", "nevents") if model_type == "binary" else ("all",)
+    parts = ("all", "events", "nevents") if two_classes else ("all",)
     out = {
         "variable_profile": profile.variable_profile(rows.where(F.col(sample) == "train"), numeric, roles.categorical),
         "variable_types": profile.variable_types(rows, label, numeric, roles.categorical),
         "psi_detailed": detailed,
         "psi_short": stability.short_psi(detailed, against, parts),
     }
-    if model_type == "binary":
+    if two_classes:
         out |= {
             "data_statistics": profile.sample_stats(rows, label, sample),
             "metrics": binary.binary_metrics(rows, [sample], score, label),
@@ -55,6 +60,9 @@ def validation_suite(df: DataFrame, roles: Roles, model_type: str, *, score: str
             "gini_features": binary.gini_with_flags(binary.feature_gini(rows.where(F.col(sample) == "train"), numeric, label), numeric),
             "gini_stability": binary.gini_stability(rows, numeric, score, label, samples, sample),
         }
+        if refit is not None and model_type == "binary":
+            ranking = [r["feature"] for r in importance.ranked(out["gini_features"], "gini").select("feature").collect()]
+            out["feature_curve"] = importance.feature_curve(rows, refit, ranking, label, sample=sample)
         metric = "gini"
     else:
         metrics = regression.regression_metrics(rows, [sample], label, score, regression.mape_plain)
@@ -63,8 +71,11 @@ def validation_suite(df: DataFrame, roles: Roles, model_type: str, *, score: str
             "metrics": metrics,
             "metric_delta": regression.regression_delta(metrics, samples, sample),
             "bins": regression.regression_bins(rows, [sample], label, score, BIN_EDGES[model_type]),
+            "rec_curve": regression.rec_curve(rows.where(F.col(sample) == "train"), [sample], label, score),
             "rec_area": regression.rec_area(rows.where(F.col(sample) == "train"), [sample], label, score),
         }
+        found = settle(importance.tree_correlation(rows, numeric, label, (sample,)))
+        out |= {"tree_correlation": found, "tree_correlation_delta": importance.correlation_delta(found, samples, sample)}
         metric = "mae"
     if fitted is not None:
         scored_again = importance.permutation_importance(rows, fitted, label, roles.id, sample=sample, metric=metric)
