@@ -319,3 +319,21 @@ def test_feature_curve_reads_the_rows_once(spark):
     fit = lambda df, f, y, sample: training.Formula(tuple(f), lambda x: sum(x.values(), F.lit(0.0)))
     got = {r.feature_num: r for r in importance.feature_curve(raw, fit, ["a", "b"], "y").collect()}
     assert seen.value == 300 and got[1].gini_valid == 1.0 and got[2].feature == "b"
+
+
+@pytest.mark.parametrize("bins", [1, 7, 1 << 16])
+def test_hash_cuts_are_ranks(spark, bins):
+    from valuekit.operators import split
+
+    picks = random.Random(bins)
+    rows = [(picks.choice(["a", "b", None]), picks.choice([0.25, picks.random()])) for _ in range(200)] + [("tiny", 0.5)]
+    df = spark.createDataFrame(rows, "s string, _hash double")
+    bounds = {"x": 0.6, "y": 30, "z": 500, "none": 0.0}
+    got = {r.s: r for r in split.hash_cuts(df, ["s"], bounds, bins).collect()}
+    for s in ("a", "b", None, "tiny"):
+        values = sorted(h for k, h in rows if k == s)
+        for name, bound in bounds.items():
+            size = min(len(values), int(bound * len(values)) if isinstance(bound, float) else bound)
+            assert got[s][f"_cut_{name}"] == (values[size - 1] if size else None)
+    parts = split.split_rows(df.withColumnRenamed("_hash", "h").withColumn("k", F.monotonically_increasing_id()), ["k"], {"p": 0.5, "q": 0.5}, strata=["s"])
+    assert {(r.s, r.sample): r["count"] for r in parts.groupBy("s", "sample").count().collect()}["tiny", "q"] == 1 and parts.count() == 201

@@ -9,14 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valuekit.functions.columns import hash_fraction
 from valuekit.operators.frames import join_on
 from valuekit.operators.ranks import pinned, rank_cuts
+from valuekit.session import settle
 
 _HASH = "_hash"
+#: Bins of the histogram that narrows down a cut.
+HASH_BINS = 1 << 16
 
 
 def _bounds(shares: Mapping[str, float | int]) -> dict[str, float | int]:
@@ -35,13 +38,41 @@ def _label(bounds: Mapping[str, float | int], last: str, cut: Callable[[str], Co
     return label
 
 
+def hash_cuts(ranked: DataFrame, strata: Sequence[str], bounds: Mapping[str, float | int], bins: int = HASH_BINS) -> DataFrame:
+    """(strata, _cut_<name>): the hash of the last row inside each bound; null where a bound holds no row.
+
+    A histogram of the hashes, summed before the shuffle, tells the bin of each wanted rank; only the rows of those
+    bins are put in order. The hashes and strata are written once, since both passes read them.
+    """
+    spot = F.floor(F.col(_HASH) * bins).cast("int").alias("_bin")
+    rows = settle(ranked.select(*dict.fromkeys([*strata, _HASH]))).select("*", spot)
+    inside = Window.partitionBy(*strata).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*strata, "_bin").agg(F.count(F.lit(1)).alias("_n")).select(
+        "*", F.coalesce(F.sum("_n").over(inside), F.lit(0)).alias("_below"), F.sum("_n").over(Window.partitionBy(*strata)).alias("_all")
+    )
+
+    def size(bound: float | int) -> Column:
+        return F.least(F.floor(F.lit(bound) * F.col("_all")) if isinstance(bound, float) else F.lit(bound), F.col("_all")).cast("bigint")
+
+    sizes = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), size(b).alias("size")) for n, b in bounds.items()])).alias("_s")
+    hit = counts.select(*strata, "_bin", "_n", "_below", sizes).where("_s.size > _below AND _s.size <= _below + _n")
+    wanted = pinned(hit.select(*strata, "_bin", F.col("_s.name").alias("_name"), (F.col("_s.size") - F.col("_below")).alias("_rank")))
+    ordered = join_on(rows, wanted, [*strata, "_bin"])
+    place = F.row_number().over(Window.partitionBy(*strata, "_name").orderBy(_HASH))
+    found = ordered.withColumn("_place", place).where("_place = _rank")
+    return found.groupBy(*strata).agg(*[F.max(F.when(F.col("_name") == n, F.col(_HASH))).alias(f"_cut_{n}") for n in bounds])
+
+
 def _split(df: DataFrame, ranked: DataFrame, strata: Sequence[str], shares: Mapping[str, float | int], sample: str) -> DataFrame:
     """Cut values are one row per stratum; without strata they are literals of the plan."""
     bounds = _bounds(shares)
-    cuts = rank_cuts(ranked, [*strata], _HASH, {f"_cut_{n}": b for n, b in bounds.items()})
     columns, last = [c for c in df.columns if c != _HASH], list(shares)[-1]
+    if not bounds:
+        return df.select(*columns, F.lit(last).alias(sample))
+    cuts = hash_cuts(ranked, [*strata], bounds)
     if strata:
-        joined = join_on(df, pinned(cuts), [*strata])
+        # A stratum too small for any bound has no cuts: all of it is in the last part.
+        joined = join_on(df, pinned(cuts), [*strata], "left")
         return joined.select(*columns, _label(bounds, last, lambda n: F.col(f"_cut_{n}")).alias(sample))
     row = cuts.first()
     return df.select(*columns, _label(bounds, last, lambda n: F.lit(row[f"_cut_{n}"])).alias(sample))

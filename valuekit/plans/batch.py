@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from valuekit.operators.encode import encode, pending_rows
 from valuekit.operators.mart import mart_slice
-from valuekit.operators.scoring import Window, score_pairs, uplift_all, uplift_curve
+from valuekit.operators.scoring import LAST_PERIOD, Window, score_pairs, uplift_all, uplift_curve
 from valuekit.operators.split import hash_batches
 from valuekit.operators.training import Fitted
 from valuekit.sources.writers import output_complete, path_exists, write_parquet
@@ -41,12 +41,15 @@ def build_dataset(mart: DataFrame, dictionary: DataFrame, folder: str, slice_dat
     return spark.read.parquet(path)
 
 
-def score_dataset(df: DataFrame, models: Mapping[tuple[str, str], Fitted], windows: Mapping[tuple[str, str], Window], folder: str, *, key: str, date_text: str) -> list[dict]:
-    """One uplift table per pair under `folder`; finished pairs are skipped, failures reported."""
+def score_dataset(df: DataFrame, models: Mapping[tuple[str, str], Fitted], windows: Mapping[tuple[str, str], Window], folder: str, *, key: str, date_text: str, default: Window = Window(0, LAST_PERIOD)) -> list[dict]:
+    """One uplift table per pair under `folder`; finished pairs are skipped, failures reported.
+
+    A pair without a window of its own gets the default one.
+    """
     spark = df.sparkSession
 
     def scorer(frame: DataFrame, base: str, sold: str) -> DataFrame:
-        return uplift_curve(frame, models[(base, sold)], base, sold, windows[(base, sold)], treatment=base)
+        return uplift_curve(frame, models[(base, sold)], base, sold, windows.get((base, sold), default), treatment=base)
 
     return score_pairs(
         df,

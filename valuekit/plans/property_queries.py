@@ -115,6 +115,15 @@ def low_cardinality(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(c,) for c in clean.low_cardinality(rows, rows.columns)], "column string")
 
 
+def cast_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Text columns in which each value is a number become numbers; one stray text keeps its column as it is."""
+    key = F.col("o_custkey").cast("string")
+    rows = fx.table(spark, sf, "orders").select(key.alias("all_numbers"), F.when(F.col("o_orderkey") > 1, key).otherwise("x1").alias("one_text"), F.nullif(key, F.lit("7")).alias("with_gaps"), "o_orderstatus")
+    typed = clean.cast_numbers(rows)
+    kinds = F.lit(",".join(f"{c}:{t}" for c, t in typed.dtypes)).alias("kinds")
+    return typed.groupBy("o_orderstatus").agg(F.sum("all_numbers").alias("total"), F.count("with_gaps").alias("n_filled"), F.max(F.length("one_text")).alias("longest")).select("*", kinds)
+
+
 def comparison_samples(spark: SparkSession, sf: str) -> DataFrame:
     """The samples that a report on the lines compares with train, in order."""
     present = [r[0] for r in fx.binary_sample(spark, sf).select("sample").distinct().collect()]
@@ -165,6 +174,7 @@ QUERIES = {
     "encode_joined": encode_joined,
     "final_features": final_features,
     "low_cardinality": low_cardinality,
+    "cast_numbers": cast_numbers,
     "comparison_samples": comparison_samples,
     "auc_stop": auc_stop,
     "category_split": category_split,
@@ -213,6 +223,9 @@ ORACLE = {
         SELECT CAST(row_number() OVER (ORDER BY i) AS INT) AS place, feature FROM f""",
     "low_cardinality": """SELECT "column" FROM (SELECT 'o_orderstatus' AS "column", count(DISTINCT o_orderstatus) AS d FROM orders UNION ALL SELECT 'o_orderpriority', count(DISTINCT o_orderpriority) FROM orders
         UNION ALL SELECT 'order_text', count(DISTINCT o_orderkey) FROM orders UNION ALL SELECT 'cust_text', count(DISTINCT o_custkey) FROM orders) WHERE d < 0.5 * (SELECT count(*) FROM orders)""",
+    "cast_numbers": """SELECT o_orderstatus, CAST(sum(o_custkey) AS DOUBLE) AS total, count(*) FILTER (o_custkey <> 7) AS n_filled,
+        CAST(max(CASE WHEN o_orderkey > 1 THEN length(CAST(o_custkey AS VARCHAR)) ELSE 2 END) AS INT) AS longest,
+        'all_numbers:double,one_text:string,with_gaps:double,o_orderstatus:string' AS kinds FROM orders GROUP BY 1""",
     "comparison_samples": f"""{with_sql('binary')}, s AS (SELECT DISTINCT sample FROM bin_sample), w AS (SELECT sample, CASE sample WHEN 'test' THEN 1 WHEN 'valid' THEN 2 WHEN 'OOT' THEN 3 END AS i FROM s
         WHERE sample IN ('test', 'OOT') OR (sample = 'valid' AND 'test' NOT IN (SELECT sample FROM s))) SELECT CAST(row_number() OVER (ORDER BY i) AS INT) AS place, sample FROM w""",
     "auc_stop": f"""{with_sql('binary')}, {model_twins.SIGNAL} SELECT sample, count(*) AS n_rows, CAST(sum(y) AS BIGINT) AS n_events, 8::BIGINT AS n_prefixes, TRUE AS kept_is_best FROM sig WHERE sample = 'valid' GROUP BY 1""",
