@@ -10,7 +10,7 @@ edges that begin with it, and the piece ends that begin with it.
 Only phrases of `least` occurrences or more count, so most of the graph need not be built. Two first passes add up
 phrases in tables of hashed slots (sums stop at `least`, which is all that matters): words and pairs, then the longer
 phrases that consist of heavy ones. A phrase in a lighter slot is rarer than that, and so is each that begins with it, so
-an edge that reaches it is cut there and becomes an end. Slots that several phrases share only leave a cut out. The
+an edge that reaches it is cut there and becomes an end. A word in no heavy pair starts nothing. Slots that several phrases share only leave a cut out. The
 number of slots follows the size of the texts up to 2^MOST_SLOTS; past that more is built and the result is the same.
 
 Tasks merge equal edges before the shuffle, with tables of bounded size; texts are read in windows of words that
@@ -159,7 +159,8 @@ def unpacked_row(data: bytes, width: int) -> np.ndarray:
 def heavy_slots(docs: DataFrame, least: int, power: int, shorter: np.ndarray | None = None) -> np.ndarray:
     """Bitmap (packed, 2^power bits) of the slots whose phrases occur `least` times or more together.
 
-    Words and pairs at first; with the bitmap of those as `shorter` the longer phrases that consist of heavy ones.
+    Words and pairs at first; with the bitmap of those as `shorter` the longer phrases that consist of heavy ones, and
+    the words of heavy pairs.
     """
     if not 0 < least < 256:
         raise ValueError("least must be from 1 to 255")
@@ -180,6 +181,9 @@ def heavy_slots(docs: DataFrame, least: int, power: int, shorter: np.ndarray | N
                 hit = np.concatenate([s[:starts][w[:starts]] for s, w in zip(slots, wanted)])
             else:
                 reach = lengths(ids, slots, bits, None)
+                # Words in a heavy pair are marked; the others are part of no wanted phrase.
+                first = np.flatnonzero(reach > 1)
+                sums[slots[0][first]] = sums[slots[0][first + 1]] = least
                 hit = np.concatenate([s[:starts][(reach[: len(s)] >= k)[:starts]] for k, s in enumerate(slots[2:], 3)])
             found, n = np.unique(hit, return_counts=True)
             sums[found] = np.minimum(least, n + sums[found])
@@ -212,7 +216,8 @@ def _held(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
 def lengths(ids: np.ndarray, slots: list[np.ndarray], short: np.ndarray, long: np.ndarray | None) -> np.ndarray:
     """How many words the longest phrase has that begins at each position and whose beginnings may all be frequent.
 
-    `short` decides words and pairs, `long` the longer ones; without it they are as long as their pairs allow.
+    `short` decides words and pairs, `long` the longer ones; without it they are as long as their pairs allow. A word
+    that goes on nowhere and is in no heavy pair begins nothing.
     """
     word = (ids > 0) & _held(short, slots[0])
     pair = word[:-1] & word[1:] & _held(short, slots[1])
@@ -224,6 +229,8 @@ def lengths(ids: np.ndarray, slots: list[np.ndarray], short: np.ndarray, long: n
             if long is not None:
                 goes_on = goes_on & _held(long, slots[k - 1])
         reach[: len(goes_on)] += goes_on
+    if long is not None:
+        reach[(reach == 1) & ~_held(long, slots[0])] = 0
     return reach
 
 
