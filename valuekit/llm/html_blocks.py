@@ -4,8 +4,8 @@ Markup is stripped: scripts, styles, comments and elements that are no article b
 class go with all they hold, block elements end a line, and the boundary of a container leaves an empty
 line. Each line counts its characters outside links. Sums over sliding windows of WINDOW lines are then
 searched for surges (the sum reaches SURGE, or the page's largest sum where that is less) and dives (it
-falls to zero); the lines from a surge to the next dive are kept. Where the page marks an article, only
-lines inside it take part.
+falls to zero); the lines from a surge to the next dive are kept. Where the page marks an article that holds
+half of the characters outside links or more, the surge begins and ends with the mark.
 
 Defined cases: null or empty html, and pages without text, give an empty text of 0 characters; elements left
 open end with the element around them; unknown or broken character references stay as they are; repeated
@@ -25,7 +25,7 @@ from valuekit.llm.shared import map_batches, table
 WINDOW = 3
 SURGE = 60
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|textarea|title|iframe|svg|math|object|canvas|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|textarea|title|iframe|svg|object|canvas|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"<]*\"|'[^'<]*'|[^>\"'])*+|[^>]*)>|<[!?][^>]*>",
     re.S | re.I,
 )
@@ -34,29 +34,39 @@ _WORDS = re.compile(r"[a-z]+")
 CONTAINERS = frozenset("html body div section article main aside nav header footer form ul ol dl table tbody thead tfoot figure fieldset details dialog menu center".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th pre blockquote address figcaption caption hr legend summary hgroup".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("nav aside footer form button menu dialog head label fieldset audio video".split())
+SKIPPED = frozenset("nav aside footer form button menu dialog head fieldset audio video".split())
 ARTICLES = frozenset("article main".split())
 #: Words of a class, id or role that mark what is not the article.
 HINTS = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs sidebar side complementary "
-    "footer contentinfo header masthead comment comments reply replies disqus respond cookie cookies consent notice notices notification alert gdpr newsletter subscribe signup login search "
-    "share sharing social related recommended popup modal overlay dialog widget widgets pagination pager skip".split()
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar complementary "
+    "footer contentinfo comment comments reply replies disqus respond cookie cookies consent gdpr newsletter subscribe signup login "
+    "share sharing related recommended popup modal overlay pagination pager".split()
 )
-#: Marks of pages that hint at the article; they outweigh a hint in the same element.
+#: Words that do so unless a word of KEPT stands beside them, as in `post-header`.
+WEAK_HINTS = frozenset("banner side header masthead notice notices notification alert search social dialog widget widgets skip".split())
 KEPT = frozenset("article main content post entry story body".split())
+#: Beginnings of layout classes that name a part which lies elsewhere, as in `with-sidebar`.
+LAYOUT = frozenset("with has no without".split())
 
 
 def _hinted(attributes: str) -> bool:
-    words = {w for m in _HINTED.finditer(attributes) for w in _WORDS.findall((m[1] or m[2] or m[3] or "").lower())}
-    return not words.isdisjoint(HINTS) and words.isdisjoint(KEPT)
+    for m in _HINTED.finditer(attributes):
+        names = [_WORDS.findall(token) for token in (m[1] or m[2] or m[3] or "").lower().split()]
+        words = {w for name in names if name and name[0] not in LAYOUT for w in name}
+        if not words.isdisjoint(HINTS) or (not words.isdisjoint(WEAK_HINTS) and words.isdisjoint(KEPT)):
+            return True
+    return False
+
+
+_BY_HINT = 2
 
 
 def page_lines(page: str) -> list[tuple[str, int, bool]]:
     """Lines of a page: text, characters in links, and whether it lies in an article. Empty lines are gaps."""
     lines: list[tuple[str, int, bool]] = []
     held: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, skipped, in an article
-    skipped, inside, linked, link_from = False, False, 0, None
+    stack: list[tuple[str, int, bool]] = []  # name, skipped (by its name, by a hint), in an article
+    skipped, inside, linked, link_from = 0, False, 0, None
 
     def flush() -> None:
         nonlocal linked, link_from
@@ -94,15 +104,16 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if depth is not None:
                 del stack[depth:]
-                skipped, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+                skipped, inside = (stack[-1][1], stack[-1][2]) if stack else (0, False)
                 link_from = None if name in CONTAINERS else link_from
         elif name not in VOID and not m[4].endswith("/"):
-            if name in ARTICLES and not inside and all(n != "aside" for n, _, _ in stack):
-                skipped = _hinted(m[4])
-                stack.append((name, skipped, True))
-            elif name in CONTAINERS or name in SKIPPED or (m[4] and _hinted(m[4])):
-                bad = skipped or name in SKIPPED or (name == "header" and not inside) or (name not in ("html", "body") and _hinted(m[4]))
-                stack.append((name, bad, inside))
+            hinted = name not in ("html", "body") and bool(m[4]) and _hinted(m[4])
+            if name in ARTICLES and not inside and skipped < _BY_HINT and all(n != "aside" for n, _, _ in stack):
+                # An article ends a menu or the like that was left open.
+                stack.append((name, _BY_HINT if hinted else 0, not hinted))
+            elif name in CONTAINERS or name in SKIPPED or hinted:
+                by_name = name in SKIPPED or (name == "header" and not inside)
+                stack.append((name, max(skipped, _BY_HINT if hinted else int(by_name)), inside))
             else:
                 continue
             skipped, inside = stack[-1][1], stack[-1][2]
@@ -129,9 +140,14 @@ def kept_lines(lengths: list[int]) -> list[bool]:
 def main_text(page: str | None) -> str:
     """The article of a page, its blocks joined by line ends."""
     lines = page_lines(page or "")
-    if any(text and inside for text, _, inside in lines):
+    mass = [len(text) - linked for text, linked, _ in lines]
+    # A mark counts where the page's text is; cards that carry it beside the story do not.
+    if any(inside for _, _, inside in lines) and 2 * sum(n for n, line in zip(mass, lines) if line[2]) >= sum(mass):
+        # All between the marks is one surge: short lines and links belong to it.
         lines = [line for line in lines if line[2]]
-    kept = kept_lines([len(text) - linked for text, linked, _ in lines])
+        kept = [True] * len(lines)
+    else:
+        kept = kept_lines(mass)
     return "\n".join(text for (text, _, _), k in zip(lines, kept) if k and text)
 
 
