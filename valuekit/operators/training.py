@@ -196,13 +196,18 @@ def accepted_trees(path: DataFrame, max_gap: float = GINI_GAP, max_percent: floa
     return path.agg(F.max(F.when(fine, F.col("n_trees"))).alias("n_trees"), F.count_if(fine).alias("n_passing"), F.count(F.lit(1)).alias("n_built"))
 
 
-def regression_path(fitted: Fitted, df: DataFrame, label: str, *, sample: str = "sample", metric: str = "mae") -> DataFrame:
+def regression_path(fitted: Fitted | Formula, df: DataFrame, label: str, *, sample: str = "sample", metric: str = "mae") -> DataFrame:
     """(n_trees, train, valid, relative_diff): error of every prefix of trees of a regressor."""
-    rows = with_vector(df.where(F.col(sample).isin("train", "valid")), fitted.features).select(sample, label, VECTOR)
-    for i, tree in enumerate(fitted.model.trees):
-        rows = tree.transform(rows, {tree.featuresCol: VECTOR, tree.predictionCol: f"_t{i}"})
+    rows = df.where(F.col(sample).isin("train", "valid"))
+    if isinstance(fitted, Formula):
+        filled_in = {f: filled(F.col(f)) for f in fitted.features}
+        rows, weights = rows.select(sample, label, *[t(filled_in).alias(f"_t{i}") for i, t in enumerate(fitted.trees)]), fitted.weights
+    else:
+        rows, weights = with_vector(rows, fitted.features).select(sample, label, VECTOR), fitted.model.treeWeights
+        for i, tree in enumerate(fitted.model.trees):
+            rows = tree.transform(rows, {tree.featuresCol: VECTOR, tree.predictionCol: f"_t{i}"})
     values, total = [], F.lit(0.0)
-    for i, w in enumerate(fitted.model.treeWeights):
+    for i, w in enumerate(weights):
         total = total + F.col(f"_t{i}") * w
         values.append(total)
     # One aggregate column a prefix: rows are read once and never copied.

@@ -49,6 +49,15 @@ VALUE_SQL = "1200.5::DOUBLE * {qty} + 310.25::DOUBLE * {n_lines}"
 SMALL_VALUE = Formula(VALUE_FEATURES, lambda x: 1300.5 * x["qty"] - 40.75 * x["n_lines"])
 SMALL_VALUE_SQL = "1300.5::DOUBLE * {qty} - 40.75::DOUBLE * {n_lines}"
 
+#: An additive value model: a part for the quantity, one for the lines, and a step, the last at half its weight.
+VALUE_TREES = Formula(
+    VALUE_FEATURES,
+    VALUE.expression,
+    (lambda x: 1200.5 * x["qty"], lambda x: 310.25 * x["n_lines"], lambda x: F.when(x["qty"] > 100, 500.0).otherwise(-250.0)),
+    (1.0, 1.0, 0.5),
+)
+VALUE_TREES_SQL = ("1200.5::DOUBLE * {qty}", "310.25::DOUBLE * {n_lines}", "0.5::DOUBLE * CASE WHEN {qty} > 100 THEN 500.0::DOUBLE ELSE -250.0::DOUBLE END")
+
 
 def response(shift: int = 0) -> Formula:
     """P(y) of an order: rises with the quantity, and with the treatment less each period."""

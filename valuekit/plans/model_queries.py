@@ -135,8 +135,7 @@ def gap_limited_count(spark: SparkSession, sf: str) -> DataFrame:
 
 def regression_path(spark: SparkSession, sf: str) -> DataFrame:
     rows = fx.regression_sample(spark, sf).withColumnRenamed("y", "total").withColumnRenamed("y_pred", "y")
-    fitted = training.fit_gbt_regression(rows, VALUE_FEATURES, "y", maxIter=6, maxDepth=3)
-    return tidy(training.regression_path(fitted, rows, "y"), 4)
+    return tidy(training.regression_path(formulas.VALUE_TREES, rows, "y"), 4)
 
 
 def woe_logistic(spark: SparkSession, sf: str) -> DataFrame:

@@ -137,6 +137,16 @@ def _regressor_importance() -> str:
     )
 
 
+def _regression_path() -> str:
+    parts = [p.format(qty="qty", n_lines="n_lines") for p in formulas.VALUE_TREES_SQL]
+    errors = " UNION ALL ".join(f"SELECT {k} AS n_trees, sample, avg(abs(y - ({' + '.join(parts[:k])}))) AS e FROM v0 GROUP BY sample" for k in range(1, len(parts) + 1))
+    return rounded_sql(
+        f"""{_VALUE_ROWS}, e AS ({errors}), w AS (SELECT CAST(n_trees AS INT) AS n_trees, max(CASE WHEN sample = 'train' THEN e END) AS train, max(CASE WHEN sample = 'valid' THEN e END) AS valid FROM e GROUP BY 1)
+    SELECT *, 100 * abs(train - valid) / nullif(train, 0) AS relative_diff FROM w""",
+        "train", "valid", "relative_diff", digits=4,
+    )
+
+
 #: Orders with treatment `cc` and quantity, as `treated`.
 TREATED = "treated AS (SELECT o_orderkey, CAST(o_orderstatus = 'F' AS INT) AS cc, sum(l_quantity) AS qty FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2)"
 
@@ -147,6 +157,7 @@ ORACLE = {
     "permutation_importance": rounded_sql(f"{_TESTED} SELECT * FROM imp", "importance"),
     "factor_relevancy": rounded_sql(f"{_TESTED} {RELEVANCY}", "factors_relevancy"),
     "regressor_importance": _regressor_importance(),
+    "regression_path": _regression_path(),
     "uplift_curve": rounded_sql(
         f"""WITH {TREATED} SELECT 'cc_pl' AS pair, CAST(t AS INT) AS T, count(*) AS n, avg({formulas.uplift_sql('qty', 't')}) AS uplift
         FROM treated, (SELECT unnest(range(10)) AS t) GROUP BY 2""", "uplift"),
