@@ -124,3 +124,13 @@ def test_model_queries_use_every_numeric_feature(spark, sf):
     assert {r["feature"] for r in model_queries.feature_curve(spark, sf).collect()} == set(fixtures.NUMERIC)
     keys = [r["key"] for r in model_queries.validation_suite(spark, sf).where("check = 'binary_gini_features'").select("key").distinct().collect()]
     assert all(any(f in k.split("|") for k in keys) for f in fixtures.NUMERIC)
+
+
+def test_ordered_split_of_large_and_missing_values(spark):
+    keys = [None, None, *[5_000_000_000 + 7 * i for i in range(6)], *[9_000_000_000] * 2]
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id int, k long")
+    got = {r["id"]: r["sample"] for r in split.split_ordered(df, "k", {"train": 0.4, "valid": 0.4, "test": 0.2}).collect()}
+    # The two rows without a value stand first among the ten, but no cut holds them.
+    assert [got[i] for i in range(10)] == ["test"] * 2 + ["train"] * 2 + ["valid"] * 4 + ["test"] * 2
+    cuts = [split.value_cuts(df.withColumn("_hash", F.col("k")), [], {"train": 0.4, "valid": 0.8}, n).first() for n in (2, 100)]
+    assert cuts[0] == cuts[1]

@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from valuekit.functions.columns import hash_fraction
 from valuekit.operators.frames import join_on
-from valuekit.operators.ranks import pinned, rank_cuts
+from valuekit.operators.ranks import cut_points, pinned, rank_cuts, running_totals
 from valuekit.session import settle
 
 _HASH = "_hash"
 #: Bins of the histogram that narrows down a cut.
 HASH_BINS = 1 << 16
+#: Rows of a range in which the values of an ordered split are put in order.
+ORDERED_ROWS = 200_000
 
 
 def _bounds(shares: Mapping[str, float | int]) -> dict[str, float | int]:
@@ -63,13 +65,30 @@ def hash_cuts(ranked: DataFrame, strata: Sequence[str], bounds: Mapping[str, flo
     return found.groupBy(*strata).agg(*[F.max(F.when(F.col("_name") == n, F.col(_HASH))).alias(f"_cut_{n}") for n in bounds])
 
 
-def _split(df: DataFrame, ranked: DataFrame, strata: Sequence[str], shares: Mapping[str, float | int], sample: str) -> DataFrame:
+def value_cuts(ranked: DataFrame, strata: Sequence[str], bounds: Mapping[str, float | int], rows_per_range: int = ORDERED_ROWS) -> DataFrame:
+    """`hash_cuts` for values of any size, which are put in order in ranges of similar row counts.
+
+    Rows without a value come first in the order, as Spark sorts them. The values are written once, since all passes
+    read them.
+    """
+    rows = settle(ranked.select(*dict.fromkeys([*strata, _HASH])))
+    totals = running_totals(rows, strata, _HASH, {"n": F.count(F.lit(1))}, totals=True, cuts=cut_points(rows, _HASH, rows_per_range))
+    without = rows.groupBy(*strata).agg(F.count_if(F.col(_HASH).isNull()).alias("_without"))
+    known = join_on(totals, pinned(without), [*strata]) if strata else totals.withColumn("_without", F.lit(without.first()[0]))
+
+    def size(bound: float | int) -> Column:
+        return F.floor(F.lit(bound) * (F.col("n_all") + F.col("_without"))) if isinstance(bound, float) else F.lit(bound)
+
+    return known.groupBy(*strata).agg(*[F.max(F.when(F.col("n_below") + F.col("_without") < size(b), F.col(_HASH))).alias(f"_cut_{n}") for n, b in bounds.items()])
+
+
+def _split(df: DataFrame, ranked: DataFrame, strata: Sequence[str], shares: Mapping[str, float | int], sample: str, find: Callable[..., DataFrame] = hash_cuts) -> DataFrame:
     """Cut values are one row per stratum; without strata they are literals of the plan."""
     bounds = _bounds(shares)
     columns, last = [c for c in df.columns if c != _HASH], list(shares)[-1]
     if not bounds:
         return df.select(*columns, F.lit(last).alias(sample))
-    cuts = hash_cuts(ranked, [*strata], bounds)
+    cuts = find(ranked, [*strata], bounds)
     if strata:
         # A stratum too small for any bound has no cuts: all of it is in the last part.
         joined = join_on(df, pinned(cuts), [*strata], "left")
@@ -119,7 +138,7 @@ def split_ordered(df: DataFrame, order: str, shares: Mapping[str, float], *, sam
         first, second = shares[names[0]], (1 - shares[names[0]]) * shares[names[1]]
         shares = dict(zip(names, (first, second, 1 - first - second), strict=True))
     hashed = df.withColumn(_HASH, F.col(order))
-    return _split(hashed, hashed, (), shares, sample)
+    return _split(hashed, hashed, (), shares, sample, value_cuts)
 
 
 def sample_share(df: DataFrame, key: Sequence[str], share: float | Column, seed: int = 0) -> DataFrame:
