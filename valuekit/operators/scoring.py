@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from valuekit.operators.training import Fitted, Formula, vector_inputs
+from valuekit.session import settle
 
 # Last period of the curve, and the pair of different products that still count as
 # one at T = 0.
 LAST_PERIOD = 12
 SAME_AT_START = (("kp", "pl"),)
+#: Pairs whose mean uplifts are summed in one pass over the rows.
+PAIRS_AT_ONCE = 5
 
 
 @dataclass(frozen=True)
@@ -70,41 +73,75 @@ def uplift_curve(df: DataFrame, fitted: Fitted | Formula, base: str, sold: str,
     return rows.withColumn(out_name, F.array(*[at(t) for t in range(LAST_PERIOD + 1)])).select(*df.columns, out_name)
 
 
-def uplift_all(df: DataFrame, key: str, models: Mapping[tuple[str, str], Fitted | Formula], windows: Mapping[tuple[str, str], Window], *, default: Window = Window(0, LAST_PERIOD), treatment: str | None = None, period: str = "T") -> tuple[DataFrame, dict[tuple[str, str], str]]:
-    """(key, bp, sp, uplift) of every pair, and the error of each pair that cannot be scored.
+def _period_uplifts(df: DataFrame, key: str | None, models: Mapping[tuple[str, str], Fitted | Formula], windows: Mapping[tuple[str, str], Window], default: Window, treatment: str | None, period: str) -> tuple[DataFrame, dict[tuple[str, str], Column], dict[tuple[str, str], str]]:
+    """Rows of (_key, _t, ...) for each row and period, each pair's uplift as a column of them (NaN outside its window), and the error of each pair that cannot be scored.
 
-    The rows are read once for any number of models. A row becomes one for each period, in which models with the same
-    features and treatment share the vectors of both arms; then its periods, which still follow each other, are put
-    back into one array for each pair. Nothing is shuffled. A pair without a window of its own gets the default one;
-    `treatment` is the base product unless it is named.
+    Models with the same features and treatment share the vectors of both arms; formulas need none and are evaluated on
+    the columns.
     """
     failed = {}
     known = list(dict.fromkeys(f for m in models.values() for f in m.features if f in df.columns))
     # Two steps: an alias inside the inputs carries the mark of a category, which a second alias would lose.
     values = df.withColumns({f"_v_{f}": c for f, c in vector_inputs(df, known).items()})
-    prepared = values.select(F.col(key).alias("_key"), *[f"_v_{f}" for f in known])
+    prepared = values.select(*([F.col(key).alias("_key")] if key else []), *[f"_v_{f}" for f in known])
     periods = F.explode(F.sequence(F.lit(0), F.lit(LAST_PERIOD))).alias("_t")
     rows = prepared.select("*", periods).withColumns({"_period": F.col("_t").cast("double"), "_arm_0": F.lit(0.0), "_arm_1": F.lit(1.0)})
-    vectors, done = {}, []
+    vectors, done = {}, {}
     for i, ((base, sold), fitted) in enumerate(models.items()):
         moved = treatment or base
         missing = [f for f in fitted.features if f not in (*known, period, moved)]
         if missing:
             failed[(base, sold)] = f"columns not found: {', '.join(missing)}"
             continue
-        if (fitted.features, moved) not in vectors:
-            vectors[fitted.features, moved] = f"_x_{len(vectors)}"
+        inputs = [[{period: "_period", moved: f"_arm_{arm}"}.get(f, f"_v_{f}") for f in fitted.features] for arm in (0, 1)]
+        if isinstance(fitted, Formula):
+            chance = [fitted.expression({f: F.col(c).cast("double") for f, c in zip(fitted.features, names, strict=True)}) for names in inputs]
+        else:
+            if (fitted.features, moved) not in vectors:
+                vectors[fitted.features, moved] = f"_x_{len(vectors)}"
+                for arm in (0, 1):
+                    rows = VectorAssembler(inputCols=inputs[arm], outputCol=f"{vectors[fitted.features, moved]}_{arm}").transform(rows)
             for arm in (0, 1):
-                inputs = [{period: "_period", moved: f"_arm_{arm}"}.get(f, f"_v_{f}") for f in fitted.features]
-                rows = VectorAssembler(inputCols=inputs, outputCol=f"{vectors[fitted.features, moved]}_{arm}").transform(rows)
-        for arm in (0, 1):
-            rows = fitted.score_vector(rows, f"{vectors[fitted.features, moved]}_{arm}", f"_p_{i}_{arm}")
+                rows = fitted.score_vector(rows, f"{vectors[fitted.features, moved]}_{arm}", f"_p_{i}_{arm}")
+            chance = [F.col(f"_p_{i}_{arm}") for arm in (0, 1)]
         inside = F.col("_t").isin(windows.get((base, sold), default).periods(base, sold))
-        done.append((base, sold, F.when(inside, F.round(f"_p_{i}_1", 5) - F.round(f"_p_{i}_0", 5)).otherwise(float("nan"))))
+        done[base, sold] = F.when(inside, F.round(chance[1], 5) - F.round(chance[0], 5)).otherwise(float("nan"))
+    return rows, done, failed
+
+
+def uplift_all(df: DataFrame, key: str, models: Mapping[tuple[str, str], Fitted | Formula], windows: Mapping[tuple[str, str], Window], *, default: Window = Window(0, LAST_PERIOD), treatment: str | None = None, period: str = "T") -> tuple[DataFrame, dict[tuple[str, str], str]]:
+    """(key, bp, sp, uplift) of every pair, and the error of each pair that cannot be scored.
+
+    The rows are read once for any number of models. A row becomes one for each period; then its periods, which still
+    follow each other, are put back into one array for each pair. Nothing is shuffled. A pair without a window of its
+    own gets the default one; `treatment` is the base product unless it is named.
+    """
+    rows, done, failed = _period_uplifts(df, key, models, windows, default, treatment, period)
     schema = T.StructType([T.StructField(key, df.schema[key].dataType), *T.StructType.fromDDL("bp string, sp string, uplift array<double>").fields])
     if not done:
         return df.sparkSession.createDataFrame([], schema), failed
-    return rows.select("_key", F.array(*[c for _, _, c in done]).alias("u")).mapInArrow(_packed([d[0] for d in done], [d[1] for d in done], key), schema), failed
+    return rows.select("_key", F.array(*done.values()).alias("u")).mapInArrow(_packed([b for b, _ in done], [s for _, s in done], key), schema), failed
+
+
+def mean_uplifts(df: DataFrame, models: Mapping[tuple[str, str], Fitted | Formula], windows: Mapping[tuple[str, str], Window], *, default: Window = Window(0, LAST_PERIOD), treatment: str | None = None, period: str = "T") -> tuple[DataFrame, dict[tuple[str, str], str]]:
+    """(bp, sp, T, n, uplift): rows and mean uplift of each pair and period with any, and the error of each pair that cannot be scored.
+
+    The means of the arrays of `uplift_all`, which are not built: a row and period adds to one sum for each pair. The
+    columns are written once, and PAIRS_AT_ONCE pairs at a time are summed from them: the code for all pairs is a
+    method too large for the JVM's compiler.
+    """
+    kept = settle(df.select(*dict.fromkeys(f for m in models.values() for f in m.features if f in df.columns)))
+    out = df.sparkSession.createDataFrame([], "bp string, sp string, T int, n bigint, uplift double")
+    pairs, failed = list(models), {}
+    for at in range(0, len(pairs), PAIRS_AT_ONCE):
+        rows, done, wrong = _period_uplifts(kept, None, {p: models[p] for p in pairs[at : at + PAIRS_AT_ONCE]}, windows, default, treatment, period)
+        failed |= wrong
+        if not done:
+            continue
+        sums = [a for i, u in enumerate(done.values()) for a in (F.count_if(~F.isnan(u)).alias(f"n_{i}"), F.avg(F.nanvl(u, F.lit(None).cast("double"))).alias(f"u_{i}"))]
+        cells = F.array(*[F.struct(F.lit(b).alias("bp"), F.lit(s).alias("sp"), F.col("_t").alias("T"), F.col(f"n_{i}").alias("n"), F.col(f"u_{i}").alias("uplift")) for i, (b, s) in enumerate(done)])
+        out = out.unionByName(rows.groupBy("_t").agg(*sums).select(F.explode(cells).alias("_c")).select("_c.*").where("n > 0"))
+    return out, failed
 
 
 def _packed(bases: list[str], solds: list[str], key: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
