@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from valuekit.llm import url_trees
 from valuekit.llm.url_trees import ALLOW, BLOCK, RULES
@@ -114,3 +115,19 @@ def test_one_label_and_empty(spark):
     nothing = pages.limit(0)
     assert url_trees.judge_urls(nothing, url_trees.fit_urls(url_trees.labelled_by_rules(nothing))).collect() == []
     assert url_trees.fit_urls(url_trees.labelled_by_rules(pages.where("page_id = 1"))).only == ALLOW
+
+
+def test_statistics_cover_all_labelled_urls(spark):
+    n = F.col("id")
+    url = F.concat(F.lit("http://a"), n % 40, F.lit(".example.com/"), n)
+    labelled = spark.range(60_000).select(url.alias("url"), (n % 2).cast("double").alias("label"))
+    counts = url_trees.fit_urls(labelled).counts.where("level = 'top'").first()
+    assert (counts.suffix, counts.n0 + counts.n1, counts.b0 + counts.b1) == ("com", 60_000, 30_000)
+    rows = url_trees.lexical(labelled.limit(50), ("label",))
+    stats = url_trees.suffix_counts(url_trees.lexical(labelled.limit(50), ("label",)).withColumn("__half", F.lit(0)))
+    held, limit = url_trees.with_suffixes(rows, stats, None).orderBy("url").collect(), url_trees.HELD_SUFFIXES
+    url_trees.HELD_SUFFIXES = 0
+    try:
+        assert url_trees.with_suffixes(rows, stats, None).orderBy("url").collect() == held
+    finally:
+        url_trees.HELD_SUFFIXES = limit
