@@ -267,8 +267,10 @@ def fit_woe_logistic(df: DataFrame, features: Sequence[str], label: str, *, n_bi
         weights = {r["bin"]: math.log(((r["pos"] + 0.5) / (pos + 0.5)) / ((r["neg"] + 0.5) / (neg + 0.5))) for r in rows}
         bins[f] = (list(rows[0]["edges"] or []) if rows else [], {b: w for b, w in weights.items() if b is not None}, weights.get(None, 0.0))
     unfitted = WoeLogistic(None, bins)
-    data = _labelled(unfitted.transformed(train), features, label, sample)
-    return WoeLogistic(LogisticRegression(featuresCol=VECTOR, labelCol="_y", **params).fit(data), bins)
+    # Rows of the same bins are one weighted point, whatever the number of rows.
+    points = unfitted.transformed(train).where(F.col(label).isNotNull()).groupBy(*features, F.col(label).cast("double").alias("_y")).agg(F.count(F.lit(1)).cast("double").alias("_w"))
+    data = settle(with_vector(points, features).select(VECTOR, "_y", "_w"))
+    return WoeLogistic(LogisticRegression(featuresCol=VECTOR, labelCol="_y", weightCol="_w", **params).fit(data), bins)
 
 
 def side_by_side(tasks: Sequence[Callable[[], Any]], workers: int = WORKERS) -> list:
