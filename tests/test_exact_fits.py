@@ -337,3 +337,40 @@ def test_hash_cuts_are_ranks(spark, bins):
             assert got[s][f"_cut_{name}"] == (values[size - 1] if size else None)
     parts = split.split_rows(df.withColumnRenamed("_hash", "h").withColumn("k", F.monotonically_increasing_id()), ["k"], {"p": 0.5, "q": 0.5}, strata=["s"])
     assert {(r.s, r.sample): r["count"] for r in parts.groupBy("s", "sample").count().collect()}["tiny", "q"] == 1 and parts.count() == 201
+
+
+def test_mean_uplifts_are_the_means_of_the_arrays(spark):
+    rows = [(i, i % 7 + 0.5, None if i % 5 == 0 else 0.01 * i, float(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, qty_amt double, disc_avg double, total_amt double")
+    models = {(f"b{i}", f"s{j}"): training.Formula(("qty_amt", "disc_avg", "T", "cc"), lambda x, i=i, j=j: 0.1 * x["qty_amt"] + x["cc"] * (i + 0.013 * j * x["T"] + 0.0001 * x["disc_avg"])) for i in range(3) for j in range(3)}
+    windows = {("b0", "s0"): scoring.Window(2, 3)}
+    table, _ = scoring.uplift_all(df, "id", models, windows, treatment="cc")
+    long = table.select("bp", "sp", F.posexplode("uplift").alias("T", "u")).where("NOT isnan(u)").groupBy("bp", "sp", "T").agg(F.count("u").alias("n"), F.round(F.avg("u"), 9).alias("uplift"))
+    means, failed = scoring.mean_uplifts(df, models | {("b9", "s9"): training.Formula(("none",), lambda x: x["none"])}, windows, treatment="cc")
+    got = means.select("bp", "sp", "T", "n", F.round("uplift", 9).alias("uplift"))
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in long.collect()} and set(failed) == {("b9", "s9")}
+
+
+def test_woe_logistic_and_calibration_read_rows_once(spark, monkeypatch):
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 5 < 3, "train").otherwise("valid").alias("sample"),
+        (F.col("id") % 13).cast("double").alias("a"),
+        (F.pmod(F.xxhash64("id"), F.lit(17)) < F.col("id") % 13).cast("int").alias("y"),
+    )
+    seen, fit = [], training.LogisticRegression.fit
+    monkeypatch.setattr(training.LogisticRegression, "fit", lambda self, data: (seen.append(data.count()), fit(self, data))[1])
+    training.fit_woe_logistic(df, ["a"], "y")
+    # At most one point for each weight and label, not one for each row.
+    assert seen[0] <= 22
+
+    udf = F.udf
+
+    calls = spark.sparkContext.accumulator(0)
+    counted = udf(lambda v: (calls.add(1), v)[1], "double").asNondeterministic()
+    frame = df.select("sample", F.col("y").cast("double").alias("y_true"), (F.col("a") / 20).alias("y_pred"), counted(F.col("a") / 30).alias("y_calib"))
+    calibration.calibration_stats(frame, ["sample"]).collect()
+    assert calls.value == 4000
+    calls = spark.sparkContext.accumulator(0)
+    counted = udf(lambda v: (calls.add(1), v)[1], "double").asNondeterministic()
+    regression.regression_metrics(df.select("sample", F.col("a"), counted(F.col("a") / 30).alias("p")), ["sample"], "a", "p").collect()
+    assert calls.value == 4000
