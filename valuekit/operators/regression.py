@@ -11,7 +11,7 @@ from valuekit.functions.columns import correlation, status_two_sided, student_qu
 from valuekit.operators.binary import score_bins
 from valuekit.operators.frames import join_on
 from valuekit.operators.ranks import average_ranks, known_cuts, pinned, quantiles, running_totals
-from valuekit.session import settle_counted
+from valuekit.session import settle, settle_counted
 
 # Metrics where larger is better, and the relative change against train at which the
 # report turns yellow and red.
@@ -74,11 +74,12 @@ def select_metric(name: str) -> Callable[[Column, Column], Column]:
 def spearman(df: DataFrame, keys: Sequence[str], target: str, prediction: str, cuts: Sequence | None = None) -> DataFrame:
     """Rank correlation per group. `cuts` may be empty where the rows are known to fit one range.
 
-    Rows collapse to (target, prediction) pairs first; each side's ranks are joined on its value.
+    Rows collapse to (target, prediction) pairs first, which are written once, since all passes read them; each side's
+    ranks are joined on its value.
     A value shared by very many pairs is a skewed join key, which adaptive execution splits: the
     rank side has one row per value.
     """
-    pairs = df.groupBy(*keys, target, prediction).agg(F.count(F.lit(1)).alias("_n"))
+    pairs = settle(df.groupBy(*keys, target, prediction).agg(F.count(F.lit(1)).alias("_n")))
     by_target = average_ranks(pairs, keys, target, "_rank_y", F.col("_n"), cuts)
     by_prediction = average_ranks(pairs, keys, prediction, "_rank_p", F.col("_n"), cuts)
     ranked = join_on(join_on(pairs, by_target, [*keys, target]), by_prediction, [*keys, prediction])
@@ -99,6 +100,7 @@ def spearman(df: DataFrame, keys: Sequence[str], target: str, prediction: str, c
 def regression_metrics(df: DataFrame, keys: Sequence[str], target: str, prediction: str, mape: Callable[[Column, Column], Column] = mape_shifted) -> DataFrame:
     """(keys, n_rows, mae, mape, rmse, r2, pearson, spearman)."""
     y, p = F.col(target), F.col(prediction)
+    df = settle(df.select(*dict.fromkeys([*keys, target, prediction])))
     table = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"),
         mae(y, p).alias("mae"),
