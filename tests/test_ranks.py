@@ -102,3 +102,17 @@ def test_rank_cuts_give_exact_sizes(spark):
 def test_pinned_falls_back_when_large(spark):
     assert ranks.pinned(spark.range(50), limit=10).count() == 50
     assert ranks.pinned(spark.range(5), limit=10).count() == 5
+
+
+def test_a_frame_is_evaluated_once(spark):
+    """Looking for cuts and ordering read what was collapsed, not the frame (a join or a score) again."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def score(v):
+        seen.add(1)
+        return v % 7.0
+
+    rows = spark.range(50).select((F.col("id") % 2).cast("int").alias("y"), F.col("id").cast("double").alias("v"))
+    scored = rows.withColumn("score", F.udf(score, "double").asNondeterministic()("v"))
+    assert binary.gini(scored, [], "score", "y").first()["n_rows"] == 50
+    assert seen.value == 50

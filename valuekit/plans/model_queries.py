@@ -13,6 +13,7 @@ from valuekit.plans import fixtures as fx
 from valuekit.plans import formulas, model_twins
 from valuekit.plans.fixtures import tidy, with_sql
 from valuekit.roles import Roles
+from valuekit.session import settle
 
 SHARES = {"train": 0.6, "valid": 0.2, "test": 0.2}
 KEY = list(fx.LINE_KEY)
@@ -98,23 +99,28 @@ def _fit_line_model(df: DataFrame, features=MODEL_FEATURES, label: str = "y", sa
     return training.fit_gbt(df, features, label, sample=sample, **({"maxIter": 8, "maxDepth": 3} | params))
 
 
+def _model_rows(rows: DataFrame) -> DataFrame:
+    """What the line models read, written once: every fit and score reads it again."""
+    return settle(rows.select("sample", "y", *MODEL_FEATURES))
+
+
 def _gini_table(scored: DataFrame) -> DataFrame:
     return tidy(binary.gini(scored, ["sample"], "score", "y"))
 
 
 def gbt_fit(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _signal(fx.binary_sample(spark, sf)).drop("score")
+    rows = _model_rows(_signal(fx.binary_sample(spark, sf)))
     return _gini_table(_fit_line_model(rows).score(rows))
 
 
 def rf_fit(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _signal(fx.gappy_sample(spark, sf)).na.fill({"y": 0}).drop("score")
+    rows = _model_rows(_signal(fx.gappy_sample(spark, sf)).na.fill({"y": 0}))
     return _gini_table(training.fit_forest(rows, MODEL_FEATURES, "y", numTrees=8, maxDepth=4).score(rows))
 
 
 def gbt_regression(spark: SparkSession, sf: str) -> DataFrame:
     """Both losses; the target is the net line total, which the features explain."""
-    rows = fx.regression_sample(spark, sf).withColumnRenamed("y", "total").withColumnRenamed("y_pred", "y")
+    rows = settle(fx.regression_sample(spark, sf).select("sample", F.col("y_pred").alias("y"), *VALUE_FEATURES))
     out = None
     for loss in ("squared", "absolute"):
         fitted = training.fit_gbt_regression(rows, VALUE_FEATURES, "y", loss=loss, maxIter=6, maxDepth=3)
@@ -139,12 +145,12 @@ def regression_path(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def woe_logistic(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _signal(fx.gappy_sample(spark, sf)).na.fill({"y": 0}).drop("score")
+    rows = _model_rows(_signal(fx.gappy_sample(spark, sf)).na.fill({"y": 0}))
     return _gini_table(training.fit_woe_logistic(rows, MODEL_FEATURES, "y").score(rows))
 
 
 def random_search(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _signal(fx.binary_sample(spark, sf)).drop("score")
+    rows = _model_rows(_signal(fx.binary_sample(spark, sf)))
     trials, best = training.random_search(_fit_line_model, rows, MODEL_FEATURES, "y", {"maxIter": (3, 6), "stepSize": (0.05, 0.3)}, n_iter=2)
     table = _gini_table(best.score(rows))
     return table.withColumn("best_trial_gini", F.lit(round(max(t["gini_valid"] for t in trials), 6)))
@@ -152,7 +158,7 @@ def random_search(spark: SparkSession, sf: str) -> DataFrame:
 
 def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     """Several fitted models over one frame, one row per model and sample."""
-    rows = _signal(fx.binary_sample(spark, sf)).drop("score")
+    rows = _model_rows(_signal(fx.binary_sample(spark, sf)))
     models = {
         "boosted": _fit_line_model(rows, maxIter=4),
         "forest": training.fit_forest(rows, MODEL_FEATURES, "y", numTrees=6, maxDepth=4),
