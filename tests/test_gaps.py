@@ -134,3 +134,18 @@ def test_ordered_split_of_large_and_missing_values(spark):
     assert [got[i] for i in range(10)] == ["test"] * 2 + ["train"] * 2 + ["valid"] * 4 + ["test"] * 2
     cuts = [split.value_cuts(df.withColumn("_hash", F.col("k")), [], {"train": 0.4, "valid": 0.8}, n).first() for n in (2, 100)]
     assert cuts[0] == cuts[1]
+
+
+def test_suite_builds_wanted_tables_only(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "train" if i % 2 else "test", i % 3 % 2, float(i % 5), i / 40) for i in range(40)], "id long, sample string, y int, a double, score double")
+    roles = Roles(id=("id",), target="y", numeric=("a",))
+    whole = validation.validation_suite(df, roles, "binary")["metrics"].collect()
+
+    def unasked(*args, **kwargs):
+        raise AssertionError("not asked for")
+
+    monkeypatch.setattr(validation.stability, "detailed_psi", unasked)
+    one = validation.validation_suite(df, roles, "binary", tables=["metrics"])
+    assert list(one) == ["metrics"] and sorted(one["metrics"].collect()) == sorted(whole)
+    with pytest.raises(ValueError, match="unknown"):
+        validation.validation_suite(df, roles, "binary", tables=["metric_delta"])

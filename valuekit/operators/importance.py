@@ -31,7 +31,8 @@ def _with_donors(df: DataFrame, key: Sequence[str], features: Sequence[str], kee
         df = df.where(hash_fraction(*[F.col(k) for k in key], seed=seed + 1) < share)
     rows = settle(df.select(*dict.fromkeys([sample, *keep, *features]), hash_fraction(*[F.col(k) for k in key], seed=seed).alias("_h")))
     ranks = running_totals(rows, [sample], "_h", {"n": F.count(F.lit(1))}, totals=True)
-    ranked = join_on(rows, ranks.select(sample, "_h", F.col("n_below").alias("_rank"), "n_all"), [sample, "_h"])
+    # Both sides of the next join read it.
+    ranked = settle(join_on(rows, ranks.select(sample, "_h", F.col("n_below").alias("_rank"), "n_all"), [sample, "_h"]))
     turned = F.pmod(F.col("_rank") + F.floor(F.col("n_all") / 2), F.col("n_all"))
     donors = ranked.select(sample, turned.alias("_rank"), *[F.col(f).alias(f"_d_{f}") for f in features])
     return join_on(ranked, donors, [sample, "_rank"])

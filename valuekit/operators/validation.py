@@ -18,14 +18,15 @@ from valuekit.session import settle
 BIN_EDGES = {"binary": 20, "regression": 21, "other": 20}
 
 
-def validation_suite(df: DataFrame, roles: Roles, model_type: str, *, score: str = "score", fitted: Fitted | Formula | None = None, refit: Callable[..., Fitted] | None = None, unlog: Callable[[Column], Column] | None = None) -> dict[str, DataFrame]:
+def validation_suite(df: DataFrame, roles: Roles, model_type: str, *, score: str = "score", fitted: Fitted | Formula | None = None, refit: Callable[..., Fitted] | None = None, unlog: Callable[[Column], Column] | None = None, tables: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Table name to DataFrame. `df` already carries the score.
 
     The frame is settled first, because every check reads it and the score should be computed
     once. `fitted` adds the checks that have to score again (permutation importance). Samples of any name are
     compared, those without a name as "NA". `refit` adds the curve of models on the best 1..k features of a binary
     model, `unlog` takes target and score of a regression back from their log scale first. `other` models have the
-    checks of binary ones, as far as they need no classes of their own.
+    checks of binary ones, as far as they need no classes of their own. `tables` names those that are wanted, where
+    it is not all; only they, and what they build on, are computed.
     """
     if model_type not in BIN_EDGES:
         raise ValueError(f"model_type must be one of {sorted(BIN_EDGES)}, not {model_type!r}")
@@ -41,47 +42,60 @@ def validation_suite(df: DataFrame, roles: Roles, model_type: str, *, score: str
     against = [*stability.comparison_samples(samples), *(s for s in samples if s not in SAMPLES)]
     numeric = [*roles.numeric]
 
-    detailed = stability.detailed_psi(
-        rows, [*numeric, score], roles.categorical, sample=sample, label=label if two_classes else None, against=against
-    )
+    made: dict[str, DataFrame] = {}
+
+    def table(name: str) -> DataFrame:
+        if name not in made:
+            made[name] = build[name]()
+        return made[name]
+
+    in_train = rows.where(F.col(sample) == "train")
     parts = ("all", "events", "nevents") if two_classes else ("all",)
-    out = {
-        "variable_profile": profile.variable_profile(rows.where(F.col(sample) == "train"), numeric, roles.categorical),
-        "variable_types": profile.variable_types(rows, label, numeric, roles.categorical),
-        "psi_detailed": detailed,
-        "psi_short": stability.short_psi(detailed, against, parts),
+    build: dict[str, Callable[[], DataFrame]] = {
+        "variable_profile": lambda: profile.variable_profile(in_train, numeric, roles.categorical),
+        "variable_types": lambda: profile.variable_types(rows, label, numeric, roles.categorical),
+        "psi_detailed": lambda: settle(stability.detailed_psi(
+            rows, [*numeric, score], roles.categorical, sample=sample, label=label if two_classes else None, against=against
+        )),
+        "psi_short": lambda: stability.short_psi(table("psi_detailed"), against, parts),
     }
     if two_classes:
-        out |= {
-            "data_statistics": profile.sample_stats(rows, label, sample),
-            "metrics": binary.binary_metrics(rows, [sample], score, label),
-            "bins": binary.binary_bins(rows, [sample], score, label, BIN_EDGES[model_type]),
-            "auc_interval": binary.auc_interval(rows, [sample], score, label),
-            "gini_features": binary.gini_with_flags(binary.feature_gini(rows.where(F.col(sample) == "train"), numeric, label), numeric),
-            "gini_stability": binary.gini_stability(rows, numeric, score, label, samples, sample),
+        build |= {
+            "data_statistics": lambda: profile.sample_stats(rows, label, sample),
+            "metrics": lambda: binary.binary_metrics(rows, [sample], score, label),
+            "bins": lambda: binary.binary_bins(rows, [sample], score, label, BIN_EDGES[model_type]),
+            "auc_interval": lambda: binary.auc_interval(rows, [sample], score, label),
+            "gini_features": lambda: binary.gini_with_flags(binary.feature_gini(in_train, numeric, label), numeric),
+            "gini_stability": lambda: binary.gini_stability(rows, numeric, score, label, samples, sample),
         }
         if refit is not None and model_type == "binary":
-            ranking = [r["feature"] for r in importance.ranked(out["gini_features"], "gini").select("feature").collect()]
-            out["feature_curve"] = importance.feature_curve(rows, refit, ranking, label, sample=sample)
+
+            def curve() -> DataFrame:
+                ranking = [r["feature"] for r in importance.ranked(table("gini_features"), "gini").select("feature").collect()]
+                return importance.feature_curve(rows, refit, ranking, label, sample=sample)
+
+            build["feature_curve"] = curve
         metric = "gini"
     else:
-        metrics = regression.regression_metrics(rows, [sample], label, score, regression.mape_plain)
-        out |= {
-            "data_statistics": profile.target_stats(rows, label, [sample]),
-            "metrics": metrics,
-            "metric_delta": regression.regression_delta(metrics, samples, sample),
-            "bins": regression.regression_bins(rows, [sample], label, score, BIN_EDGES[model_type]),
-            "rec_curve": regression.rec_curve(rows.where(F.col(sample) == "train"), [sample], label, score),
-            "rec_area": regression.rec_area(rows.where(F.col(sample) == "train"), [sample], label, score),
+        build |= {
+            "data_statistics": lambda: profile.target_stats(rows, label, [sample]),
+            "metrics": lambda: regression.regression_metrics(rows, [sample], label, score, regression.mape_plain),
+            "metric_delta": lambda: regression.regression_delta(table("metrics"), samples, sample),
+            "bins": lambda: regression.regression_bins(rows, [sample], label, score, BIN_EDGES[model_type]),
+            "rec_curve": lambda: regression.rec_curve(in_train, [sample], label, score),
+            "rec_area": lambda: regression.rec_area(in_train, [sample], label, score),
+            "tree_correlation": lambda: settle(importance.tree_correlation(rows, numeric, label, (sample,))),
+            "tree_correlation_delta": lambda: importance.correlation_delta(table("tree_correlation"), samples, sample),
         }
-        found = settle(importance.tree_correlation(rows, numeric, label, (sample,)))
-        out |= {"tree_correlation": found, "tree_correlation_delta": importance.correlation_delta(found, samples, sample)}
         metric = "mae"
     if fitted is not None:
-        scored_again = importance.permutation_importance(rows, fitted, label, roles.id, sample=sample, metric=metric)
-        out["permutation_importance"] = settle(scored_again)
-        out["factor_relevancy"] = importance.factor_relevancy(out["permutation_importance"], sample)
-    return out
+        build |= {
+            "permutation_importance": lambda: settle(importance.permutation_importance(rows, fitted, label, roles.id, sample=sample, metric=metric)),
+            "factor_relevancy": lambda: importance.factor_relevancy(table("permutation_importance"), sample),
+        }
+    if tables is not None and (unknown := set(tables) - set(build)):
+        raise ValueError(f"unknown tables {sorted(unknown)}, expected some of {sorted(build)}")
+    return {name: table(name) for name in build if tables is None or name in tables}
 
 
 def suite_values(tables: dict[str, DataFrame], names: Sequence[str] | None = None) -> DataFrame:

@@ -20,6 +20,10 @@ KEY = list(fx.LINE_KEY)
 MODEL_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "T"]
 ORDER_FEATURES = ["total_amt", "qty_amt", "disc_avg", "T", "cc"]
 VALUE_FEATURES = ["qty", "n_lines"]
+ORDER_TABLES = [
+    "variable_profile", "variable_types", "psi_detailed", "psi_short", "data_statistics", "metrics", "metric_delta", "bins",
+    "rec_area", "tree_correlation", "tree_correlation_delta",
+]
 
 
 def _labelled_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -310,9 +314,9 @@ def validation_suite(spark: SparkSession, sf: str) -> DataFrame:
     tables = {f"binary_{k}": v for k, v in validation.validation_suite(lines, roles, "binary").items()}
     orders = fx.regression_sample(spark, sf)
     order_roles = Roles(id=("o_orderkey",), target="y", numeric=("qty", "n_lines"))
-    tables |= {f"regression_{k}": v for k, v in validation.validation_suite(orders, order_roles, "regression", score="y_pred").items()}
-    # The curve has a row for each error and a query of its own.
-    return tidy(validation.suite_values(tables, sorted(set(tables) - {"regression_rec_curve"})), 4)
+    # All but the curve, which has a row for each error and a query of its own.
+    tables |= {f"regression_{k}": v for k, v in validation.validation_suite(orders, order_roles, "regression", score="y_pred", tables=ORDER_TABLES).items()}
+    return tidy(validation.suite_values(tables), 4)
 
 
 QUERIES = {
