@@ -42,13 +42,18 @@ def _margins(batch: pa.RecordBatch, weights: np.ndarray) -> np.ndarray:
     return np.cumsum(trees * weights, axis=1)
 
 
+def _stands_for(batch: pa.RecordBatch) -> np.ndarray:
+    """The number of equal rows each row stands for: the fourth column, or 1."""
+    return batch.column(3).to_numpy().astype(np.int64) if batch.num_columns > 3 else np.ones(batch.num_rows, np.int64)
+
+
 def _bins(margins: np.ndarray, n_bins: int) -> np.ndarray:
     """Bins by the probability that a margin stands for, which rises with it."""
     return np.minimum((n_bins / (1 + np.exp(-2 * margins))).astype(np.int64), n_bins - 1)
 
 
 def prefix_bins(rows: DataFrame, weights: Sequence[float], n_slots: int, n_bins: int = BINS) -> DataFrame:
-    """(slot, prefix, bin, pos, neg, low, high) from rows of (slot, label, trees); prefixes count from 1."""
+    """(slot, prefix, bin, pos, neg, low, high) from rows of (slot, label, trees, perhaps how many equal rows); prefixes count from 1."""
     w = np.array(weights)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,10 +63,10 @@ def prefix_bins(rows: DataFrame, weights: Sequence[float], n_slots: int, n_bins:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            margins, y = _margins(batch, w), batch.column(1).to_numpy()
+            margins, y, n = _margins(batch, w), batch.column(1).to_numpy(), _stands_for(batch)
             spot = (batch.column(0).to_numpy().astype(np.int64)[:, None] * len(w) + np.arange(len(w))) * n_bins + _bins(margins, n_bins)
             for label in (0, 1):
-                counts[label] += np.bincount(spot[y == label].ravel(), minlength=size)
+                np.add.at(counts[label], spot[y == label].ravel(), np.repeat(n[y == label], len(w)))
             np.minimum.at(low, spot.ravel(), margins.ravel())
             np.maximum.at(high, spot.ravel(), margins.ravel())
         used = np.flatnonzero(counts.sum(0))
@@ -99,10 +104,10 @@ def mixed_scores(rows: DataFrame, weights: Sequence[float], mixed: np.ndarray) -
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            margins, y = _margins(batch, w), batch.column(1).to_numpy().astype(np.int64)
+            margins, y, n = _margins(batch, w), batch.column(1).to_numpy().astype(np.int64), _stands_for(batch)
             spot = (batch.column(0).to_numpy().astype(np.int64)[:, None] * len(w) + np.arange(len(w))) * n_bins + _bins(margins, n_bins)
             row, column = np.nonzero(wanted[spot])
-            parts.append((spot[row, column], margins[row, column], y[row], 1 - y[row]))
+            parts.append((spot[row, column], margins[row, column], (y * n)[row], ((1 - y) * n)[row]))
             kept += len(row)
             if kept > held:
                 found = merged()
@@ -118,12 +123,15 @@ def mixed_scores(rows: DataFrame, weights: Sequence[float], mixed: np.ndarray) -
     return rows.mapInArrow(pick, _SCORE_ROWS).groupBy("slot", "prefix", "bin", "margin").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
-def prefix_auc(rows: DataFrame, weights: Sequence[float], sample: str, label: str, n_bins: int = BINS) -> DataFrame:
-    """(sample, n_trees, n_rows, n_events, auc) from rows of (sample, label, trees); rows without a label are left out."""
+def prefix_auc(rows: DataFrame, weights: Sequence[float], sample: str, label: str, n_bins: int = BINS, weight: str | None = None) -> DataFrame:
+    """(sample, n_trees, n_rows, n_events, auc) from rows of (sample, label, trees); rows without a label are left out.
+
+    `weight` names a column with the number of equal rows a row stands for.
+    """
     # Names of samples are configuration; a null one is a sample too.
     names = [r[0] for r in rows.select(sample).distinct().collect()]
     slot = F.coalesce(*[F.when(F.col(sample).eqNullSafe(F.lit(n)), F.lit(i)) for i, n in enumerate(names)], F.lit(-1)) if names else F.lit(-1)
-    numbered = rows.where(F.col(label).isNotNull()).select(slot.cast("int").alias("slot"), F.col(label).cast("int").alias("y"), "trees")
+    numbered = rows.where(F.col(label).isNotNull()).select(slot.cast("int").alias("slot"), F.col(label).cast("int").alias("y"), "trees", *([] if weight is None else [F.col(weight).cast("bigint").alias("n")]))
     numbered = settle(numbered)
     bins = settle(prefix_bins(numbered, weights, max(1, len(names)), n_bins))
     mixed = np.zeros((max(1, len(names)), len(weights), n_bins), bool)
