@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from tests.llm.twins import same_as_twin
 from valuekit.llm import line_join
 
@@ -66,3 +68,11 @@ def docs_row():
     from pyspark.sql import functions as F
 
     return F.lit("clash")
+
+
+def test_ranks_count_every_shingle(spark):
+    lines = spark.createDataFrame([("a b c d e  a b c d e a b c d e f",), ("x y",), ("x y",), ("x y z",)], "line string")
+    held = line_join._ranks(lines)
+    rank = lambda tokens: F.get(held, line_join._bucket(F.element_at(tokens, 1)))
+    got = {r.line: r.rank for r in line_join.with_tokens(lines).select("line", rank("tokens").alias("rank")).collect()}
+    assert got == {"a b c d e  a b c d e a b c d e f": 1, "x y": 1, "x y z": 0}

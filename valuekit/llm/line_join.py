@@ -39,12 +39,20 @@ _CODE_BITS = 58
 # below, which repeats the whole computation. The arrays are never empty, so the rows are the same.
 
 
+def _words(line: str) -> Column:
+    """Hashes of the words of a line."""
+    return F.transform(F.array_remove(F.split(line, " "), ""), lambda w: F.xxhash64(w))
+
+
+def _token(i: Column) -> Column:
+    """The shingle that begins at a word of a longer line."""
+    return F.xxhash64(*[F.get("words", i + k) for k in range(WORDS)])
+
+
 def with_tokens(lines: DataFrame, line: str = "line") -> DataFrame:
     """`lines` with `tokens`, the distinct shingle hashes of each line."""
-    words = F.filter(F.split(line, " "), lambda w: w != "")
-    hashed = lines.withColumn("words", F.transform(words, lambda w: F.xxhash64(w)))
-    at = lambda i: F.xxhash64(*[F.get("words", i + k) for k in range(WORDS)])
-    many = F.transform(F.sequence(F.lit(0), F.size("words") - WORDS), at)
+    hashed = lines.withColumn("words", _words(line))
+    many = F.transform(F.sequence(F.lit(0), F.size("words") - WORDS), _token)
     tokens = F.when(F.size("words") > WORDS, many).otherwise(F.array(F.xxhash64("words")))
     return hashed.withColumn("tokens", F.array_distinct(tokens)).drop("words")
 
@@ -62,15 +70,20 @@ def _bucket(token: Column) -> Column:
 def _ranks(lines: DataFrame) -> Column:
     """An array with the power of two of the token count of each bucket.
 
+    Shingles become rows without an array of them, which Spark compiles; one that repeats in its line counts each time.
     Spark joins the powers of SEGMENT buckets to one text, so the driver gets BUCKETS / SEGMENT short rows.
     """
-    counts = with_tokens(lines).select(F.explode_outer("tokens").alias("t")).groupBy(_bucket(F.col("t")).alias("b")).count()
-    placed = counts.select(F.expr(f"b div {SEGMENT}").alias("part"), F.struct((F.col("b") % SEGMENT).alias("at"), F.floor(F.log2("count")).cast("int").alias("power")).alias("one"))
-    held = placed.groupBy("part").agg(F.map_from_entries(F.collect_list("one")).alias("powers"))
-    text = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(SEGMENT - 1)), lambda i: F.coalesce(F.try_element_at("powers", i), F.lit(0))), ",")
-    found = {r.part: r.text for r in held.select("part", text.alias("text")).collect()}
-    none = ",".join(["0"] * SEGMENT)
-    return F.split(F.lit(",".join(found.get(p, none) for p in range(BUCKETS // SEGMENT))), ",").cast("array<int>")
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - WORDS, F.lit(0)))
+    placed = lines.select(_words("line").alias("words")).select("words", F.explode_outer(starts).alias("i"))
+    token = F.when(F.size("words") > WORDS, _token(F.col("i"))).otherwise(F.xxhash64("words"))
+    counts = placed.select(_bucket(token).alias("b")).groupBy("b").count()
+    one = F.concat_ws(":", F.col("b") % SEGMENT, F.floor(F.log2("count")).cast("int"))
+    held = counts.where("count > 1").groupBy(F.expr(f"b div {SEGMENT}").alias("part")).agg(F.array_join(F.collect_list(one), ",").alias("text"))
+    powers = ["0"] * BUCKETS
+    for r in held.collect():
+        for at, power in (pair.split(":") for pair in r.text.split(",")):
+            powers[r.part * SEGMENT + int(at)] = power
+    return F.split(F.lit(",".join(powers)), ",").cast("array<int>")
 
 
 def _codes(ranks: Column) -> Column:
