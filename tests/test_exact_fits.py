@@ -2,7 +2,6 @@
 
 import random
 from collections import defaultdict
-from functools import partial
 
 import numpy as np
 import pytest
@@ -322,23 +321,21 @@ def test_feature_curve_reads_the_rows_once(spark):
     assert seen.value == 300 and got[1].gini_valid == 1.0 and got[2].feature == "b"
 
 
-def test_weighted_points_fit_as_their_rows(spark):
-    rows = spark.range(600).select((F.col("id") % 17).cast("double").alias("a"), F.when(F.col("id") % 5 > 0, F.col("id") % 5).cast("double").alias("b"), F.when(F.col("id") % 3 == 0, "valid").otherwise("train").alias("sample"), F.col("id"))
+def test_points_score_as_their_rows(spark):
+    rows = spark.range(600).select((F.col("id") % 17).cast("double").alias("a"), F.when(F.col("id") % 5 > 0, (F.col("id") % 5).cast("double")).alias("b"), (F.col("id") % 3 == 0).alias("v"), F.col("id"))
     rows = rows.withColumn("y", F.when(F.col("id") % 11 > 0, (F.col("a") * 2 + F.col("id") % 7 > 17).cast("int"))).drop("id")
-    rows = rows.union(rows.where("a > 8")).union(rows.where("a > 12")).coalesce(1)
-    points = rows.groupBy("sample", "y", "a", "b").agg(F.count(F.lit(1)).alias("_n"))
+    rows = rows.union(rows.where("a > 8")).union(rows.where("a > 12"))
+    points = training.points(rows, rows.columns)
     assert points.count() < rows.count() / 2
-    bounds = {"maxIter": (2, 5), "stepSize": (0.1, 0.4)}
-    plain, best = training.random_search(training.fit_gbt, rows, ["a", "b"], "y", bounds, n_iter=2)
-    found, other = training.random_search(training.fit_gbt, points, ["a", "b"], "y", bounds, n_iter=2, weight="_n")
-    assert [t["gini_valid"] for t in found] == pytest.approx([t["gini_valid"] for t in plain])
-    table = lambda model, df, weight: sorted((r.sample, r.n_rows, r.n_events, round(r.gini, 9)) for r in binary.gini(model.score(df), ["sample"], "score", "y", weight).collect())
-    assert table(best, rows, None) == table(other, points, "_n")
-    curves = [
-        {r.feature_num: (round(r.gini_train, 9), round(r.gini_valid, 9)) for r in importance.feature_curve(df, partial(training.fit_gbt, maxIter=3), ["a", "b"], "y", **kw).collect()}
-        for df, kw in ((rows, {}), (points, {"weight": "_n"}))
+    scored = [df.withColumn("score", F.coalesce(F.col("a") - F.col("b"), F.lit(3.0))) for df in (rows, points)]
+    table = lambda df, weight: sorted(tuple(r) for r in binary.gini(df, ["v"], "score", "y", weight).collect())
+    assert table(scored[1], "_n") == [pytest.approx(r) for r in table(scored[0], None)]
+    trees = F.array(F.col("a") / 20, F.coalesce("b", F.lit(0.0)) / 9)
+    found = [
+        sorted(tuple(r) for r in prefixes.prefix_auc(df.select("v", "y", trees.alias("trees"), *kept), [1.0, -0.5], "v", "y", n_bins=4, weight=weight).collect())
+        for df, kept, weight in ((rows, [], None), (points, ["_n"], "_n"))
     ]
-    assert curves[0] == curves[1]
+    assert found[1] == [pytest.approx(r) for r in found[0]]
 
 
 @pytest.mark.parametrize("bins", [1, 7, 1 << 16])

@@ -14,7 +14,7 @@ from valuekit.operators.feature_trees import feature_tree_correlation
 from valuekit.operators.frames import join_on
 from valuekit.operators.ranks import running_totals
 from valuekit.operators.regression import select_metric
-from valuekit.operators.training import Fitted, Formula, WoeLogistic, multi_model_scores, side_by_side
+from valuekit.operators.training import Fitted, Formula, WoeLogistic, multi_model_scores, points, side_by_side
 from valuekit.session import settle
 
 # Fixed value: a feature is relevant above this share of the best one.
@@ -134,20 +134,20 @@ def correlation_delta(correlations: DataFrame, samples: Sequence[str], sample: s
     return wide.withColumns({f"delta_{base}_vs_{s}": F.try_divide(F.col(s) - F.col(base), F.col(base)) for s in samples if s != base})
 
 
-def feature_curve(df: DataFrame, fit: Callable[..., Fitted], ranking: Sequence[str], label: str, *, sample: str = "sample", weight: str | None = None) -> DataFrame:
+def feature_curve(df: DataFrame, fit: Callable[..., Fitted], ranking: Sequence[str], label: str, *, sample: str = "sample") -> DataFrame:
     """Gini of models refitted on the best 1..k features, with the report's lights.
 
-    The columns are written once; the fits run side by side from those files, and one pass over them has all scores.
+    The columns are written once; the fits run side by side from those files, and one pass over them,
+    equal rows as one, has all scores.
     red: a smaller set beats the full one by 0.05; yellow: at most 60 % of the features lose less
-    than 0.01. `weight` names a column with the number of equal rows a row stands for; `fit` gets it too.
+    than 0.01.
     """
-    counted = {} if weight is None else {"weight": weight}
-    rows = settle(df.where(F.col(sample).isin("train", "valid")).select(*dict.fromkeys([sample, label, *ranking, *counted.values()])))
+    rows = settle(df.where(F.col(sample).isin("train", "valid")).select(*dict.fromkeys([sample, label, *ranking])))
     sizes = range(1, len(ranking) + 1)
-    fits = side_by_side([partial(fit, rows, list(ranking[:k]), label, sample=sample, **counted) for k in sizes])
-    scored = multi_model_scores(rows, {str(k): m for k, m in zip(sizes, fits)}, [sample, label, *counted.values()])
+    fits = side_by_side([partial(fit, rows, list(ranking[:k]), label, sample=sample) for k in sizes])
+    scored = multi_model_scores(points(rows, [sample, label, *ranking]), {str(k): m for k, m in zip(sizes, fits)}, [sample, label, "_n"])
     long = settle(scored.withColumn("feature_num", F.col("model").cast("int")).drop("model"))
-    got = auc(long, ["feature_num", sample], "score", label, **counted)
+    got = auc(long, ["feature_num", sample], "score", label, weight="_n")
     value = 2 * F.col("auc") - 1
     wide = got.groupBy("feature_num").agg(*[F.max(F.when(F.col(sample) == s, value)).alias(f"gini_{s}") for s in ("train", "valid")])
     full = wide.where(F.col("feature_num") == len(ranking)).select("gini_valid").scalar()

@@ -114,10 +114,15 @@ class Formula:
         return df.withColumn(name, self.expression({f: F.get(values, F.lit(i)) for i, f in enumerate(self.features)}))
 
 
-def _labelled(df: DataFrame, features: Sequence[str], label: str, sample: str, weight: str | None = None) -> DataFrame:
+def _labelled(df: DataFrame, features: Sequence[str], label: str, sample: str) -> DataFrame:
     rows = df.where(F.col(sample).isin("train", "valid") & F.col(label).isNotNull())
-    keep = rows.select(*features, F.col(label).cast("double").alias("_y"), (F.col(sample) == "valid").alias("_is_valid"), *([] if weight is None else [F.col(weight).cast("double").alias("_w")]))
-    return with_vector(keep, features).select(VECTOR, "_y", "_is_valid", *([] if weight is None else ["_w"]))
+    keep = rows.select(*features, F.col(label).cast("double").alias("_y"), (F.col(sample) == "valid").alias("_is_valid"))
+    return with_vector(keep, features).select(VECTOR, "_y", "_is_valid")
+
+
+def points(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Equal rows as one, with their number `_n`: where features have few values, many rows are few points to score."""
+    return df.groupBy(*dict.fromkeys(columns)).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def _fit_on(estimator: Any, data: DataFrame) -> Any:
@@ -129,17 +134,17 @@ def _fit_on(estimator: Any, data: DataFrame) -> Any:
         held.unpersist()
 
 
-def fit_gbt(df: DataFrame, features: Sequence[str], label: str, *, sample: str = "sample", early_stop: bool = True, seed: int = 1, weight: str | None = None, **params) -> Fitted:
-    """Boosted-tree classifier; with `early_stop` it keeps the trees up to the best AUC on the valid rows.
-
-    `weight` names a column with the number of equal rows a row stands for.
-    """
-    data = _labelled(df, features, label, sample, weight)
+def fit_gbt(df: DataFrame, features: Sequence[str], label: str, *, sample: str = "sample", early_stop: bool = True, seed: int = 1, **params) -> Fitted:
+    """Boosted-tree classifier; with `early_stop` it keeps the trees up to the best AUC on the valid rows."""
+    data = _labelled(df, features, label, sample)
     booster = GBTClassifier(featuresCol=VECTOR, labelCol="_y", seed=seed, **bins_for(df, features, params))
-    if weight is not None:
-        booster.setWeightCol("_w")
     fitted = Fitted(_fit_on(booster, data.where(~F.col("_is_valid"))), tuple(features), "binary")
-    return stopped(fitted, data.where("_is_valid"), None if weight is None else "_w") if early_stop else fitted
+    if not early_stop:
+        return fitted
+    # The trees are grown from the rows, as their split points are drawn from them; only what is scored is collapsed.
+    valid = points(df.where((F.col(sample) == "valid") & F.col(label).isNotNull()), [label, *features])
+    found = valid.select(*features, F.col(label).cast("double").alias("_y"), F.lit(True).alias("_is_valid"), "_n")
+    return stopped(fitted, with_vector(found, features), "_n")
 
 
 def stopped(fitted: Fitted, valid: DataFrame, weight: str | None = None) -> Fitted:
@@ -285,25 +290,24 @@ def side_by_side(tasks: Sequence[Callable[[], Any]], workers: int = WORKERS) ->
         return list(pool.map(lambda task: inheritable_thread_target(session)(task)(), tasks))
 
 
-def random_search(fit: Callable[..., Fitted], df: DataFrame, features: Sequence[str], label: str, bounds: Mapping[str, tuple[float, float]], *, integers: Sequence[str] = ("maxDepth", "maxIter", "maxBins", "numTrees"), n_iter: int = 5, seed: int = 1, sample: str = "sample", rungs: int = 0, workers: int = WORKERS, weight: str | None = None) -> tuple[list[dict], Fitted]:
+def random_search(fit: Callable[..., Fitted], df: DataFrame, features: Sequence[str], label: str, bounds: Mapping[str, tuple[float, float]], *, integers: Sequence[str] = ("maxDepth", "maxIter", "maxBins", "numTrees"), n_iter: int = 5, seed: int = 1, sample: str = "sample", rungs: int = 0, workers: int = WORKERS) -> tuple[list[dict], Fitted]:
     """Seeded search within bounds by valid Gini: the trials with their Gini, and the model of the best one.
 
-    The columns that trials need are written once, and every trial reads those files; trials run side by side. With
+    The columns that trials need are written once, and every trial reads those files; trials run side by side and score
+    equal valid rows once. With
     `rungs` the ensembles start at a 2^rungs-th of their trees, and after each rung the better half goes on with twice
     as many; a trial that stopped reports the Gini of its last rung and `share`, the part of its trees it got.
-    `weight` names a column with the number of equal rows a row stands for; `fit` gets it too.
     """
     rng = random.Random(seed)
-    counted = {} if weight is None else {"weight": weight}
     trials = [{k: (round if k in integers else float)(rng.uniform(*b)) for k, b in bounds.items()} for _ in range(n_iter)]
-    rows = settle(df.where(F.col(sample).isin("train", "valid")).select(*dict.fromkeys([sample, label, *features, *counted.values()])))
-    valid = rows.where(F.col(sample) == "valid")
+    rows = settle(df.where(F.col(sample).isin("train", "valid")).select(*dict.fromkeys([sample, label, *features])))
+    valid = settle(points(rows.where(F.col(sample) == "valid"), [label, *features]))
     done: dict[int, tuple[float, Fitted, float]] = {}
 
     def attempt(i: int, share: float) -> tuple[float, Fitted, float]:
         params = {k: max(1, round(v * share)) if k in ("maxIter", "numTrees") else v for k, v in trials[i].items()}
-        fitted = fit(rows, features, label, sample=sample, **counted, **params)
-        found = auc(fitted.score(valid), [], "score", label, **counted).first()["auc"]
+        fitted = fit(rows, features, label, sample=sample, **params)
+        found = auc(fitted.score(valid), [], "score", label, weight="_n").first()["auc"]
         return (-1.0 if found is None else 2 * found - 1), fitted, share
 
     running = list(range(n_iter))

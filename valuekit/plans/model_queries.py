@@ -108,12 +108,6 @@ def _model_rows(rows: DataFrame) -> DataFrame:
     return settle(rows.select("sample", "y", *MODEL_FEATURES))
 
 
-def _model_points(rows: DataFrame, features) -> DataFrame:
-    """What the line models read, written once, equal rows as one with their number `_n`: there are no more points than
-    combinations of the feature values, however many rows."""
-    return settle(rows.groupBy("sample", "y", *features).agg(F.count(F.lit(1)).alias("_n")))
-
-
 def _gini_table(scored: DataFrame, weight: str | None = None) -> DataFrame:
     return tidy(binary.gini(scored, ["sample"], "score", "y", weight))
 
@@ -160,9 +154,9 @@ def woe_logistic(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def random_search(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _model_points(_signal(fx.binary_sample(spark, sf)), MODEL_FEATURES)
-    trials, best = training.random_search(_fit_line_model, rows, MODEL_FEATURES, "y", {"maxIter": (3, 6), "stepSize": (0.05, 0.3)}, n_iter=2, weight="_n")
-    table = _gini_table(best.score(rows), "_n")
+    rows = _model_rows(_signal(fx.binary_sample(spark, sf)))
+    trials, best = training.random_search(_fit_line_model, rows, MODEL_FEATURES, "y", {"maxIter": (3, 6), "stepSize": (0.05, 0.3)}, n_iter=2)
+    table = _gini_table(best.score(training.points(rows, rows.columns)), "_n")
     return table.withColumn("best_trial_gini", F.lit(round(max(t["gini_valid"] for t in trials), 6)))
 
 
@@ -220,9 +214,8 @@ def top_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feature_curve(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _model_points(_signal(fx.binary_sample(spark, sf)), fx.NUMERIC)
-    fit = lambda df, f, y, sample, weight: _fit_line_model(df, f, y, sample, weight=weight, maxIter=3)
-    return tidy(importance.feature_curve(rows, fit, fx.NUMERIC, "y", weight="_n"))
+    rows = _signal(fx.binary_sample(spark, sf))
+    return tidy(importance.feature_curve(rows, lambda df, f, y, sample: _fit_line_model(df, f, y, sample, maxIter=3), fx.NUMERIC, "y"))
 
 
 # -- calibration ---------------------------------------------------------------------------------
