@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -11,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from valuekit.llm import bpe_trees
-from valuekit.llm.byte_bpe import byte_bpe
+from valuekit.llm.byte_bpe import ByteBpe, byte_bpe
 from valuekit.llm.shared import table
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,6 +46,18 @@ def test_long_unsplit(alphabet):
     assert own_ids(text) == library_ids(text)
 
 
+def test_words_are_learned_once():
+    """Marks, line starts and a full cache do not send a word to the library again."""
+    coder, asked = ByteBpe(PATH, cached=60), []
+    word = coder._word
+    coder._word = lambda text, before: asked.append(before + text) or word(text, before)
+    texts = ["alpha beta\nalpha (x) beta... gamma$$$\nalpha!", "ñandú alpha\n\nbeta \n gamma", "beta\nalpha gamma''\n"]
+    for k in range(40):
+        more = [*texts, f"alpha w{'abcdefghij'[k % 10] * (1 + k // 10)} beta\nalpha"]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in coder.encode(more)] == [library_ids(t) for t in more]
+    assert max(Counter(asked).values()) == 1 and coder.older
+
+
 def test_query_rows(spark, sf):
     texts = {r.doc_id: r.text or "" for r in table(spark, sf, "documents").collect()}
     got = {r.doc_id: r for r in bpe_trees.op1_bpe_trees(spark, sf).collect()}

@@ -15,7 +15,7 @@ import functools
 import json
 import os
 import re
-from collections import Counter, deque
+from itertools import repeat
 
 import numpy as np
 import regex
@@ -26,15 +26,18 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 LEAF = 4096
 #: Ids on each side of a join in the first window.
 WINDOW = 8
-#: Entries of the cache of encoded words; at this size it starts anew (memory only, never results).
-CACHED = 200_000
-#: Batches of texts looked back at, to see which words stay in a full cache: those of at least two of them.
-LOOK_BACK = 3
+#: Entries of the cache of encoded words, in two generations: at half of it the younger one becomes the older, whose words
+#: come back when they are met (memory only, never results).
+CACHED = 300_000
 _CUT = re.compile(r"(?<=\S)(?= )")
-_UNSAFE = re.compile(r"\s ")
-#: A word of Latin letters, perhaps with one mark after it. The pattern keeps such a word and the space before it
-#: together and always parts the mark, so words go without the pattern and their ids serve for both.
-_LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+([.,]?)")
+_UNSAFE = re.compile(r" (?:(?<=\s )|(?=\n))")
+#: Without one of these a line feed begins a part, as a space does.
+_BLANK = re.compile(r"\n(?<=\s\n)")
+#: Words of these letters and marks at the end of words: the pattern keeps such a word and the space before it together and
+#: always parts a line feed before it and the run of marks after it, so words go without the pattern and their ids serve
+#: for all. Special strings hold one of <, > and |, which are no marks here.
+_LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+")
+_MARKS = "!\"#$%&'()*+,-./:;=?@[\\]^_`{}~"
 
 
 def byte_symbols() -> list[str]:
@@ -47,9 +50,9 @@ def byte_symbols() -> list[str]:
 class ByteBpe:
     """Encoder and decoder for one vocabulary file of the tokenizers library."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, cached: int = CACHED) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -59,74 +62,97 @@ class ByteBpe:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.by_pattern = self.library.pre_tokenizer
-        self.by_word = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit("\0"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.symbols = byte_symbols()
+        self.shown, self.space = dict(enumerate(self.symbols)), self.symbols[32]
         back = {ord(s): b for b, s in enumerate(self.symbols)}
         added = {t["id"]: t["content"] for t in spec["added_tokens"]}
         self.pieces = [b""] * self.library.get_vocab_size(with_added_tokens=True)
         for piece, number in self.library.get_vocab(with_added_tokens=True).items():
             self.pieces[number] = added[number].encode() if number in added else bytes(back[ord(c)] for c in piece)
+        self.packed = [k.to_bytes(4, "little") for k in range(len(self.pieces))]
         self.lengths = np.array([len(p) for p in self.pieces], dtype=np.int64)
         self.special = re.compile("(" + "|".join(map(re.escape, added.values())) + ")") if added else None
         self.by_text = {text: number for number, text in added.items()}
         self.pattern = regex.compile(PATTERN)
+        self.cached = cached
         self.spaced: dict[str, bytes] = {}
         self.whole: dict[str, bytes] = {}
-        self.recent: deque[set[str]] = deque(maxlen=LOOK_BACK)
+        self.older: dict[str, bytes] = {}
 
     # -- encoding
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.spaced) + len(self.whole) > CACHED:
-            seen = Counter(u for words in self.recent for u in words)
-            self.spaced = {u: self.spaced[u] for u, n in seen.items() if n > 1 and u in self.spaced}
-            self.whole = {}
+        if len(self.spaced) + len(self.whole) > self.cached // 2:
+            self.older, self.spaced, self.whole = self.spaced, {}, {}
         split = [_CUT.split(t) if _UNSAFE.search(t) else None for t in texts]
-        plain = [t.split(" ") if s is None else () for t, s in zip(texts, split)]
-        words = set().union(*(p[1:] for p in plain))
-        self.recent.append(words)
-        fresh = words.difference(self.spaced)
-        first = {u for s, p in zip(split, plain) for u in (s if s is not None else p[:1])}.difference(self.whole)
-        self._learn(list(fresh), list(first))
+        # A line feed is a cut as well: the word after it keeps it in place of a space.
+        plain = [(t if _BLANK.search(t) else t.replace("\n", " \n")).split(" ") if s is None else [""] for t, s in zip(texts, split)]
+        first = {u for s, p in zip(split, plain) for u in (p[:1] if s is None else s)}.difference(self.whole)
+        near = self.spaced.get
+        found = [list(map(near, p[1:])) for p in plain]
+        fresh: set[str] = set()
+        for p, ids in zip(plain, found):
+            if not all(ids):
+                fresh.update([u for u, i in zip(p[1:], ids) if i is None])
+        self._learn(fresh, first)
         near, far = self.spaced.__getitem__, self.whole.__getitem__
-        return [b"".join(map(far, s)) if s is not None else far(p[0]) + b"".join(map(near, p[1:])) for s, p in zip(split, plain)]
+        out = []
+        for s, p, ids in zip(split, plain, found):
+            if s is not None:
+                out.append(b"".join(map(far, s)))
+                continue
+            rest = ids if all(ids) else [near(u) if i is None else i for u, i in zip(p[1:], ids)]
+            out.append(far(p[0]) + b"".join(rest))
+        return out
 
-    def _learn(self, fresh: list[str], first: list[str]) -> None:
+    def _learn(self, fresh: set[str], first: set[str]) -> None:
         """Encode distinct parts: those after a space joined into long texts, the others one by one."""
-        latin, together, alone, marked = set(), [], [], []
-        for u in fresh:
-            match = _LATIN.fullmatch(u) if len(u) < LEAF else None
-            if match and match[1]:
-                marked.append(u)
-                if u[:-1] not in self.spaced:
-                    latin.add(u[:-1])
-            elif match:
-                latin.add(u)
+        spaced, older = self.spaced, self.older
+        known = fresh.intersection(older)
+        spaced.update(zip(known, map(older.__getitem__, known)))
+        latin, opening, together, lines, alone, marked = set(), set(), [], [], [], []
+        for u in fresh.difference(known):
+            word = u.rstrip(_MARKS).removeprefix("\n")
+            if word.isalpha() and len(u) < LEAF and (word.isascii() or _LATIN.fullmatch(word)):
+                at = len(word) + (u[0] == "\n")
+                if at < len(u):
+                    marked.append((u, u[:at], u[at:]))
+                if u[:at] in older:
+                    spaced[u[:at]] = older[u[:at]]
+                elif u[:at] not in spaced:
+                    (opening if at > len(word) else latin).add(word)
             elif u and len(u) < LEAF and not u[-1].isspace():
-                together.append(u)
+                (lines if u[0] == "\n" else together).append(u)
             else:
                 alone.append(u)
-        self.library.pre_tokenizer = self.by_word
-        try:
-            self._learn_joined(list(latin), "\0")
-        finally:
-            self.library.pre_tokenizer = self.by_pattern
-        self._learn_joined(together, "")
-        if marked:
-            marks = {m: np.array(self._library(m), dtype="<u4").tobytes() for m in ".,"}
-            self.spaced.update((u, self.spaced[u[:-1]] + marks[u[-1]]) for u in marked)
-        self.spaced.update({u: self.encode_stretch(" " + u) for u in alone})
+        spaced.update(zip(latin, map(self._word, latin, repeat(" "))))
+        if opening:
+            feed = self._piece("\n")
+            spaced.update(("\n" + u, feed + self._word(u, "")) for u in opening)
+        self._learn_joined(together, " ")
+        self._learn_joined(lines, "")
+        ends = {m: self._piece(m) for m in {m for _, _, m in marked}}
+        spaced.update([(u, spaced[word] + ends[m]) for u, word, m in marked])
+        spaced.update({u: self.encode_stretch(u if u[:1] == "\n" else " " + u) for u in alone})
         self.whole.update({u: self.encode_stretch(u) for u in first})
 
-    def _learn_joined(self, words: list[str], between: str) -> None:
-        """Encode words, each with the space before it, many in one text, and part their ids by their bytes."""
+    def _word(self, word: str, before: str) -> bytes:
+        """Ids of a word that is one match of the pattern together with the space before it, if any."""
+        text = before + word
+        symbols = f"{self.space}{word}" if before and word.isascii() else text.encode().decode("latin-1").translate(self.shown)
+        return b"".join([self.packed[t.id] for t in self.library.model.tokenize(symbols)])
+
+    def _piece(self, text: str) -> bytes:
+        return np.array(self._library(text), dtype="<u4").tobytes()
+
+    def _learn_joined(self, words: list[str], before: str) -> None:
+        """Encode words, each with what is before it, many in one text, and part their ids by their bytes."""
         step = 2000
         for i in range(0, len(words), step):
             part = words[i : i + step]
-            ids = np.array(self.library.encode_batch_fast([between.join([f" {u}" for u in part])], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.cumsum([len(u.encode()) + 1 for u in part])
+            ids = np.array(self.library.encode_batch_fast(["".join([before + u for u in part])], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.cumsum([len(u.encode()) + len(before) for u in part])
             cuts = (4 * (np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1)).tolist()
             data = ids.tobytes()
             self.spaced.update((u, data[a:b]) for u, a, b in zip(part, [0, *cuts], cuts))
@@ -215,6 +241,6 @@ def halves(word: str) -> list[str]:
 
 
 @functools.lru_cache(maxsize=4)
-def byte_bpe(path: str) -> ByteBpe:
+def byte_bpe(path: str, cached: int = CACHED) -> ByteBpe:
     """The encoder of a vocabulary file, once per Python worker."""
-    return ByteBpe(path)
+    return ByteBpe(path, cached)

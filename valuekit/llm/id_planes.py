@@ -36,6 +36,8 @@ from valuekit.llm.shared import pa_schema, shared_folder, small_batches, table
 
 BLOCK = 65_536
 END_ID = 2
+#: Encoded words that a worker keeps, about 200 bytes each (memory only).
+CACHED = 1_000_000
 VOCABULARY = "byte_bpe_50k.json"
 BLOCKS = "shard int, block int, n_ids int, planes array<binary>, doc_ids array<bigint>, at array<int>, open_id bigint, open_at bigint, closed boolean"
 
@@ -60,7 +62,7 @@ def write_planes(docs: DataFrame, vocabulary: str, folder: str, end_id: int = EN
     end = np.array([end_id], "<u4").tobytes()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, shard = byte_bpe(vocabulary), TaskContext.get().partitionId()
+        coder, shard = byte_bpe(vocabulary, CACHED), TaskContext.get().partitionId()
         held, number, done = bytearray(), 0, 0
         doc_ids: list = []
         at: list[int] = []
