@@ -76,3 +76,14 @@ def test_ranks_count_every_shingle(spark):
     rank = lambda tokens: F.get(held, line_join._bucket(F.element_at(tokens, 1)))
     got = {r.line: r.rank for r in line_join.with_tokens(lines).select("line", rank("tokens").alias("rank")).collect()}
     assert got == {"a b c d e  a b c d e a b c d e f": 1, "x y": 1, "x y z": 0}
+
+
+def test_buckets_are_counted_in_wide_rows(spark):
+    """Every bucket has its own count, in rows of COUNTERS buckets."""
+    assert line_join.BUCKETS % line_join.COUNTERS == 0
+    lines = spark.createDataFrame([(f"word{i % 3000}",) for i in range(9000)] + [(f"word{i}",) for i in range(0, 3000, 3)], "line string")
+    held = line_join._ranks(lines)
+    tokens = line_join.with_tokens(lines).select(line_join._bucket(F.element_at("tokens", 1)).alias("b"))
+    counts = tokens.groupBy("b").agg(F.floor(F.log2(F.count(F.lit(1)))).cast("int").alias("power"))
+    rows = counts.select("power", F.get(held, "b").alias("rank")).collect()
+    assert len(rows) > 2900 and all(r.power == r.rank for r in rows) and {r.rank for r in rows} >= {1, 2}

@@ -32,6 +32,8 @@ THRESHOLD = (4, 5)
 #: Size of the table of token counts that orders tokens; the order decides speed only.
 BUCKETS = 1 << 18
 SEGMENT = 1024
+#: Buckets that are counted in one row: so few rows that Spark's fast hash map holds them all.
+COUNTERS = 16
 #: Size of the bitmaps that sort out lines and documents before they are joined; it decides speed only.
 BITMAP = 1 << 20
 _CODE_BITS = 58
@@ -76,7 +78,10 @@ def _ranks(lines: DataFrame) -> Column:
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - WORDS, F.lit(0)))
     placed = lines.select(_words("line").alias("words")).select("words", F.explode_outer(starts).alias("i"))
     token = F.when(F.size("words") > WORDS, _token(F.col("i"))).otherwise(F.xxhash64("words"))
-    counts = placed.select(_bucket(token).alias("b")).groupBy("b").count()
+    bucket = placed.select(_bucket(token).alias("b")).select(F.expr(f"b div {COUNTERS}").cast("int").alias("row"), (F.col("b") % COUNTERS).alias("at"))
+    rows = bucket.groupBy("row").agg(*[F.count(F.when(F.col("at") == k, 1)).alias(f"n{k}") for k in range(COUNTERS)])
+    each = F.posexplode(F.array(*[f"n{k}" for k in range(COUNTERS)])).alias("at", "count")
+    counts = rows.select("row", each).select((F.col("row") * COUNTERS + F.col("at")).alias("b"), "count")
     one = F.concat_ws(":", F.col("b") % SEGMENT, F.floor(F.log2("count")).cast("int"))
     held = counts.where("count > 1").groupBy(F.expr(f"b div {SEGMENT}").alias("part")).agg(F.array_join(F.collect_list(one), ",").alias("text"))
     powers = ["0"] * BUCKETS
