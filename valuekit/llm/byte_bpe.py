@@ -28,7 +28,7 @@ LEAF = 4096
 WINDOW = 8
 #: Entries of the cache of encoded words, in two generations: at half of it the younger one becomes the older, whose words
 #: come back when they are met (memory only, never results).
-CACHED = 300_000
+CACHED = 200_000
 _CUT = re.compile(r"(?<=\S)(?= )")
 _UNSAFE = re.compile(r" (?:(?<=\s )|(?=\n))")
 #: Without one of these a line feed begins a part, as a space does.
