@@ -1,6 +1,7 @@
 """Line deduplication against its SQL twin and a brute-force version."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -87,3 +88,50 @@ def test_buckets_are_counted_in_wide_rows(spark):
     counts = tokens.groupBy("b").agg(F.floor(F.log2(F.count(F.lit(1)))).cast("int").alias("power"))
     rows = counts.select("power", F.get(held, "b").alias("rank")).collect()
     assert len(rows) > 2900 and all(r.power == r.rank for r in rows) and {r.rank for r in rows} >= {1, 2}
+
+
+def spread(spark, sets):
+    """Prefixes (k1, n, i, code) of sets of numbers, in the order of the numbers."""
+    rows = [(k, len(s), i, c) for k, s in enumerate(sets) for i, c in enumerate(sorted(s)[: len(s) - -(-4 * len(s) // 5) + 1])]
+    return spark.createDataFrame(rows, "k1 long, n int, i int, code long")
+
+
+def test_no_similar_pair_is_left_out(spark):
+    """Sets around the threshold, of equal and of unequal size, with the differences anywhere in the order."""
+    picks = random.Random(4)
+    sets = []
+    for size in (1, 2, 4, 5, 9, 10, 18, 45, 90):
+        for _ in range(4):
+            base = picks.sample(range(10_000), size)
+            for gone, new in ((0, 0), (size // 9, size // 9), (size // 9 + 1, size // 9 + 1), (size // 5, 0), (0, size // 4), (size // 10, size // 10)):
+                sets.append({*picks.sample(base, max(1, size - gone)), *picks.sample(range(10_000, 20_000), new)})
+    got = {(r.ka, r.kb) for r in line_join._candidates(spread(spark, sets)).collect()}
+    alike = {(a, b) for b in range(len(sets)) for a in range(b) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    assert len(alike) > 100 and alike <= got
+
+
+def test_a_common_phrase_makes_no_pairs(spark, monkeypatch):
+    """With buckets as full as those of a large table, which tell nothing of rarity."""
+    monkeypatch.setattr(line_join, "_ranks", lambda lines: F.array_repeat(F.lit(0), line_join.BUCKETS))
+    kept = {}
+    written = line_join.settled
+    monkeypatch.setattr(line_join, "settled", lambda df, name: kept.setdefault(name, written(df, name)))
+    lines = [" ".join([*[f"a{i}w{k}" for k in range(20)], *[f"p{i // 4}w{k}" for k in range(6)], *[f"b{i}w{k}" for k in range(20)]]) for i in range(120)]
+    docs = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in line_join.dedup_lines(docs).collect()} == dict(enumerate(lines))
+    assert kept["line-join-pairs"].count() == 0
+
+
+def test_steps_leave_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {b for b in disk.getAllBlocks().mkString(" ").split() if b.startswith("shuffle_")}
+    before, key = files(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    docs = spark.createDataFrame([(i, f"line {i % 7} of a short text\nline {i} that is no other one") for i in range(50)], "doc_id long, text string")
+    result = line_join.dedup_lines(docs)
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(key, None) == was
+    assert result.count() == 50 and result.count() == 50

@@ -9,9 +9,12 @@ similarity of THRESHOLD or more.
    order gives the same result; rare tokens first keep the lists of common tokens short.
 3. Two similar lines share a token among the first n - ceil(t n) + 1 of each (prefix filter). Classes meet by
    such tokens if their sizes allow the similarity (length filter) and so do the tokens left after the
-   shared one (positional filter).
+   shared one (positional filter). Where the sizes need several shared ones among those tokens, up to SHARED of them
+   are asked for (count filter), so lines with one common phrase do not become a pair.
 4. The pairs fetch their lines and the exact similarity decides.
 
+Each step ends in files or on the driver, and its shuffle files go before the next one begins.
+
 Defined cases: documents with a null doc_id or null text come back as they are and are not compared; lines
 without words always stay; rows that share doc_id and text are one row for the comparison and each comes back
 with the same lines; rows that share doc_id only are ordered by a hash of the text; extra columns are
@@ -24,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuekit.llm.shared import free_names, membership, settled, table
+from valuekit.llm.shared import free_names, membership, settled, shuffles_freed, table
 
 WORDS = 5
 #: The similarity from which lines count as the same, as numerator and denominator.
@@ -32,6 +35,8 @@ THRESHOLD = (4, 5)
 #: Size of the table of token counts that orders tokens; the order decides speed only.
 BUCKETS = 1 << 18
 SEGMENT = 1024
+#: Shared tokens that the count filter asks for at most; it decides speed only.
+SHARED = 3
 #: Buckets that are counted in one row: so few rows that Spark's fast hash map holds them all.
 COUNTERS = 16
 #: Size of the bitmaps that sort out lines and documents before they are joined; it decides speed only.
@@ -102,19 +107,40 @@ def _keyed(lines: DataFrame) -> DataFrame:
     return lines.withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64("line", F.lit(1))})
 
 
+def _behind(n: Column) -> Column:
+    """How many of n tokens stand behind the prefix."""
+    num, den = THRESHOLD
+    return F.floor((num * n + den - 1) / den) - 1
+
+
+def _candidates(rows: DataFrame) -> DataFrame:
+    """Pairs (ka < kb) of classes that may be similar, from the prefixes (k1, n, i, code).
+
+    Similar classes share at least `enough` tokens. Of those, all but the ones behind one of the two prefixes are in both,
+    so they meet `enough` - `_behind` times or more, first at their earliest shared tokens. At the j-th of these, no more
+    than j - 1 + `left` can be shared: the first has `enough` left, the first SHARED have `enough` - SHARED + 1.
+    """
+    num, den = THRESHOLD
+    a, b = rows.alias("a"), rows.alias("b")
+    small, large = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
+    left = F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i"))
+    enough = F.ceil(num * (small + large) / (num + den))
+    fits = (F.col("a.k1") < F.col("b.k1")) & (den * small >= num * large) & (left >= enough - (SHARED - 1))
+    asked = F.least(F.lit(SHARED), enough - _behind(large)).cast("int")
+    met = a.join(b, (F.col("a.code") == F.col("b.code")) & fits).select(F.col("a.k1").alias("ka"), F.col("b.k1").alias("kb"), asked.alias("asked"), (left >= enough).alias("first"))
+    pairs = met.groupBy("ka", "kb").agg(F.count(F.lit(1)).alias("met"), F.min("asked").alias("asked"), F.bool_or("first").alias("first"))
+    return pairs.where("first AND met >= asked").select("ka", "kb")
+
+
 def similar_later(docs: DataFrame) -> DataFrame:
     """Keys (k1, k2) of the classes of lines that have an earlier similar class."""
     num, den = THRESHOLD
     lines = exploded(docs)
     n = F.size("codes")
-    prefix = F.slice("codes", F.lit(1), (n - F.floor((num * n + den - 1) / den) + 1).cast("int"))
+    prefix = F.slice("codes", F.lit(1), (n - _behind(n)).cast("int"))
     coded = with_tokens(_keyed(lines)).withColumn("codes", _codes(_ranks(lines))).select("k1", "k2", n.alias("n"), prefix.alias("prefix"))
     rows = coded.groupBy("k1", "k2").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")).select("k1", "n", F.posexplode_outer("prefix").alias("i", "code"))
-    a, b = rows.alias("a"), rows.alias("b")
-    small, large = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
-    left = F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i"))
-    fits = (F.col("a.k1") < F.col("b.k1")) & (den * small >= num * large) & ((num + den) * left >= num * (small + large))
-    pairs = settled(a.join(b, (F.col("a.code") == F.col("b.code")) & fits).select(F.col("a.k1").alias("ka"), F.col("b.k1").alias("kb")).distinct(), "line-join-pairs")
+    pairs = settled(_candidates(rows), "line-join-pairs")
     sides = pairs.select(F.explode(F.array("ka", "kb")).alias("k1")).distinct()
     wanted = _keyed(lines).where(membership(sides, BITMAP)(F.xxhash64("line"))).join(sides, "k1", "left_semi")
     classes = wanted.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "row", "line_no")).alias("at"), F.first("line").alias("line"))
@@ -131,16 +157,17 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """`docs` (doc_id, text, any others) with `text` less its removed lines, and `n_lines` and `n_removed`."""
     row = F.xxhash64("text")
     named = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", row.alias("row"), "text")
-    keyed = _keyed(exploded(named)).drop("line")
-    classes = keyed.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "row", "line_no")).alias("first"))
-    gone = classes.join(similar_later(named).withColumn("gone", F.lit(True)), ["k1", "k2"], "left")
-    placed = keyed.join(gone, ["k1", "k2"])
-    dropped = placed.where(F.col("gone") | (F.col("first") != F.struct("doc_id", "row", "line_no")))
     doc_key, row_key, numbers = free_names(docs, "__doc", "__row", "__drops")
-    drops = settled(dropped.groupBy(F.col("doc_id").alias(doc_key), F.col("row").alias(row_key)).agg(F.collect_set("line_no").alias(numbers)), "line-join-drops")
+    with shuffles_freed(docs.sparkSession):
+        keyed = _keyed(exploded(named)).drop("line")
+        classes = keyed.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "row", "line_no")).alias("first"))
+        gone = classes.join(similar_later(named).withColumn("gone", F.lit(True)), ["k1", "k2"], "left")
+        placed = keyed.join(gone, ["k1", "k2"])
+        dropped = placed.where(F.col("gone") | (F.col("first") != F.struct("doc_id", "row", "line_no")))
+        drops = settled(dropped.groupBy(F.col("doc_id").alias(doc_key), F.col("row").alias(row_key)).agg(F.collect_set("line_no").alias(numbers)), "line-join-drops")
+        maybe = F.coalesce(membership(drops.select(row_key), BITMAP)(row), F.lit(False))
     others = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
     lines = F.split("text", "\n")
-    maybe = F.coalesce(membership(drops.select(row_key), BITMAP)(row), F.lit(False))
     same = docs.where(~maybe).select(*others, F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"), F.lit(0).alias("n_removed"))
     joined = docs.where(maybe).select(*others).join(drops, (F.col("doc_id") == F.col(doc_key)) & (row == F.col(row_key)), "left")
     kept = F.filter(lines, lambda _, i: ~F.array_contains(numbers, i))

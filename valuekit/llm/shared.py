@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +56,25 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries that are run within it leave no shuffle files: Spark removes them, on all executors, when the query ends.
+
+    For steps that end in files or on the driver, so that each has the disk to itself. A frame that is made within must
+    not be run twice.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def membership(values: DataFrame, bits: int) -> Callable[[Column], Column]:
     """A test that is true for every long in the single column of `values`, and for few others.
 
