@@ -149,3 +149,31 @@ def test_suite_builds_wanted_tables_only(spark, monkeypatch):
     assert list(one) == ["metrics"] and sorted(one["metrics"].collect()) == sorted(whole)
     with pytest.raises(ValueError, match="unknown"):
         validation.validation_suite(df, roles, "binary", tables=["metric_delta"])
+
+
+def test_suite_query_holds_every_table(spark, sf):
+    """The curve of errors, the checks that score again and the curve of refitted models among them."""
+    from valuekit.plans import fixtures, model_queries
+
+    rows = model_queries.validation_suite(spark, sf).collect()
+    common = {"variable_profile", "variable_types", "psi_detailed", "psi_short", "data_statistics", "metrics", "bins", "permutation_importance", "factor_relevancy"}
+    wanted = {f"binary_{t}" for t in common | {"auc_interval", "gini_features", "gini_stability", "feature_curve"}}
+    wanted |= {f"regression_{t}" for t in common | {"metric_delta", "rec_curve", "rec_area", "tree_correlation", "tree_correlation_delta"}}
+    assert {r["check"] for r in rows} == wanted
+    orders = fixtures.regression_sample(spark, sf).where("sample = 'train'")
+    curve = regression.rec_curve(orders, ["sample"], "y", "y_pred").collect()
+    got = {m: sorted(r["value"] for r in rows if r["check"] == "regression_rec_curve" and r["measure"] == m) for m in ("error", "share")}
+    assert {m: len(v) for m, v in got.items()} == {m: len(curve) for m in got} and len(curve) > 100
+    assert all(abs(a - b) < 1e-3 for m in got for a, b in zip(got[m], sorted(r[m] for r in curve)))
+    moved = {r["key"].split("|")[-1] for r in rows if r["check"] == "binary_permutation_importance"}
+    assert moved == {"l_quantity", "l_discount", "l_tax", "p_size", "T"}
+
+
+def test_model_of_the_suite_may_have_other_features(spark):
+    from valuekit.operators.training import Formula
+
+    df = spark.createDataFrame([(i, "train" if i % 2 else "test", i % 3 % 2, float(i % 5), i % 3 / 4, i / 40) for i in range(40)], "id long, sample string, y int, a double, b double, score double")
+    fitted = Formula(("a", "b"), lambda x: x["a"] / 10 + x["b"])
+    tables = validation.validation_suite(df, Roles(id=("id",), target="y", numeric=("a",)), "binary", fitted=fitted, tables=["permutation_importance", "gini_features"])
+    assert {r["feature"] for r in tables["permutation_importance"].collect()} == {"a", "b"}
+    assert [r["feature"] for r in tables["gini_features"].collect()] == ["a"]

@@ -22,11 +22,12 @@ def validation_suite(df: DataFrame, roles: Roles, model_type: str, *, score: str
     """Table name to DataFrame. `df` already carries the score.
 
     The frame is settled first, because every check reads it and the score should be computed
-    once. `fitted` adds the checks that have to score again (permutation importance). Samples of any name are
-    compared, those without a name as "NA". `refit` adds the curve of models on the best 1..k features of a binary
-    model, `unlog` takes target and score of a regression back from their log scale first. `other` models have the
-    checks of binary ones, as far as they need no classes of their own. `tables` names those that are wanted, where
-    it is not all; only they, and what they build on, are computed.
+    once. `fitted` adds the checks that have to score again (permutation importance); its features need not be among
+    those of `roles`, which are the reported ones. Samples of any name are compared, those without a name as "NA".
+    `refit` adds the curve of models on the best 1..k features of a binary model, `unlog` takes target and score of a
+    regression back from their log scale first. `other` models have the checks of binary ones, as far as they need no
+    classes of their own. `tables` names those that are wanted, where it is not all; only they, and what they build on,
+    are computed.
     """
     if model_type not in BIN_EDGES:
         raise ValueError(f"model_type must be one of {sorted(BIN_EDGES)}, not {model_type!r}")
@@ -35,7 +36,8 @@ def validation_suite(df: DataFrame, roles: Roles, model_type: str, *, score: str
     if unlog is not None:
         named = named.withColumns({c: unlog(F.col(c)) for c in (label, score)})
     two_classes = model_type in ("binary", "other")
-    rows = settle(named.select(*dict.fromkeys([*roles.id, sample, label, score, *roles.features])))
+    scored_again = fitted.features if fitted is not None else ()
+    rows = settle(named.select(*dict.fromkeys([*roles.id, sample, label, score, *roles.features, *scored_again])))
     # Names of samples are configuration; the known ones come first, in the report's order.
     present = {r[0] for r in rows.select(sample).distinct().collect()}
     samples = [*(s for s in SAMPLES if s in present), *sorted(present.difference(SAMPLES))]
@@ -65,7 +67,7 @@ def validation_suite(df: DataFrame, roles: Roles, model_type: str, *, score: str
             "metrics": lambda: binary.binary_metrics(rows, [sample], score, label),
             "bins": lambda: binary.binary_bins(rows, [sample], score, label, BIN_EDGES[model_type]),
             "auc_interval": lambda: binary.auc_interval(rows, [sample], score, label),
-            "gini_features": lambda: binary.gini_with_flags(binary.feature_gini(in_train, numeric, label), numeric),
+            "gini_features": lambda: settle(binary.gini_with_flags(binary.feature_gini(in_train, numeric, label), numeric)),
             "gini_stability": lambda: binary.gini_stability(rows, numeric, score, label, samples, sample),
         }
         if refit is not None and model_type == "binary":
@@ -101,11 +103,12 @@ def validation_suite(df: DataFrame, roles: Roles, model_type: str, *, score: str
 def suite_values(tables: dict[str, DataFrame], names: Sequence[str] | None = None) -> DataFrame:
     """(check, key, measure, value): every number of every table of the suite, in long form.
 
-    The key is the row's other columns. Unlike a count of rows, this evaluates each measure.
+    The key is the row's other columns. Unlike a count of rows, this evaluates each measure. Each table is written
+    first: one plan of all of them takes more memory of the driver than the tables do.
     """
     out = None
     for name in names or sorted(tables):
-        table = tables[name]
+        table = settle(tables[name])
         measures = [f.name for f in table.schema if isinstance(f.dataType, T.NumericType)]
         others = [f.name for f in table.schema if f.name not in measures]
         key = F.concat_ws("|", F.lit(""), *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("-")) for c in others])

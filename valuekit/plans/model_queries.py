@@ -20,10 +20,6 @@ KEY = list(fx.LINE_KEY)
 MODEL_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "T"]
 ORDER_FEATURES = ["total_amt", "qty_amt", "disc_avg", "T", "cc"]
 VALUE_FEATURES = ["qty", "n_lines"]
-ORDER_TABLES = [
-    "variable_profile", "variable_types", "psi_detailed", "psi_short", "data_statistics", "metrics", "metric_delta", "bins",
-    "rec_area", "tree_correlation", "tree_correlation_delta",
-]
 
 
 def _labelled_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -103,6 +99,11 @@ def _fit_line_model(df: DataFrame, features=MODEL_FEATURES, label: str = "y", sa
     return training.fit_gbt(df, features, label, sample=sample, **({"maxIter": 8, "maxDepth": 3} | params))
 
 
+def _short_line_model(df: DataFrame, features, label: str, sample: str) -> training.Fitted:
+    """For the models on the best 1..k features."""
+    return _fit_line_model(df, features, label, sample, maxIter=3)
+
+
 def _model_rows(rows: DataFrame) -> DataFrame:
     """What the line models read, written once: every fit and score reads it again."""
     return settle(rows.select("sample", "y", *MODEL_FEATURES))
@@ -215,7 +216,7 @@ def top_features(spark: SparkSession, sf: str) -> DataFrame:
 
 def feature_curve(spark: SparkSession, sf: str) -> DataFrame:
     rows = _signal(fx.binary_sample(spark, sf))
-    return tidy(importance.feature_curve(rows, lambda df, f, y, sample: _fit_line_model(df, f, y, sample, maxIter=3), fx.NUMERIC, "y"))
+    return tidy(importance.feature_curve(rows, _short_line_model, fx.NUMERIC, "y"))
 
 
 # -- calibration ---------------------------------------------------------------------------------
@@ -308,14 +309,17 @@ def external_model(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def validation_suite(spark: SparkSession, sf: str) -> DataFrame:
-    """Every value of both suites, in long form: binary with gaps, regression."""
+    """Every value of every table of both suites, in long form: binary with gaps, regression.
+
+    Both score again with a fixed model, and the binary one is refitted for the curve of its best features. The points of
+    the error curve come as errors and shares, which rise together.
+    """
     lines = _signal(fx.gappy_sample(spark, sf)).na.fill({"y": 0})
     roles = Roles(id=fx.LINE_KEY, target="y", numeric=fx.NUMERIC, categorical=("p_brand",))
-    tables = {f"binary_{k}": v for k, v in validation.validation_suite(lines, roles, "binary").items()}
+    tables = {f"binary_{k}": v for k, v in validation.validation_suite(lines, roles, "binary", fitted=formulas.LINE, refit=_short_line_model).items()}
     orders = fx.regression_sample(spark, sf)
-    order_roles = Roles(id=("o_orderkey",), target="y", numeric=("qty", "n_lines"))
-    # All but the curve, which has a row for each error and a query of its own.
-    tables |= {f"regression_{k}": v for k, v in validation.validation_suite(orders, order_roles, "regression", score="y_pred", tables=ORDER_TABLES).items()}
+    order_roles = Roles(id=("o_orderkey",), target="y", numeric=tuple(VALUE_FEATURES))
+    tables |= {f"regression_{k}": v for k, v in validation.validation_suite(orders, order_roles, "regression", score="y_pred", fitted=formulas.VALUE).items()}
     return tidy(validation.suite_values(tables), 4)
 
 
